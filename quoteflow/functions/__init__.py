@@ -5,9 +5,9 @@ from quoteflow.functions.times import (
     epoch_to_timestamp,
     is_falsy,
     micros_since_epoch,
-    normalize_quote_time,
     parse_iso,
     truthy_or,
+    with_quote_time,
 )
 
 __all__ = [
@@ -16,7 +16,7 @@ __all__ = [
     "is_falsy",
     "is_present",
     "micros_since_epoch",
-    "normalize_quote_time",
     "parse_iso",
     "truthy_or",
+    "with_quote_time",
 ]

@@ -6,7 +6,7 @@ The functions mention their argument several times, so pass plain columns, not l
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Above this a number is epoch milliseconds, up to and including it epoch seconds.
@@ -60,16 +60,22 @@ def micros_since_epoch(ts: Column) -> Column:
     return (seconds * F.lit(1000000)).cast("bigint")
 
 
-def _calendar_form(text: Column) -> Column:
-    """Rewrite a leading ISO week date to the calendar date it means; other text stays."""
+def _week_to_calendar(text: Column) -> Column:
+    """Text that starts with an ISO week date, with the calendar date in its place."""
     week = F.regexp_replace(text, ISO_WEEK, "${ew}${bw}").try_cast("int")
-    day = F.regexp_replace(text, ISO_WEEK, "${ed}${bd}")
-    day = F.when(day == "", F.lit(1)).otherwise(day.try_cast("int"))
+    day = F.rpad(F.regexp_replace(text, ISO_WEEK, "${ed}${bd}"), 1, "1").try_cast("int")
     first_monday = F.trunc(F.make_date(F.left(text, F.lit(4)).try_cast("int"), F.lit(1), F.lit(4)), "WEEK")
     monday = F.date_add(first_monday, (week - 1) * 7)
     date = F.when((F.weekofyear(monday) == week) & day.between(1, 7), F.date_add(monday, day - 1))
-    rest = F.regexp_replace(text, ISO_WEEK, "${rest}")
-    return F.when(text.rlike(ISO_WEEK), F.concat(date.cast("string"), rest)).otherwise(text)
+    return F.concat(date.cast("string"), F.regexp_replace(text, ISO_WEEK, "${rest}"))
+
+
+def _calendar_form(text: Column) -> Column:
+    """Rewrite a leading ISO week date to the calendar date it means; other text stays."""
+    # Week dates are rare. As a lambda they stay out of the generated code, which is compiled to
+    # machine code only while it is small.
+    rewritten = F.get(F.transform(F.array(text), _week_to_calendar), F.lit(0))
+    return F.when(text.rlike(ISO_WEEK), rewritten).otherwise(text)
 
 
 def parse_iso(text: Column) -> Column:
@@ -81,11 +87,20 @@ def parse_iso(text: Column) -> Column:
     return filled.try_cast("timestamp_ntz")
 
 
+def _as_number(value: Column, kind: Column) -> Column:
+    """A VARIANT that holds no text as DOUBLE. Integers, the usual case, need no general cast."""
+    integer = F.try_variant_get(value, "$", "bigint").cast("double")
+    return F.when(kind == "BIGINT", integer).when(kind != "STRING", F.try_variant_get(value, "$", "double"))
+
+
 def is_falsy(value: Column) -> Column:
     """Truthiness of a VARIANT: absent, null, false, 0, '', {} and [] are falsy."""
-    json = F.to_json(value)
-    zero = (F.schema_of_variant(value) != "STRING") & (F.try_variant_get(value, "$", "double") == 0)
-    return value.isNull() | json.isin("null", '""', "{}", "[]") | F.coalesce(zero, F.lit(False))
+    kind = F.schema_of_variant(value)
+    return (
+        F.when(kind == "STRING", F.try_variant_get(value, "$", "string") == "")
+        .when(kind.contains("<"), F.to_json(value).isin("{}", "[]"))
+        .otherwise(F.coalesce(_as_number(value, kind) == 0, F.lit(True)))
+    )
 
 
 def truthy_or(value: Column, fallback: Column) -> Column:
@@ -93,11 +108,19 @@ def truthy_or(value: Column, fallback: Column) -> Column:
     return F.when(is_falsy(value), fallback).otherwise(value)
 
 
-def normalize_quote_time(raw: Column) -> Column:
-    """A VARIANT holding epoch milliseconds, epoch seconds or ISO 8601 text to a timestamp.
+def with_quote_time(df: DataFrame, raw: str, name: str) -> DataFrame:
+    """Add the timestamp that the VARIANT column ``raw`` means, be it epoch milliseconds, epoch
+    seconds or ISO 8601 text.
 
-    Booleans count as the numbers 0 and 1; numbers inside text, containers and null give NULL.
+    Booleans count as the numbers 0 and 1; numbers inside text, containers and null give NULL. Type,
+    text and number are columns of their own on the way, so that each is worked out once per row.
     """
-    text = F.try_variant_get(raw, "$", "string")
-    number = F.try_variant_get(raw, "$", "double")
-    return F.when(F.schema_of_variant(raw) == "STRING", parse_iso(text)).otherwise(epoch_to_timestamp(number))
+    kind, text, number = F.col("_kind"), F.col("_text"), F.col("_number")
+    parts = df.withColumn("_kind", F.schema_of_variant(raw)).withColumns(
+        {
+            "_text": F.when(kind == "STRING", F.try_variant_get(raw, "$", "string")),
+            "_number": _as_number(F.col(raw), kind),
+        }
+    )
+    time = F.when(kind == "STRING", parse_iso(text)).otherwise(epoch_to_timestamp(number))
+    return parts.withColumn(name, time).drop("_kind", "_text", "_number")

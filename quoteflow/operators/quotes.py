@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quoteflow.functions import normalize_quote_time, truthy_or
+from quoteflow.functions import truthy_or, with_quote_time
 
 PRICE_TYPE = "decimal(18,4)"
 PRICES = {"LastPrice": "lastPrice", "BidPrice": "bidPrice", "AskPrice": "askPrice"}
@@ -33,21 +33,16 @@ def flatten(entries: DataFrame, price_type: str = PRICE_TYPE) -> DataFrame:
     RawJson keeps the payload whole. The quote time is quoteTime unless that is falsy, else
     tradeTime; a truthy one that cannot be read gives NULL.
     """
-    prices = [
-        F.try_variant_get("Payload", f"$.quote.{field}", price_type).alias(name)
-        for name, field in PRICES.items()
-    ]
-    quoted = F.try_variant_get("Payload", "$.quote.quoteTime", "variant")
-    traded = F.try_variant_get("Payload", "$.quote.tradeTime", "variant")
-    found = entries.select(
-        "SnapshotId", "Symbol", *prices, quoted.alias("quoted"), traded.alias("traded"), "Payload"
-    )
-    found = found.withColumn("time", truthy_or(F.col("quoted"), F.col("traded")))
+    fields = [f"{field} {price_type}" for field in PRICES.values()] + ["quoteTime variant", "tradeTime variant"]
+    quote = F.try_variant_get("Payload", "$.quote", f"struct<{', '.join(fields)}>")
+    found = entries.withColumn("quote", quote).select("*", "quote.quoteTime", "quote.tradeTime")
+    found = found.withColumn("time", truthy_or(F.col("quoteTime"), F.col("tradeTime")))
+    found = with_quote_time(found, "time", "at")
     return found.select(
         "SnapshotId",
         "Symbol",
-        *PRICES,
-        normalize_quote_time(F.col("time")).alias("QuoteTime"),
+        *[F.col(f"quote.{field}").alias(name) for name, field in PRICES.items()],
+        F.col("at").alias("QuoteTime"),
         F.to_json("Payload").alias("RawJson"),
     )
 

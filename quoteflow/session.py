@@ -8,6 +8,9 @@ from pyspark.sql import SparkSession
 SETTINGS = {
     # A repeated key in a JSON object keeps its last value instead of spoiling the document.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # Generated methods beyond this size are never compiled to machine code by HotSpot; Spark then
+    # runs the stage operator by operator instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Size-checked broadcasts, splitting of skewed join partitions, merging of small ones.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
