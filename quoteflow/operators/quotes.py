@@ -8,19 +8,33 @@ from pyspark.sql import functions as F
 from quoteflow.functions import truthy_or, with_quote_time
 
 PRICE_TYPE = "decimal(18,4)"
+END_MARK = "end of document"
 PRICES = {"LastPrice": "lastPrice", "BidPrice": "bidPrice", "AskPrice": "askPrice"}
 
 
+def parse_documents(documents: DataFrame) -> DataFrame:
+    """Add the whole text of each Document as the VARIANT ``Parsed``, NULL if it is no JSON.
+
+    The parser stops after one complete value and does not mind what follows. So the text is parsed
+    as the first of two array elements: only if the second is found where it belongs did the text
+    hold one value and nothing else.
+    """
+    pair = F.try_parse_json(F.concat(F.lit("["), F.col("Document"), F.lit(f',"{END_MARK}"]')))
+    whole = F.try_variant_get("_pair", "$[1]", "string") == END_MARK
+    value = F.when(whole, F.try_variant_get("_pair", "$[0]", "variant"))
+    return documents.withColumn("_pair", pair).withColumn("Parsed", value).drop("_pair")
+
+
 def explode_documents(documents: DataFrame) -> DataFrame:
     """One row ``(SnapshotId, Symbol, Payload)`` per top-level key of each document, any key.
 
     Each document is parsed once, to VARIANT. Text that is no JSON object gives no rows here; see
     ``rejected_documents``.
     """
-    spark = documents.sparkSession
-    entries = spark.tvf.variant_explode(F.try_parse_json(F.col("Document").outer()))
+    entries = documents.sparkSession.tvf.variant_explode(F.col("Parsed").outer())
     return (
-        documents.lateralJoin(entries)
+        parse_documents(documents)
+        .lateralJoin(entries)
         .where(F.col("key").isNotNull())
         .select("SnapshotId", F.col("key").alias("Symbol"), F.col("value").alias("Payload"))
     )
@@ -53,7 +67,6 @@ def raw_quotes(documents: DataFrame, price_type: str = PRICE_TYPE) -> DataFrame:
 
 
 def rejected_documents(documents: DataFrame) -> DataFrame:
-    """The documents that are no JSON object: cut off, empty, or of another kind."""
-    parsed = F.try_parse_json(F.col("Document"))
-    kind = F.schema_of_variant(parsed)
-    return documents.where(F.col("Document").isNull() | F.coalesce(~kind.startswith("OBJECT<"), F.lit(True)))
+    """The documents that are no JSON object: cut off, empty, with text after it, or of another kind."""
+    is_object = F.schema_of_variant("Parsed").startswith("OBJECT<")
+    return parse_documents(documents).where(~F.coalesce(is_object, F.lit(False))).drop("Parsed")

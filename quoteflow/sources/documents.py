@@ -30,8 +30,8 @@ def read_documents(spark: SparkSession, path: str, format: str = "parquet") -> D
 
 def stream_document_files(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
     """As ``read_document_files``, picking up files as they arrive."""
-    reader = spark.readStream.option("wholetext", True).option("maxFilesPerTrigger", files_per_batch)
-    return _numbered(reader.text(path))
+    reader = spark.readStream.option("maxFilesPerTrigger", files_per_batch)
+    return _numbered(reader.text(path, wholetext=True))
 
 
 def stream_documents(

@@ -21,6 +21,11 @@ from quoteflow.plans import registry
 from quoteflow.sources import read_portfolio, read_ticks, standins
 
 
+@pytest.fixture(autouse=True)
+def whole_plans(setting):
+    setting("spark.sql.maxMetadataStringLength", "100000")
+
+
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 

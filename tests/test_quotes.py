@@ -81,7 +81,10 @@ def test_the_last_of_repeated_keys_counts(spark):
 
 
 def test_bad_documents_are_rejected_and_harm_no_others(spark):
-    bad = ["", "{", '{"A":', "[1]", '"x"', "5", "null", None, '{"A":1} x']
+    bad = [
+        "", "{", '{"A":', "[1]", '"x"', "5", "null", None, " ",
+        '{"A":1} x', '{"A":1}{"B":2}', '{"A":1},{"B":2}', '{"A":1}]', '{"A":1}} {}',
+    ]
     good = ['{"A":1}', "{}", ' {"B":\n2} ']
     found = documents(spark, *bad, *good)
     assert {r.SnapshotId for r in rejected_documents(found).collect()} == set(range(len(bad)))

@@ -55,7 +55,7 @@ def test_batches_without_quotes_are_passed_over(spark, tmp_path):
     (folder / "snapshot-3.json").write_text('{"S1": ')
     run_loads(stream_document_files(spark, str(folder), 1), base, checkpoint).awaitTermination()
     assert [r.batch is not None for r in load_log(spark, base).collect()] == [True]
-    assert read_stage(spark, base).count() == 13
+    assert read_stage(spark, base).count() == sum((i + 1) % 3 > 0 for i in range(20))
 
 
 def test_a_stream_started_anew_goes_on_from_the_tables(spark, tmp_path):
