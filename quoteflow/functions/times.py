@@ -32,7 +32,8 @@ ISO_CALENDAR = (
     r"(?:(?:[.,]|\k<ext>:|\k<basic>(?=\d\d))(?:(?<f>\d{1,5})|(?<g>\d{6})(?:\d*|[^+\-]*(?=[+\-])))"
     r"|[\x00-\x7F&&[^+\-]](?=[+\-]))?"
     r"(?:[+\-](?!2[4-9]|[3-9]\d|23:?(?:[6-9]\d|59:?[6-9]\d))"
-    r"\d\d(?:(?<os>:?)\d\d(?:\k<os>\d\d(?:(?<ob>(?<!:\d\d))|(?<oe>(?<=:\d\d))))?)?(?:(?:[.,]|\k<oe>:|\k<ob>(?=\d\d))\d+)?)?"
+    r"\d\d(?:(?<os>:?)\d\d(?:\k<os>\d\d(?:(?<ob>(?<!:\d\d))|(?<oe>(?<=:\d\d))))?)?"
+    r"(?:(?:[.,]|\k<oe>:|\k<ob>(?=\d\d))\d+)?)?"
     r")?$"
 )
 # ISO 8601 week dates, 2024-W49, 2024-W49-5, 2024W49, 2024W495; a digit or hyphen

@@ -3,7 +3,7 @@
 from quoteflow.operators.bars import price_bars, price_history
 from quoteflow.operators.coverage import missing_symbols, quote_coverage, request_manifest
 from quoteflow.operators.latest import latest_quotes, stage_quotes
-from quoteflow.operators.quotes import explode_documents, raw_quotes, rejected_documents
+from quoteflow.operators.quotes import explode_documents, raw_quotes, rejected_documents, spread_documents
 from quoteflow.operators.symbols import (
     active_symbols,
     as_symbols,
@@ -27,5 +27,6 @@ __all__ = [
     "request_manifest",
     "require_rows",
     "restrict_to_symbols",
+    "spread_documents",
     "stage_quotes",
 ]

@@ -17,6 +17,7 @@ def request_manifest(symbols: DataFrame, batch_size: int = 500) -> DataFrame:
     A portfolio that fits gives one request. A larger one is first spread over hash buckets, and
     only a bucket is numbered and joined up in one place, however large the portfolio is.
     """
+    symbols = materialize(symbols.select("PortfolioID", "Symbol"), "symbols")
     sizes = symbols.groupBy("PortfolioID").agg(F.ceil(F.count("*") / batch_size).alias("buckets"))
     hashed = F.conv(F.substring(F.md5("Symbol"), 1, 8), 16, 10).cast("bigint")
     bucket = Window.partitionBy("PortfolioID", "bucket").orderBy("Symbol")

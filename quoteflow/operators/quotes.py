@@ -9,9 +9,21 @@ from quoteflow.functions import truthy_or, with_quote_time
 
 PRICE_TYPE = "decimal(18,4)"
 END_MARK = "end of document"
+# The whitespace of JSON.
+JSON_SPACE = " \t\r\n"
 PRICES = {"LastPrice": "lastPrice", "BidPrice": "bidPrice", "AskPrice": "askPrice"}
 
 
+def spread_documents(documents: DataFrame) -> DataFrame:
+    """Deal stored documents out over the cores when they come in fewer partitions than those.
+
+    Parsing is the costly part, and one file of text can hold a lot of it. Where the input already
+    comes in enough partitions, as any large one does, nothing is shuffled.
+    """
+    cores = documents.sparkSession.sparkContext.defaultParallelism
+    return documents if documents.rdd.getNumPartitions() >= cores else documents.repartition(cores)
+
+
 def parse_documents(documents: DataFrame) -> DataFrame:
     """Add the whole text of each Document as the VARIANT ``Parsed``, NULL if it is no JSON.
 
@@ -68,5 +80,5 @@ def raw_quotes(documents: DataFrame, price_type: str = PRICE_TYPE) -> DataFrame:
 
 def rejected_documents(documents: DataFrame) -> DataFrame:
     """The documents that are no JSON object: cut off, empty, with text after it, or of another kind."""
-    is_object = F.schema_of_variant("Parsed").startswith("OBJECT<")
+    is_object = F.col("Parsed").isNotNull() & F.ltrim("Document", F.lit(JSON_SPACE)).startswith("{")
     return parse_documents(documents).where(~F.coalesce(is_object, F.lit(False))).drop("Parsed")

@@ -20,6 +20,7 @@ from quoteflow.operators import (
     rejected_documents,
     request_manifest,
     restrict_to_symbols,
+    spread_documents,
 )
 from quoteflow.operators.quotes import flatten
 from quoteflow.plans.load import load_log, read_raw, read_stage, reload
@@ -35,6 +36,10 @@ RAW = ["SnapshotId", "Symbol", "LastPrice", "BidPrice", "AskPrice", "QuoteTime"]
 RECORDS_PER_FILE = 1_000_000
 
 
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread_documents(standins.quote_documents(spark, sf_dir))
+
+
 def portfolio_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
     return get_symbols(standins.portfolio_symbol(spark, sf_dir), 1)
 
@@ -54,22 +59,23 @@ def manifest_small(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quotes_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_quotes(standins.quote_documents(spark, sf_dir)).select(RAW)
+    return raw_quotes(_documents(spark, sf_dir)).select(RAW)
 
 
 def quotes_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = raw_quotes(standins.mixed_documents(spark, sf_dir))
+    raw = raw_quotes(spread_documents(standins.mixed_documents(spark, sf_dir)))
     is_quote = F.col("Symbol").rlike("^[SD]")
     return raw.select(*RAW, F.when(~is_quote, F.col("RawJson")).alias("OtherJson"))
 
 
 def quote_time_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_quotes(standins.time_form_documents(spark, sf_dir)).select("SnapshotId", "Symbol", "QuoteTime")
+    raw = raw_quotes(spread_documents(standins.time_form_documents(spark, sf_dir)))
+    return raw.select("SnapshotId", "Symbol", "QuoteTime")
 
 
 def quote_raw_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Values read back out of RawJson, among them some that have no column of their own."""
-    raw = raw_quotes(standins.quote_documents(spark, sf_dir))
+    raw = raw_quotes(_documents(spark, sf_dir))
     return raw.select(
         "SnapshotId",
         "Symbol",
@@ -80,26 +86,26 @@ def quote_raw_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rejected_documents(standins.damaged_documents(spark, sf_dir)).select("SnapshotId")
+    return rejected_documents(spread_documents(standins.damaged_documents(spark, sf_dir))).select("SnapshotId")
 
 
 def accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_quotes(standins.damaged_documents(spark, sf_dir)).select(RAW)
+    return raw_quotes(spread_documents(standins.damaged_documents(spark, sf_dir))).select(RAW)
 
 
 def quotes_one_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entries = explode_documents(standins.quote_documents(spark, sf_dir))
+    entries = explode_documents(_documents(spark, sf_dir))
     return flatten(restrict_to_symbols(entries, "S1")).select(RAW)
 
 
 def quotes_symbol_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    entries = explode_documents(standins.quote_documents(spark, sf_dir))
+    entries = explode_documents(_documents(spark, sf_dir))
     return flatten(restrict_to_symbols(entries, ["S1", "S2", "S3", "none"])).select(RAW)
 
 
 def portfolio_quote_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every quote of the symbols of portfolio 1; others are dropped before their fields are read."""
-    entries = explode_documents(standins.quote_documents(spark, sf_dir))
+    entries = explode_documents(_documents(spark, sf_dir))
     return flatten(restrict_to_symbols(entries, portfolio_symbols(spark, sf_dir))).select(RAW)
 
 
@@ -108,22 +114,22 @@ def portfolio_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quotes_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return latest_quotes(raw_quotes(standins.quote_documents(spark, sf_dir)))
+    return latest_quotes(raw_quotes(_documents(spark, sf_dir)))
 
 
 def coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    quotes = explode_documents(standins.quote_documents(spark, sf_dir))
+    quotes = explode_documents(_documents(spark, sf_dir))
     return quote_coverage(portfolio_symbols_all(spark, sf_dir), quotes)
 
 
 def missing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    quotes = explode_documents(standins.quote_documents(spark, sf_dir))
+    quotes = explode_documents(_documents(spark, sf_dir))
     return missing_symbols(portfolio_symbols_all(spark, sf_dir), quotes)
 
 
 def _loaded(spark: SparkSession, sf_dir: str) -> str:
     base = new_folder(spark, "load")
-    reload(raw_quotes(standins.quote_documents(spark, sf_dir)), base)
+    reload(raw_quotes(_documents(spark, sf_dir)), base)
     return base
 
 
@@ -153,7 +159,7 @@ def _bars(frequency: str) -> Query:
 def quotes_stream_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents land as files, a stream appends their raw rows to a table."""
     folder = new_folder(spark, "stream")
-    landed = standins.quote_documents(spark, sf_dir).write.option("maxRecordsPerFile", RECORDS_PER_FILE)
+    landed = _documents(spark, sf_dir).write.option("maxRecordsPerFile", RECORDS_PER_FILE)
     landed.parquet(f"{folder}/landed")
     documents = stream_documents(spark, f"{folder}/landed")
     append_raw(documents, f"{folder}/raw", f"{folder}/checkpoint").awaitTermination()
@@ -163,7 +169,7 @@ def quotes_stream_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quotes_stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents land in two lots that together are all of them; a stream runs a load after each."""
     folder = new_folder(spark, "stream")
-    documents = standins.quote_documents(spark, sf_dir)
+    documents = _documents(spark, sf_dir)
     first = F.col("Document").contains('"quoteTime":"')
     for lot in (first, ~first):
         landed = documents.where(lot).write.mode("append").option("maxRecordsPerFile", RECORDS_PER_FILE)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from quoteflow.operators.quotes import raw_quotes
+from quoteflow.operators.quotes import raw_quotes, spread_documents
 from quoteflow.plans.load import NothingToLoad, reload
 
 
@@ -34,7 +34,8 @@ def run_loads(documents: DataFrame, base: str, checkpoint: str) -> StreamingQuer
 
     def load(batch: DataFrame, number: int) -> None:
         try:
-            reload(raw_quotes(batch), base, source=checkpoint, batch=number, carry_over=True)
+            raw = raw_quotes(spread_documents(batch))
+            reload(raw, base, source=checkpoint, batch=number, carry_over=True)
         except NothingToLoad:
             pass
 
