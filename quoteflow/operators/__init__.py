@@ -3,7 +3,13 @@
 from quoteflow.operators.bars import price_bars, price_history
 from quoteflow.operators.coverage import missing_symbols, quote_coverage, request_manifest
 from quoteflow.operators.latest import latest_quotes, stage_quotes
-from quoteflow.operators.quotes import explode_documents, raw_quotes, rejected_documents, spread_documents
+from quoteflow.operators.quotes import (
+    explode_documents,
+    flatten,
+    raw_quotes,
+    rejected_documents,
+    spread_documents,
+)
 from quoteflow.operators.symbols import (
     active_symbols,
     as_symbols,
@@ -16,6 +22,7 @@ __all__ = [
     "active_symbols",
     "as_symbols",
     "explode_documents",
+    "flatten",
     "get_symbols",
     "latest_quotes",
     "missing_symbols",

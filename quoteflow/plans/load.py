@@ -6,7 +6,7 @@ them, and there is no moment at which the tables are empty.
 
     <base>/raw/<unique>      raw rows of one load
     <base>/stage/<unique>    stage rows of one load
-    <base>/loads             the log, one row per finished load
+    <base>/loads/load_id=N   the log, one row per finished load
 """
 
 from __future__ import annotations
@@ -96,8 +96,8 @@ def reload(
     stage_rows = spark.read.parquet(stage_path).count()
 
     row = (load_id, source, batch, raw_path, stage_path, raw_rows, stage_rows)
-    entry = spark.createDataFrame([row], LOG_SCHEMA)
-    entry.coalesce(1).write.mode("append").parquet(f"{base}/loads")
+    entry = spark.createDataFrame([row], LOG_SCHEMA).coalesce(1)
+    entry.write.mode("append").partitionBy("load_id").parquet(f"{base}/loads")
     return load_log(spark, base).where(F.col("load_id") == load_id)
 
 
@@ -110,24 +110,32 @@ def newer_of(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def expire_loads(spark: SparkSession, base: str, keep: int = 1) -> int:
-    """Delete the tables of all but the ``keep`` newest loads; the log itself stays.
+    """Forget all but the ``keep`` newest loads, and delete every table that no kept load names.
 
-    Returns how many folders went. Call it when no reader uses older loads any more.
+    That includes what failed loads left behind. Returns how many tables went. Call it while no load
+    runs and no reader uses older loads.
     """
     if keep < 1:
         raise ValueError("the newest load cannot be expired")
-    newest = load_log(spark, base).orderBy(F.desc("load_id")).select("load_id").limit(keep)
-    oldest_kept = newest.agg(F.min("load_id")).first()[0]
-    expired = load_log(spark, base).where(F.col("load_id") < oldest_kept)
+    kept = load_log(spark, base).orderBy(F.desc("load_id")).limit(keep).collect()
+    if not kept:
+        return 0
+    names = {f"load_id={load.load_id}" for load in kept}
+    _delete_others(spark, f"{base}/loads", names | {"_SUCCESS"})
     gone = 0
-    for row in expired.select("raw_path", "stage_path").toLocalIterator():
-        for path in row:
-            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-            files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-            gone += bool(files.delete(folder, True))
+    for kind in ("raw", "stage"):
+        gone += _delete_others(spark, f"{base}/{kind}", {load[f"{kind}_path"].rsplit("/", 1)[1] for load in kept})
     return gone
 
 
+def _delete_others(spark: SparkSession, folder: str, keep: set[str]) -> int:
+    """Delete what lies in a folder but for the names to keep."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    others = [entry.getPath() for entry in files.listStatus(path) if entry.getPath().getName() not in keep]
+    return sum(files.delete(other, True) for other in others)
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, batch_size: int = 10000, **options: str) -> None:
     """Replace the rows of a database table, which keeps its definition, in parallel batches."""
     writer = df.write.format("jdbc").mode("overwrite").option("truncate", True).option("batchsize", batch_size)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quoteflow.operators import (
     active_symbols,
     explode_documents,
+    flatten,
     get_symbols,
     latest_quotes,
     missing_symbols,
@@ -22,7 +23,6 @@ from quoteflow.operators import (
     restrict_to_symbols,
     spread_documents,
 )
-from quoteflow.operators.quotes import flatten
 from quoteflow.plans.load import load_log, read_raw, read_stage, reload
 from quoteflow.plans.workspace import new_folder
 from quoteflow.session import configure

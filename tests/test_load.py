@@ -80,18 +80,32 @@ def test_a_batch_is_loaded_once(spark, base):
     assert stage(spark, base) == {"A": 3}
 
 
-def test_expire_loads(spark, base):
+def test_expire_loads(spark, base, monkeypatch):
+    assert load.expire_loads(spark, base) == 0
     for n in range(3):
         load.reload(raw(spark, n, A=(n, 100 + n)), base)
     oldest = load.load_log(spark, base).where("load_id = 0").first()
     assert load.expire_loads(spark, base, keep=2) == 2
     assert load.expire_loads(spark, base, keep=2) == 0
+    assert sorted(r.load_id for r in load.load_log(spark, base).collect()) == [1, 2]
     assert stage(spark, base) == {"A": 2}
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.parquet(oldest.raw_path).count()
     with pytest.raises(ValueError):
         load.expire_loads(spark, base, keep=0)
 
+    def fail(_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(load, "stage_quotes", fail)
+        with pytest.raises(RuntimeError):
+            load.reload(raw(spark, 3, A=(9, 900)), base)
+    assert load.expire_loads(spark, base, keep=2) == 1
+    assert load.reload(raw(spark, 4, A=(4, 104)), base).first().load_id == 3
+    assert load.expire_loads(spark, base) == 4
+    assert stage(spark, base) == {"A": 4}
+
 
 def test_shared_folder_is_the_one_of_the_session(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
