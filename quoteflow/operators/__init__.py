@@ -1,6 +1,6 @@
 """Operators: each takes and returns DataFrames."""
 
-from quoteflow.operators.bars import price_bars, price_history
+from quoteflow.operators.bars import coarser_bars, price_bars, price_history
 from quoteflow.operators.coverage import missing_symbols, quote_coverage, request_manifest
 from quoteflow.operators.latest import latest_quotes, stage_quotes
 from quoteflow.operators.quotes import (
@@ -21,6 +21,7 @@ from quoteflow.operators.symbols import (
 __all__ = [
     "active_symbols",
     "as_symbols",
+    "coarser_bars",
     "explode_documents",
     "flatten",
     "get_symbols",

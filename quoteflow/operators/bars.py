@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quoteflow.operators.symbols import restrict_to_symbols
@@ -23,16 +23,27 @@ def price_history(
     """Ticks from the day ``start`` to the day ``end``, both included (YYYY-MM-DD).
 
     The range reaches the scan. Where the table is split into folders by day, name that column and
-    other folders are not read at all.
+    other folders are not read at all. Stored bars have no ``ts``; for them name ``bar_date``.
     """
     first, last = F.lit(start).cast("date"), F.lit(end).cast("date")
-    ts = F.col("ts")
-    rows = ticks.where((ts >= first.cast("timestamp_ntz")) & (ts < F.date_add(last, 1).cast("timestamp_ntz")))
+    if "ts" not in ticks.columns and day_column is None:
+        raise ValueError("a table without ts needs a day_column")
+    rows = ticks
+    if "ts" in ticks.columns:
+        since, until = first.cast("timestamp_ntz"), F.date_add(last, 1).cast("timestamp_ntz")
+        rows = rows.where((F.col("ts") >= since) & (F.col("ts") < until))
     if day_column is not None:
         rows = rows.where(F.col(day_column).between(first, last))
     return rows if symbols is None else restrict_to_symbols(rows, symbols)
 
 
+def _period(day: Column, frequency: str) -> Column:
+    """The first day of the period a day is in."""
+    if frequency not in FREQUENCIES:
+        raise ValueError(f"frequency must be one of {', '.join(FREQUENCIES)}, not {frequency!r}")
+    return day if frequency == "daily" else F.trunc(day, FREQUENCIES[frequency])
+
+
 def price_bars(ticks: DataFrame, frequency: str = "daily", tie_breaker: str | None = None) -> DataFrame:
     """Open, high, low, close and volume per symbol and day, week or month.
 
@@ -40,10 +51,7 @@ def price_bars(ticks: DataFrame, frequency: str = "daily", tie_breaker: str | No
     times are unique: the aggregation then needs no sort. Every partition is reduced to one row per
     bar before the shuffle.
     """
-    if frequency not in FREQUENCIES:
-        raise ValueError(f"frequency must be one of {', '.join(FREQUENCIES)}, not {frequency!r}")
-    day = F.to_date("ts")
-    bar_date = day if frequency == "daily" else F.trunc(day, FREQUENCIES[frequency])
+    bar_date = _period(F.to_date("ts"), frequency)
     order = F.col("ts") if tie_breaker is None else F.struct("ts", tie_breaker)
     return ticks.groupBy("Symbol", bar_date.alias("bar_date")).agg(
         F.min_by("Price", order).alias("open"),
@@ -52,3 +60,14 @@ def price_bars(ticks: DataFrame, frequency: str = "daily", tie_breaker: str | No
         F.max_by("Price", order).alias("close"),
         F.sum("Volume").alias("volume"),
     )
+
+
+def coarser_bars(daily: DataFrame, frequency: str) -> DataFrame:
+    """Weekly or monthly bars from stored daily ones, without going back to the ticks."""
+    return daily.groupBy("Symbol", _period(F.col("bar_date"), frequency).alias("period")).agg(
+        F.min_by("open", "bar_date").alias("open"),
+        F.max("high").alias("high"),
+        F.min("low").alias("low"),
+        F.max_by("close", "bar_date").alias("close"),
+        F.sum("volume").alias("volume"),
+    ).withColumnRenamed("period", "bar_date")

@@ -153,6 +153,8 @@ SELECT CAST(0 AS BIGINT) AS load_id, count(*) AS raw_rows,
     "price_bars_daily": _bars("day"),
     "price_bars_weekly": _bars("week"),
     "price_bars_monthly": _bars("month"),
+    "price_bars_weekly_from_daily": _bars("week"),
+    "price_bars_monthly_from_daily": _bars("month"),
     "quotes_stream_raw": f"WITH {QUOTES} SELECT {RAW} FROM quotes",
     "quotes_stream_latest": STAGE,
 }

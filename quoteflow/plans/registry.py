@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quoteflow.operators import (
     active_symbols,
+    coarser_bars,
     explode_documents,
     flatten,
     get_symbols,
@@ -24,7 +25,7 @@ from quoteflow.operators import (
     spread_documents,
 )
 from quoteflow.plans.load import load_log, read_raw, read_stage, reload
-from quoteflow.plans.workspace import new_folder
+from quoteflow.plans.workspace import materialize, new_folder
 from quoteflow.session import configure
 from quoteflow.sources import standins, stream_documents
 from quoteflow.streaming import append_raw, run_loads
@@ -156,6 +157,14 @@ def _bars(frequency: str) -> Query:
     return query
 
 
+def _coarser(frequency: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        daily = materialize(_bars("daily")(spark, sf_dir), "daily")
+        return coarser_bars(price_history(daily, START, END, day_column="bar_date"), frequency)
+
+    return query
+
+
 def quotes_stream_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents land as files, a stream appends their raw rows to a table."""
     folder = new_folder(spark, "stream")
@@ -204,6 +213,8 @@ QUERIES: dict[str, Query] = {
     "price_bars_daily": _bars("daily"),
     "price_bars_weekly": _bars("weekly"),
     "price_bars_monthly": _bars("monthly"),
+    "price_bars_weekly_from_daily": _coarser("weekly"),
+    "price_bars_monthly_from_daily": _coarser("monthly"),
     "quotes_stream_raw": quotes_stream_raw,
     "quotes_stream_latest": quotes_stream_latest,
 }

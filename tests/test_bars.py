@@ -6,7 +6,7 @@ from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
-from quoteflow.operators import price_bars, price_history
+from quoteflow.operators import coarser_bars, price_bars, price_history
 from quoteflow.sources import TICK_SCHEMA, read_ticks
 
 FIRST = datetime(2023, 12, 28)
@@ -52,11 +52,27 @@ def test_bars_by_brute_force(ticks, rows, frequency):
     assert {(r.Symbol, r.bar_date): tuple(r)[2:] for r in got} == expected
 
 
+@pytest.mark.parametrize("frequency", ["daily", "weekly", "monthly"])
+def test_coarser_bars_equal_those_from_ticks(ticks, frequency):
+    coarser = coarser_bars(price_bars(ticks, "daily", tie_breaker="TickId"), frequency)
+    direct = price_bars(ticks, frequency, tie_breaker="TickId")
+    assert coarser.columns == direct.columns
+    assert sorted(map(tuple, coarser.collect())) == sorted(map(tuple, direct.collect()))
+
+
 def test_unknown_frequency(ticks):
     with pytest.raises(ValueError, match="hourly"):
         price_bars(ticks, "hourly")
 
 
+def test_history_of_stored_bars(ticks):
+    daily = price_bars(ticks, "daily")
+    found = price_history(daily, "2024-01-05", "2024-01-07", "A", day_column="bar_date")
+    assert {r.bar_date for r in found.collect()} == {date(2024, 1, 5), date(2024, 1, 6), date(2024, 1, 7)}
+    with pytest.raises(ValueError, match="day_column"):
+        price_history(daily, "2024-01-05", "2024-01-07")
+
+
 def test_both_ends_belong_to_the_range(ticks, rows):
     found = price_history(ticks, "2024-01-05", "2024-01-07")
     days = {row.ts.date() for row in found.collect()}

@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from quoteflow.operators import (
     active_symbols,
+    coarser_bars,
     explode_documents,
     price_bars,
     price_history,
@@ -88,6 +89,8 @@ def test_history_filters_reach_the_scan(spark, sf_dir, tmp_path):
 def test_bars_are_reduced_before_the_shuffle(spark, sf_dir):
     found = plan(price_bars(standins.ticks(spark, sf_dir), "weekly"))
     assert found.count("HashAggregate") == 2 and "Sort" not in found
+    daily = price_bars(standins.ticks(spark, sf_dir), "daily")
+    assert "Sort" not in plan(coarser_bars(daily, "monthly"))
     assert "partial_max" in plan(price_bars(standins.ticks(spark, sf_dir), "weekly", tie_breaker="TickId"))
 
 

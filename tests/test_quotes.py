@@ -118,9 +118,8 @@ def test_latest_and_stage(spark, tmp_path):
 def test_one_symbol_holding_most_rows(spark, tmp_path):
     """Many copies of the newest row of a hot symbol, among them equal ones."""
     raw = raw_quotes(documents(spark, json.dumps({"HOT": quote(1700000005, 1, fundamental={"n": 1})})))
-    raw = raw.crossJoin(spark.range(20000).select(F.col("id").alias("copy"))).withColumn(
-        "SnapshotId", F.col("copy") % 100
-    )
+    copies = F.explode(F.sequence(F.lit(0), F.lit(19999)))
+    raw = raw.withColumn("copy", copies).withColumn("SnapshotId", (F.col("copy") % 100).cast("bigint"))
     raw.drop("copy").write.parquet(str(tmp_path / "raw"))
     (row,) = stage_quotes(spark.read.parquet(str(tmp_path / "raw"))).collect()
     assert (row.Symbol, row.SnapshotId, row.Fundamental) == ("HOT", 99, '{"n":1}')
