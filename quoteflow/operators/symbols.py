@@ -14,15 +14,18 @@ from quoteflow.plans.workspace import materialize
 MAX_IN_LIST = 1000
 
 
+def _active_rows(portfolio: DataFrame, portfolio_id: int | None) -> DataFrame:
+    rows = portfolio.where(F.col("IsActive") & is_present(F.col("Symbol")))
+    return rows if portfolio_id is None else rows.where(F.col("PortfolioID") == portfolio_id)
+
+
 def active_symbols(portfolio: DataFrame, portfolio_id: int | None = None) -> DataFrame:
     """Distinct cleaned symbols ``(PortfolioID, Symbol)`` of one portfolio, or of all.
 
     NULL and empty symbols and inactive rows are dropped. The presence test comes before the
     clean-up, so a blank symbol stays, as ''. Duplicates go after it: ' aapl' and 'AAPL' are one.
     """
-    rows = portfolio.where(F.col("IsActive") & is_present(F.col("Symbol")))
-    if portfolio_id is not None:
-        rows = rows.where(F.col("PortfolioID") == portfolio_id)
+    rows = _active_rows(portfolio, portfolio_id)
     return rows.select("PortfolioID", clean_symbol(F.col("Symbol")).alias("Symbol")).distinct()
 
 
@@ -35,8 +38,9 @@ def require_rows(df: DataFrame, message: str) -> DataFrame:
 
 def get_symbols(portfolio: DataFrame, portfolio_id: int) -> DataFrame:
     """The symbols of one portfolio as a single column; an empty portfolio is an error."""
-    symbols = active_symbols(portfolio, portfolio_id).select("Symbol")
-    return require_rows(symbols, f"no active symbols in portfolio {portfolio_id}")
+    # Looked for before the duplicates go: the first row found answers it, without a shuffle.
+    require_rows(_active_rows(portfolio, portfolio_id), f"no active symbols in portfolio {portfolio_id}")
+    return active_symbols(portfolio, portfolio_id).select("Symbol")
 
 
 def as_symbols(spark: SparkSession, symbols: str | Sequence[str] | DataFrame) -> DataFrame:

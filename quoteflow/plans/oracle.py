@@ -125,8 +125,12 @@ FROM events
 WITH {QUOTES}
 SELECT SnapshotId, Symbol, CAST(k AS BIGINT) AS k, AskPrice AS ask, epoch_us(ts) // 1000 AS trade_ms FROM quotes
 """,
-    "documents_rejected": "SELECT event_id AS SnapshotId FROM events WHERE event_id % 10 < 4",
-    "documents_accepted": f"WITH {QUOTES} SELECT {RAW} FROM quotes WHERE SnapshotId % 10 >= 4",
+    "documents_rejected": """
+SELECT event_id AS SnapshotId FROM events WHERE event_type IN ('click', 'signup', 'error')
+""",
+    "documents_accepted": f"""
+WITH {QUOTES} SELECT {RAW} FROM quotes WHERE event_type IN ('view', 'purchase')
+""",
     "quotes_one_symbol": f"WITH {QUOTES} SELECT {RAW} FROM quotes WHERE Symbol = 'S1'",
     "quotes_symbol_list": f"WITH {QUOTES} SELECT {RAW} FROM quotes WHERE Symbol IN ('S1', 'S2', 'S3')",
     "portfolio_quote_rows": f"WITH {SYMBOLS}, {QUOTES} {PORTFOLIO_ROWS}",

@@ -113,17 +113,15 @@ def mixed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def damaged_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Responses of which some are cut off, empty or no object."""
-    whole = F.col("Document")
-    kind = F.col("SnapshotId") % 10
-    return quote_documents(spark, sf_dir).withColumn(
-        "Document",
-        F.when(kind == 0, F.left(whole, F.length(whole) - 1))
-        .when(kind == 1, F.lit(""))
-        .when(kind == 2, F.concat(F.lit("["), whole, F.lit("]")))
-        .when(kind == 3, F.lit(None))
-        .otherwise(whole),
+    """Responses that are cut off for clicks, empty for signups and no object for errors."""
+    whole, kind = _document(_payload(_plain_time())), F.col("event_type")
+    text = (
+        F.when(kind == "click", F.left(whole, F.length(whole) - 1))
+        .when(kind == "signup", F.lit(""))
+        .when(kind == "error", F.concat(F.lit("["), whole, F.lit("]")))
+        .otherwise(whole)
     )
+    return _events(spark, sf_dir).select(F.col("event_id").alias("SnapshotId"), text.alias("Document"))
 
 
 def time_form_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -73,6 +73,8 @@ def test_restrict_takes_one_many_or_a_table(spark, monkeypatch):
     assert listed(restrict_to_symbols(df, ["B", "C", "D"])) == [("B", 3), ("C", 4)]
     wanted = as_symbols(spark, ["A", "A", "C"])
     assert listed(restrict_to_symbols(df, wanted)) == [("A", 1), ("A", 2), ("C", 4)]
+    assert listed(restrict_to_symbols(df, [])) == []
+    assert listed(restrict_to_symbols(df, as_symbols(spark, []))) == []
     monkeypatch.setattr(symbols_module, "MAX_IN_LIST", 1)
     assert listed(restrict_to_symbols(df, ["B", "C"])) == [("B", 3), ("C", 4)]
 
