@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,8 +16,8 @@ FREQUENCIES = {"daily": "DAY", "weekly": "WEEK", "monthly": "MONTH"}
 
 def price_history(
     ticks: DataFrame,
-    start: str,
-    end: str,
+    start: str | date,
+    end: str | date,
     symbols: str | Sequence[str] | DataFrame | None = None,
     day_column: str | None = None,
 ) -> DataFrame:
@@ -25,7 +26,7 @@ def price_history(
     The range reaches the scan. Where the table is split into folders by day, name that column and
     other folders are not read at all. Stored bars have no ``ts``; for them name ``bar_date``.
     """
-    first, last = F.lit(start).cast("date"), F.lit(end).cast("date")
+    first, last = (F.lit(date.fromisoformat(str(day))) for day in (start, end))
     if "ts" not in ticks.columns and day_column is None:
         raise ValueError("a table without ts needs a day_column")
     rows = ticks
@@ -51,15 +52,15 @@ def price_bars(ticks: DataFrame, frequency: str = "daily", tie_breaker: str | No
     times are unique: the aggregation then needs no sort. Every partition is reduced to one row per
     bar before the shuffle.
     """
-    bar_date = _period(F.to_date("ts"), frequency)
-    order = F.col("ts") if tie_breaker is None else F.struct("ts", tie_breaker)
-    return ticks.groupBy("Symbol", bar_date.alias("bar_date")).agg(
-        F.min_by("Price", order).alias("open"),
-        F.max("Price").alias("high"),
-        F.min("Price").alias("low"),
-        F.max_by("Price", order).alias("close"),
-        F.sum("Volume").alias("volume"),
-    )
+    groups = ticks.groupBy("Symbol", _period(F.to_date("ts"), frequency).alias("bar_date"))
+    rest = [F.max("Price").alias("high"), F.min("Price").alias("low"), F.sum("Volume").alias("volume")]
+    if tie_breaker is None:
+        bars = groups.agg(F.min_by("Price", "ts").alias("open"), F.max_by("Price", "ts").alias("close"), *rest)
+    else:
+        tick = F.struct("ts", tie_breaker, "Price")
+        ends = groups.agg(F.min(tick).alias("first"), F.max(tick).alias("last"), *rest)
+        bars = ends.withColumns({"open": F.col("first.Price"), "close": F.col("last.Price")})
+    return bars.select("Symbol", "bar_date", "open", "high", "low", "close", "volume")
 
 
 def coarser_bars(daily: DataFrame, frequency: str) -> DataFrame:

@@ -9,27 +9,34 @@ from quoteflow.operators.quotes import raw_quotes, spread_documents
 from quoteflow.plans.load import NothingToLoad, reload
 
 
-def append_raw(documents: DataFrame, raw_path: str, checkpoint: str) -> StreamingQuery:
+def _trigger(every: str | None) -> dict:
+    return {"availableNow": True} if every is None else {"processingTime": every}
+
+
+def append_raw(
+    documents: DataFrame, raw_path: str, checkpoint: str, every: str | None = None
+) -> StreamingQuery:
     """Append the raw rows of new documents to a Parquet table, each exactly once.
 
-    There is no state and no shuffle. Takes what has arrived so far, then stops; a later run with
-    the same checkpoint goes on from there.
+    There is no state and no shuffle. Takes what has arrived so far, then stops, and a later run
+    with the same checkpoint goes on from there; with ``every``, say "1 minute", it keeps running.
     """
     return (
         raw_quotes(documents)
         .writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)
         .option("path", raw_path)
-        .trigger(availableNow=True)
+        .trigger(**_trigger(every))
         .start()
     )
 
 
-def run_loads(documents: DataFrame, base: str, checkpoint: str) -> StreamingQuery:
+def run_loads(documents: DataFrame, base: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """A load per batch of new documents; symbols without news keep their stage rows.
 
     Files may arrive in any order: the newer quote wins by the time inside it. A batch that is run
-    again after a failure loads nothing twice; one without any quotes is passed over.
+    again after a failure loads nothing twice; one without any quotes is passed over. Stops and goes
+    on like ``append_raw``.
     """
 
     def load(batch: DataFrame, number: int) -> None:
@@ -42,6 +49,6 @@ def run_loads(documents: DataFrame, base: str, checkpoint: str) -> StreamingQuer
     return (
         documents.writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**_trigger(every))
         .start()
     )

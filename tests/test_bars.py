@@ -80,6 +80,9 @@ def test_both_ends_belong_to_the_range(ticks, rows):
     assert found.count() == sum(date(2024, 1, 5) <= r[1].date() <= date(2024, 1, 7) for r in rows)
     assert {r.Symbol for r in price_history(ticks, "2024-01-05", "2024-01-07", "B").collect()} == {"B"}
     assert price_history(ticks, "2024-01-07", "2024-01-05").count() == 0
+    assert price_history(ticks, date(2024, 1, 5), date(2024, 1, 7)).count() == found.count()
+    with pytest.raises(ValueError):
+        price_history(ticks, "2024-1-5", "2024-01-07")
 
 
 def test_folders_by_day_are_pruned(spark, ticks, tmp_path):

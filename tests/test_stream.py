@@ -77,3 +77,16 @@ def test_documents_as_rows(spark, tmp_path):
     raw = str(tmp_path / "raw")
     append_raw(stream_documents(spark, str(tmp_path / "table"), files_per_batch=1), raw, str(tmp_path / "c")).awaitTermination()
     assert listed(spark.read.parquet(raw)) == listed(raw_quotes(read_documents(spark, str(tmp_path / "table"))))
+
+
+def test_a_stream_that_keeps_running(spark, tmp_path):
+    folder, base = tmp_path / "in", str(tmp_path / "tables")
+    land(folder, [1])
+    query = run_loads(stream_document_files(spark, str(folder)), base, str(tmp_path / "c"), every="1 second")
+    try:
+        query.processAllAvailable()
+        land(folder, [2])
+        query.processAllAvailable()
+        assert {r.SnapshotId for r in read_stage(spark, base).collect()} == {1, 2}
+    finally:
+        query.stop()
