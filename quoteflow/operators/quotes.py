@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quoteflow.functions import truthy_or, with_quote_time
@@ -24,17 +24,25 @@ def spread_documents(documents: DataFrame) -> DataFrame:
     return documents if documents.rdd.getNumPartitions() >= cores else documents.repartition(cores)
 
 
-def parse_documents(documents: DataFrame) -> DataFrame:
-    """Add the whole text of each Document as the VARIANT ``Parsed``, NULL if it is no JSON.
+def _with_end_mark(text: Column) -> Column:
+    """JSON text as VARIANT, in a pair with an end mark.
 
-    The parser stops after one complete value and does not mind what follows. So the text is parsed
-    as the first of two array elements: only if the second is found where it belongs did the text
-    hold one value and nothing else.
+    The parser stops after one complete value and does not mind what follows. Parsed as the first
+    of two array elements, the text held one value and nothing else only if the second one is found
+    where it belongs.
     """
-    pair = F.try_parse_json(F.concat(F.lit("["), F.col("Document"), F.lit(f',"{END_MARK}"]')))
-    whole = F.try_variant_get("_pair", "$[1]", "string") == END_MARK
-    value = F.when(whole, F.try_variant_get("_pair", "$[0]", "variant"))
-    return documents.withColumn("_pair", pair).withColumn("Parsed", value).drop("_pair")
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{END_MARK}"]')))
+
+
+def _is_whole(pair: Column) -> Column:
+    return F.coalesce(F.try_variant_get(pair, "$[1]", "string"), F.lit("")) == END_MARK
+
+
+def parse_documents(documents: DataFrame) -> DataFrame:
+    """Add the whole text of each Document as the VARIANT ``Parsed``, NULL if it is no JSON."""
+    pair = F.col("_pair")
+    value = F.when(_is_whole(pair), F.try_variant_get(pair, "$[0]", "variant"))
+    return documents.withColumn("_pair", _with_end_mark(F.col("Document"))).withColumn("Parsed", value).drop("_pair")
 
 
 def explode_documents(documents: DataFrame) -> DataFrame:
@@ -80,5 +88,9 @@ def raw_quotes(documents: DataFrame, price_type: str = PRICE_TYPE) -> DataFrame:
 
 def rejected_documents(documents: DataFrame) -> DataFrame:
     """The documents that are no JSON object: cut off, empty, with text after it, or of another kind."""
-    is_object = F.col("Parsed").isNotNull() & F.ltrim("Document", F.lit(JSON_SPACE)).startswith("{")
-    return parse_documents(documents).where(~F.coalesce(is_object, F.lit(False))).drop("Parsed")
+    text = F.col("Document")
+    braced = F.coalesce(F.ltrim(text, F.lit(JSON_SPACE)).startswith("{"), F.lit(False))
+    whole = braced & _is_whole(_with_end_mark(text))
+    # As the output of a generator the test stays where it is, and is worked out once per document.
+    checked = documents.withColumn("_whole", F.explode(F.array(whole)))
+    return checked.where(~F.col("_whole")).drop("_whole")

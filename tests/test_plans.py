@@ -38,7 +38,7 @@ def test_no_python_and_no_cross_joins(spark, sf_dir, name):
         assert word not in found
 
 
-@pytest.mark.parametrize("name", ["quotes_raw", "quotes_mixed", "quotes_latest", "portfolio_quotes"])
+@pytest.mark.parametrize("name", ["quotes_raw", "quotes_mixed", "quotes_latest", "portfolio_quotes", "documents_rejected"])
 def test_documents_are_parsed_once(spark, sf_dir, name):
     assert plan(entry.queries()[name](spark, sf_dir)).count("parseJson") == 1
 
