@@ -124,4 +124,5 @@ def with_quote_time(df: DataFrame, raw: str, name: str) -> DataFrame:
         }
     )
     time = F.when(kind == "STRING", parse_iso(text)).otherwise(epoch_to_timestamp(number))
-    return parts.withColumn(name, time).drop("_kind", "_text", "_number")
+    # As the output of a generator, a later filter on the time does not have it worked out again.
+    return parts.withColumn(name, F.explode(F.array(time))).drop("_kind", "_text", "_number")
