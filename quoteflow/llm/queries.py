@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quoteflow.llm import sql
+from quoteflow.llm.jaccard import jaccard_classes
 from quoteflow.llm.line_dedup import line_dedup
 from quoteflow.llm.mixing import mix_sources
 from quoteflow.llm.quality_rules import quality_rules
@@ -30,6 +31,11 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", digest.alias("kept_sha256"))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard_classes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return judged.select(
@@ -47,6 +53,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op4_mix_sources": op4_mix_sources,
     "op8_line_dedup": op8_line_dedup,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_quality_rules": op10_quality_rules,
 }
 ORACLE = dict(sql.ORACLE)
