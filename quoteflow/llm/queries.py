@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quoteflow.llm import sql
+from quoteflow.llm.decontaminate import find_passages
 from quoteflow.llm.jaccard import jaccard_classes
 from quoteflow.llm.line_dedup import line_dedup
 from quoteflow.llm.mixing import mix_sources
@@ -25,6 +26,19 @@ def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_passages(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    names = F.array_sort("items")
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", names).cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     digest = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
@@ -52,6 +66,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op4_mix_sources": op4_mix_sources,
+    "op5_decontaminate": op5_decontaminate,
     "op8_line_dedup": op8_line_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_quality_rules": op10_quality_rules,

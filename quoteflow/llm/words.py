@@ -24,6 +24,8 @@ class Words(NamedTuple):
 
     hashes: np.ndarray
     first: np.ndarray
+    starts: np.ndarray  # in the bytes of the piece
+    ends: np.ndarray
     prefixes: tuple[np.ndarray, ...] = ()  # hashes of beginnings; 0 where a word is not longer
 
     def counts(self) -> np.ndarray:
@@ -103,12 +105,11 @@ def find_words(
     edges = offsets[:-1][offsets[:-1] < offsets[1:]]
     begins[edges] = inside[edges]
     starts = np.flatnonzero(begins)
-    ends = inside
-    ends = ends.copy()
-    ends[:-1] &= ~inside[1:]
+    stops = inside.copy()
+    stops[:-1] &= ~inside[1:]
     lasts = edges[1:] - 1
-    ends[lasts] = inside[lasts]
-    ends = np.flatnonzero(ends) + 1
+    stops[lasts] = inside[lasts]
+    ends = np.flatnonzero(stops) + 1
     first = np.searchsorted(starts, offsets)
     running = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(mapped * _power(_BASE, len(data)), out=running[1:], dtype=np.uint64)
@@ -120,7 +121,7 @@ def find_words(
         np.where(lengths > n, mix((running[np.minimum(starts + n, ends)] - begun) * back + np.uint64(n + 1)), 0).astype(np.uint64)
         for n in prefixes
     )
-    return Words(hashes, first, short)
+    return Words(hashes, first, starts, ends, short)
 
 
 def shingles(words: Words, size: int) -> list[np.ndarray]:
