@@ -13,6 +13,9 @@ from quoteflow.llm.jaccard import jaccard_classes
 from quoteflow.llm.line_dedup import line_dedup
 from quoteflow.llm.mixing import mix_sources
 from quoteflow.llm.quality_rules import quality_rules
+from quoteflow.llm.token_counts import count_tokens, write_tokens
+from quoteflow.llm.warc import ID, read_warc, warc_records, write_warc
+from quoteflow.plans.workspace import new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +42,27 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark, "archives")
+    write_warc(warc_records(table(spark, sf_dir, "pages")), path)
+    records = read_warc(spark, path, payloads=False).where("gap IS NULL")
+    number = lambda name: F.substring_index(name, ID, -1).cast("long")
+    return records.select(
+        number("record_id").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        number("refers_to").alias("refers_to"),
+    )
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_folder(spark, "tokens")
+    write_tokens(table(spark, sf_dir, "documents"), path)
+    counted = count_tokens(spark, path)
+    return counted.withColumn("file", F.substring_index("file", "/", -1))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     digest = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
@@ -67,6 +91,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op4_mix_sources": op4_mix_sources,
     "op5_decontaminate": op5_decontaminate,
+    "op6_warc": op6_warc,
+    "op7_token_counts": op7_token_counts,
     "op8_line_dedup": op8_line_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_quality_rules": op10_quality_rules,

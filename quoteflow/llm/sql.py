@@ -98,4 +98,18 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM failed
 """
 
-ORACLE = {"op4_mix_sources": OP4, "op8_line_dedup": OP8, "op10_quality_rules": OP10}
+_BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(h, {5 * k + 1}, 5))::INT >> {shift}) & 31) + 1, 1)"
+    for k in range(8)
+    for shift in (15, 10, 5, 0)
+)
+OP6 = f"""
+WITH hashed AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY h, payload_bytes) AS f FROM hashed)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, {_BASE32} AS payload_digest,
+  CASE WHEN f IS NOT NULL AND f IS DISTINCT FROM page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN f IS DISTINCT FROM page_id THEN f END AS refers_to
+FROM firsts
+"""
+
+ORACLE = {"op6_warc": OP6, "op4_mix_sources": OP4, "op8_line_dedup": OP8, "op10_quality_rules": OP10}
