@@ -12,8 +12,11 @@ from quoteflow.llm.decontaminate import find_passages
 from quoteflow.llm.jaccard import jaccard_classes
 from quoteflow.llm.line_dedup import line_dedup
 from quoteflow.llm.mixing import mix_sources
+from quoteflow.llm.quality_fm import score_quality, train_quality
 from quoteflow.llm.quality_rules import quality_rules
 from quoteflow.llm.token_counts import count_tokens, write_tokens
+from quoteflow.llm.toxicity import score_toxicity, train_toxicity
+from quoteflow.llm.training import held_out
 from quoteflow.llm.warc import ID, read_warc, warc_records, write_warc
 from quoteflow.plans.workspace import new_folder
 
@@ -24,6 +27,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    scored = score_quality(documents, train_quality(documents, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score_toxicity(documents, train_toxicity(documents, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -89,6 +104,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quality_fm": op1_quality_fm,
+    "op2_toxicity": op2_toxicity,
     "op4_mix_sources": op4_mix_sources,
     "op5_decontaminate": op5_decontaminate,
     "op6_warc": op6_warc,
