@@ -14,11 +14,12 @@ from quoteflow.llm.line_dedup import line_dedup
 from quoteflow.llm.mixing import mix_sources
 from quoteflow.llm.quality_fm import score_quality, train_quality
 from quoteflow.llm.quality_rules import quality_rules
+from quoteflow.llm.secrets import find_candidates, reviewed, score_candidates, train_forest
 from quoteflow.llm.token_counts import count_tokens, write_tokens
 from quoteflow.llm.toxicity import score_toxicity, train_toxicity
 from quoteflow.llm.training import held_out
 from quoteflow.llm.warc import ID, read_warc, warc_records, write_warc
-from quoteflow.plans.workspace import new_folder
+from quoteflow.plans.workspace import materialize, new_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +40,14 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    found = materialize(find_candidates(documents, path_column="source"), "candidates")
+    learnt = reviewed(found.where(~held_out(F.col("doc_id"))))
+    scored = score_candidates(found, train_forest(learnt))
+    return scored.select("doc_id", "start", "end", "candidate", "score", "secret")
+
+
 def op4_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -106,6 +115,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_quality_fm": op1_quality_fm,
     "op2_toxicity": op2_toxicity,
+    "op3_secrets": op3_secrets,
     "op4_mix_sources": op4_mix_sources,
     "op5_decontaminate": op5_decontaminate,
     "op6_warc": op6_warc,
