@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quoteflow.plans.workspace import materialize
+from quoteflow.llm.scratch import Scratch
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -16,25 +16,31 @@ def components(links: DataFrame) -> DataFrame:
     least halves the nodes that still have links. Nothing is gathered per node but a minimum, so a
     node with very many links is no burden, and each step is written to the shared folder.
     """
-    links = materialize(links.select("a", "b").where("a <> b").distinct(), "links")
+    scratch = Scratch(links.sparkSession)
+    links = scratch.table(links.select("a", "b").where("a <> b").distinct(), "links")
     nodes = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
-    found = materialize(nodes.select("node", F.col("node").alias("component")), "components")
+    found = scratch.table(nodes.select("node", F.col("node").alias("component")), "components")
     while not links.isEmpty():
         both = links.union(links.select("b", "a"))
         pointers = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("to"))
-        pointers = materialize(pointers.select("node", F.least("node", "to").alias("to")), "pointers")
-        while True:
+        pointers = scratch.table(pointers.select("node", F.least("node", "to").alias("to")), "pointers")
+        moving = True
+        while moving:
             onward = pointers.select(F.col("node").alias("to"), F.col("to").alias("next"))
-            followed = pointers.join(onward, "to").select("node", F.col("next").alias("to"), (F.col("next") != F.col("to")).alias("moved"))
-            followed = materialize(followed, "pointers")
-            pointers = followed.select("node", "to")
-            if followed.where("moved").isEmpty():
-                break
+            followed = pointers.join(onward, "to").select(
+                "node", F.col("next").alias("to"), (F.col("next") != F.col("to")).alias("moved")
+            )
+            followed = scratch.table(followed, "pointers")
+            scratch.release(pointers)
+            pointers, moving = followed, not followed.where("moved").isEmpty()
         ends = pointers.select(F.col("node").alias("component"), "to")
-        found = found.join(ends, "component", "left")
-        found = materialize(found.select("node", F.coalesce("to", "component").alias("component")), "components")
+        merged = found.join(ends, "component", "left")
+        merged = scratch.table(merged.select("node", F.coalesce("to", "component").alias("component")), "components")
         at_a = pointers.select(F.col("node").alias("a"), F.col("to").alias("x"))
         at_b = pointers.select(F.col("node").alias("b"), F.col("to").alias("y"))
-        links = links.join(at_a, "a").join(at_b, "b").where("x <> y")
-        links = materialize(links.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "links")
+        left = links.join(at_a, "a").join(at_b, "b").where("x <> y")
+        left = scratch.table(left.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "links")
+        scratch.release(found, links, pointers)
+        found, links = merged, left
+    scratch.release(links)
     return found

@@ -10,13 +10,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quoteflow.llm.graph import components
+from quoteflow.llm.scratch import Scratch
 from quoteflow.llm.words import SPACED, find_words, mix, pieces, shingles
 from quoteflow.plans.workspace import materialize
 
 # Fragments of the n-gram order in which overlaps are counted.
 FRAGMENTS = 8
-# Ratio of the largest to the smallest size of a size class.
-CLASS_RATIO = 1.37
+# 2 to this power is the number of bits by which rows are left out before a shuffle; 8 MB.
+FILTER_BITS = 26
 # Rounds in which members of a bucket are compared with one of them, before all that remain are compared.
 HUB_ROUNDS = 3
 
@@ -33,6 +34,8 @@ class Cuts:
 
     def __init__(self, percent: int):
         self.percent = percent
+        # Sizes of a class: fewer fragments for the smallest against fewer sets cut for two classes.
+        self.ratio = (100 / percent) ** 3
         # Sets smaller than this link only if they are equal.
         self.smallest = next(n for n in range(1, 10**6) if self.differences(n, n + 1) or self.differences(n, n))
         self.bounds = [self.smallest]
@@ -42,7 +45,7 @@ class Cuts:
 
     def _bound(self, k: int) -> int:
         while len(self.bounds) <= k:
-            self.bounds.append(int(self.bounds[-1] * CLASS_RATIO) + 1)
+            self.bounds.append(int(self.bounds[-1] * self.ratio) + 1)
         return self.bounds[k]
 
     def __call__(self, n: int) -> list[tuple[int, int]]:
@@ -113,12 +116,13 @@ def _sets(size: int, cuts: Cuts):
     return run
 
 
-def _segments(size: int, fragments: int):
-    """Per document and fragment of the n-gram order the n-grams in it."""
+def _segments(size: int, fragments: int, wanted: np.ndarray):
+    """Per document and fragment of the n-gram order the n-grams in it; for all ids that are wanted, and perhaps others."""
     bits = np.uint64(64 - (fragments - 1).bit_length())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(pa.array(_among(wanted, batch.column(2).to_numpy(zero_copy_only=False))))
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for at, data, offsets in pieces(batch.column(1)):
                 out_id, out_n, out_f, out = [], [], [], []
@@ -159,6 +163,44 @@ def _overlaps(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
     return total.where(F.col("common") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("common")) * percent).select("a", "b")
 
 
+def _present(hashes: DataFrame) -> np.ndarray:
+    """Bits for the places of 64-bit hashes, by which most others can be left out early.
+
+    The table has `FILTER_BITS` places whatever the input. Hashes may share one, so whoever uses it
+    must bear rows too many. The driver gets 64 bits per row.
+    """
+    name = hashes.columns[0]
+    place = f"shiftrightunsigned({name}, {64 - FILTER_BITS})"
+    words = hashes.selectExpr(
+        f"cast(shiftrightunsigned({place}, 6) AS int) AS word", f"shiftleft(1L, cast({place} & 63 AS int)) AS bit"
+    )
+    words = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    table = np.zeros(1 << FILTER_BITS - 6, np.uint64)
+    table[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
+    return table
+
+
+def _among(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    place = hashes.view(np.uint64) >> np.uint64(64 - FILTER_BITS)
+    return (table[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+
+
+def _rows_of(table: np.ndarray):
+    """(signature, id) for signatures that are in the table."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            flat = lists.flatten().to_numpy(zero_copy_only=False)
+            owner = np.repeat(np.arange(len(batch)), lists.value_lengths().to_numpy(zero_copy_only=False))
+            kept = np.flatnonzero(_among(table, flat)) if len(flat) else np.zeros(0, np.int64)
+            if len(kept):
+                ids = batch.column(0).take(pa.array(owner[kept]))
+                yield pa.RecordBatch.from_arrays([pa.array(flat[kept]), ids], ["signature", "id"])
+
+    return run
+
+
 def jaccard_classes(
     documents: DataFrame,
     shingle: int = 3,
@@ -183,30 +225,28 @@ def jaccard_classes(
     component (null) and takes no part. Rows that repeat an id are one document: links of any of them
     are its links. Other columns, whatever their names, are left out; join on the id for them.
     """
-    spark = documents.sparkSession
-    cuts = Cuts(percent)
-    rows = documents.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
+    spark, scratch, cuts = documents.sparkSession, Scratch(documents.sparkSession), Cuts(percent)
+    rows = documents.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"))
     sets = rows.mapInArrow(_sets(shingle, cuts), "id long, n long, d1 long, d2 long, signatures array<long>")
-    sets = materialize(sets, "sets")
+    sets = scratch.table(sets, "sets")
     worded = sets.where("n > 0 AND id IS NOT NULL")
     classes = worded.groupBy("n", "d1", "d2").agg(F.min("id").alias("representative"))
+    named = sets.select("id", "n", "d1", "d2").join(classes, ["n", "d1", "d2"], "left")
     named = materialize(
-        sets.select("id", "n", "d1", "d2").join(classes, ["n", "d1", "d2"], "left").select(
-            "id", "n", F.when(F.col("n") > 0, F.col("representative")).alias("representative")
-        ),
-        "classes",
+        named.select("id", "n", F.when(F.col("n") > 0, F.col("representative")).alias("representative")), "classes"
     )
 
-    # Buckets of one signature in which at least two classes meet.
-    signed = worded.select("id", F.explode("signatures").alias("signature"))
-    met = signed.groupBy("signature").agg(F.min("id").alias("low"), F.max("id").alias("high"))
-    met = materialize(met.where("low < high").select("signature"), "met")
-    owners = named.where("representative IS NOT NULL").select("id", "representative").distinct()
+    # Signatures that occur more than once, and the classes that have them.
+    met = worded.select(F.explode("signatures").alias("signature")).groupBy("signature").count()
+    met = scratch.table(met.where("count > 1").select("signature"), "met")
+    signed = worded.select("id", "signatures").mapInArrow(_rows_of(_present(met)), "signature long, id long")
+    owners = named.where("representative IS NOT NULL AND id IS NOT NULL").select("id", "representative").distinct()
     members = signed.join(met, "signature").join(owners, "id").select("signature", "representative").distinct()
-    members = materialize(members, "members")
+    members = scratch.table(members, "members")
+    scratch.release(sets, met)
 
     labels = spark.range(0).select(F.col("id").alias("representative"), F.col("id").alias("component"))
-    links, segments, seen = None, None, None
+    links, segments, seen = None, None, []
     for turn in range(HUB_ROUNDS + 1):
         labeled = members.join(labels, "representative", "left")
         labeled = labeled.withColumn("component", F.coalesce("component", "representative"))
@@ -217,9 +257,14 @@ def jaccard_classes(
             F.min_by("representative", order).alias("hub"),
             F.min_by("component", order).alias("hub_component"),
         )
-        # Members of one component are settled, and stay so.
-        members = labeled.join(buckets.where("low < high"), "signature")
-        members = materialize(members.drop("low", "high"), "members")
+        # Members of buckets with one component are settled, and stay so.
+        unsettled = scratch.table(
+            labeled.join(buckets.where("low < high"), "signature").drop("low", "high"), "unsettled"
+        )
+        scratch.release(members)
+        members = unsettled
+        if members.isEmpty():
+            break
         if turn < HUB_ROUNDS:
             pairs = members.where("component <> hub_component")
             pairs = pairs.select(F.least("hub", "representative").alias("a"), F.greatest("hub", "representative").alias("b"))
@@ -227,26 +272,25 @@ def jaccard_classes(
             one = members.select("signature", F.col("representative").alias("a"), F.col("component").alias("c"))
             two = members.select("signature", F.col("representative").alias("b"), F.col("component").alias("d"))
             pairs = one.join(two, "signature").where("a < b AND c <> d").select("a", "b")
-        members = members.select("signature", "representative")
         pairs = pairs.distinct()
-        if seen is not None:
-            pairs = pairs.join(seen, ["a", "b"], "left_anti")
-        pairs = materialize(pairs, "pairs")
-        seen = pairs if seen is None else seen.union(pairs)
+        for earlier in seen:
+            pairs = pairs.join(earlier, ["a", "b"], "left_anti")
+        pairs = scratch.table(pairs, "pairs")
+        seen.append(pairs)
+        members = scratch.table(members.select("signature", "representative"), "members")
+        scratch.release(unsettled)
         if segments is None:
-            # Only documents that share a bucket are compared, so only theirs are cut again.
-            wanted = materialize(members.select(F.col("representative").alias("id")).distinct(), "wanted")
-            cut = rows.join(wanted, "id", "left_semi").mapInArrow(
-                _segments(shingle, FRAGMENTS), "id long, n long, fragment int, segment array<long>"
+            # Only documents that share a bucket are compared, so hardly any others are cut again.
+            wanted = _present(members.select(F.xxhash64("representative").alias("hash")))
+            cut = rows.where("id IS NOT NULL").select("id", "text", F.xxhash64("id").alias("hash")).mapInArrow(
+                _segments(shingle, FRAGMENTS, wanted), "id long, n long, fragment int, segment array<long>"
             )
-            segments = materialize(cut, "segments")
-        if pairs.isEmpty():
-            if members.isEmpty():
-                break
-            continue
+            segments = scratch.table(cut, "segments")
         linked = _overlaps(pairs, segments, percent)
-        links = materialize(linked if links is None else links.union(linked), "links")
+        links = scratch.table(linked if links is None else links.union(linked), "links")
         labels = components(links).withColumnRenamed("node", "representative")
+    if segments is not None:
+        scratch.release(segments, members, links, *seen)
     named = named.withColumnRenamed("n", "n_shingles").join(labels, "representative", "left")
     return named.select(
         F.col("id").alias(id_column),
