@@ -105,6 +105,8 @@ def _plain(data: bytes, at: int) -> tuple[int, dict[str, str], bytes]:
     head = data.find(b"\r\n\r\n", at)
     if head < 0:
         raise ValueError("header without an end")
+    if VERSION.search(data, at + 1, head + 2):
+        raise ValueError("another record begins in the header")
     fields = {}
     for line in data[at:head].split(b"\r\n")[1:]:
         name, colon, value = line.partition(b":")

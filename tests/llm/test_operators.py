@@ -1,0 +1,344 @@
+"""Rows out of the ordinary, and the workings of single operators."""
+
+from __future__ import annotations
+
+import base64
+import gzip
+import hashlib
+import random
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from llm_helpers import A, ROWS, alphanumeric, spaced
+from pyspark.sql import functions as F
+from quoteflow.llm import toxicity, words
+from quoteflow.llm.decontaminate import find_passages, remove_passages
+from quoteflow.llm.fm_index import FMIndex, suffix_array
+from quoteflow.llm.graph import components
+from quoteflow.llm.jaccard import jaccard_classes
+from quoteflow.llm.line_dedup import line_dedup
+from quoteflow.llm.mixing import mix_sources, source_targets
+from quoteflow.llm.quality_fm import score_quality, train_quality
+from quoteflow.llm.quality_rules import quality_rules
+from quoteflow.llm.secrets import find_candidates, reviewed, score_candidates, train_forest
+from quoteflow.llm.token_counts import count_tokens, write_tokens
+from quoteflow.llm.training import Rows
+from quoteflow.llm.warc import read_warc, salvage, warc_records, write_warc
+
+
+def test_words_are_those_of_the_contracts():
+    texts = [row[1] for row in ROWS] + ["É A-b 1", " x", "y "]
+    for table, split in ((words.ALPHANUMERIC, alphanumeric), (words.SPACED, spaced)):
+        found, names = [], {}
+        for _, data, offsets in words.pieces(pa.array(texts), size=50):
+            got = words.find_words(data, offsets, table)
+            found += [got.hashes[a:b].tolist() for a, b in zip(got.first[:-1], got.first[1:])]
+        for text, hashes in zip(texts, found):
+            assert len(split(text)) == len(hashes)
+            for word, value in zip(split(text), hashes):
+                assert names.setdefault(word, value) == value
+        assert len(set(names.values())) == len(names)
+
+
+def test_line_dedup(spark, edges, nothing):
+    rows = line_dedup(edges.withColumn("n_lines", F.lit("clash"))).collect()
+    by_id = {row["doc_id"]: row for row in rows}
+    assert len(rows) == len(ROWS)
+    # The largest id that holds the shared line keeps it; null counts as a document and as the smallest.
+    assert by_id[3]["text"] == ROWS[2][1] and by_id[3]["n_dropped"] == 0
+    assert by_id[1]["text"] == A + ".\nend" and by_id[2]["text"] == A and by_id[None]["text"] == "no id"
+    assert (by_id[2]["n_lines"], by_id[2]["n_dropped"]) == (2, 1)
+    assert by_id[4]["text"] is None and by_id[4]["n_lines"] == 1 and by_id[5]["text"] == ""
+    assert by_id[7]["n_lines"] == 3 and by_id[8]["text"] == ROWS[7][1]
+    assert [row["n_dropped"] for row in rows if row["doc_id"] == 9] == [0, 0]
+    assert line_dedup(nothing).count() == 0
+
+
+def test_line_dedup_counts_documents_not_lines(spark):
+    line = "the same line of many words"
+    docs = spark.createDataFrame([(1, f"{line}\n{line}\n{line}"), (2, line)], "doc_id long, text string")
+    assert [row["n_dropped"] for row in line_dedup(docs).collect()] == [0, 0]
+    docs = docs.union(spark.createDataFrame([(3, f"{line}\nshort\n{line}")], docs.schema))
+    rows = {row["doc_id"]: (row["text"], row["n_dropped"]) for row in line_dedup(docs).collect()}
+    assert rows == {1: ("", 3), 2: ("", 1), 3: (f"{line}\nshort\n{line}", 0)}
+
+
+def test_quality_rules(spark, edges, nothing):
+    prose = "\n".join(" ".join(f"w{10 * k + i}" for i in range(10)) + "." for k in range(8))
+    bars = "\n".join("home | news | sport | about | more" for _ in range(60))
+    mixed = prose + "\nhome | news | sport | about\nAll rights reserved."
+    docs = spark.createDataFrame([(20, prose), (21, bars), (22, mixed)], "doc_id long, text string")
+    rows = {row["doc_id"]: row for row in quality_rules(docs.withColumn("kept", F.lit(1))).collect()}
+    assert rows[20]["kept"] and rows[20]["n_words_lost"] == 0 and rows[20]["cleaned_text"] == prose
+    assert not rows[21]["kept"]
+    assert rows[22]["kept"] and rows[22]["cleaned_text"] == prose
+    found = {row["doc_id"]: row for row in quality_rules(edges).collect()}
+    assert found[4]["n_words"] == 0 and found[4]["base_failed"] and found[7]["n_dup_lines"] == 0
+    assert found[8]["n_repeat_words"] == found[8]["n_words"] == 12000
+    assert quality_rules(nothing).count() == 0
+
+
+def test_mixing(spark, edges, nothing):
+    rows = mix_sources(edges).collect()
+    assert len(rows) == len(ROWS)
+    assert {row["source"] for row in rows} == {"a", "b", "", None}
+    for source in ("a", "b", "", None):
+        own = [row for row in rows if row["source"] == source]
+        largest = max(row["size"] for row in own)
+        assert abs(sum(row["taken"] for row in own) - own[0]["target"]) <= largest
+        assert all(row["taken"] <= 3 * row["size"] for row in own)
+    assert sorted(map(tuple, rows), key=repr) == sorted(map(tuple, mix_sources(edges).collect()), key=repr)
+    assert mix_sources(nothing).count() == 0
+
+
+def test_targets_stop_and_the_rest_is_dealt_again(spark):
+    sizes = spark.createDataFrame([("a", 600), ("b", 10), ("c", 100), (None, 0)], "source string, source_size long")
+    targets = {row["source"]: row["target"] for row in source_targets(sizes).collect()}
+    # b stops at 30 and c at 300; a gets what is left; null has nothing.
+    assert targets == {"a": 380.0, "b": 30.0, "c": 300.0, None: 0.0}
+
+
+def test_suffix_array_and_index():
+    draw = random.Random(1)
+    for alphabet in (2, 3, 30):
+        text = [draw.randrange(alphabet) for _ in range(400)] + [1, 1, 1] * 40
+        assert suffix_array(np.array(text)).tolist() == sorted(range(len(text)), key=lambda i: text[i:])
+        text = [0, *[draw.randrange(1, alphabet) for _ in range(300)], 0, *[1] * 50]
+        index = FMIndex(np.array(text), alphabet)
+        for length in (1, 2, 5):
+            patterns = np.array([text[k : k + length] for k in range(1, 290, 7)])
+            low, high = index.search(patterns)
+            for pattern, a, b in zip(patterns.tolist(), low, high):
+                expected = [k for k in range(len(text)) if text[k : k + length] == pattern]
+                assert sorted(index.locate(np.arange(a, b)).tolist()) == expected
+
+
+def test_decontamination(spark, edges, nothing):
+    items = spark.createDataFrame(
+        [(1, "Two, THREE four"), (2, A), (None, "eleven twelve"), (3, None), (4, " - "), (1, "two three four"), (5, "köln")],
+        "item_id long, text string",
+    )
+    found = find_passages(edges.withColumn("items", F.lit(0)), items)
+    rows = {row["doc_id"]: row for row in found.collect()}
+    assert found.count() == len(ROWS)
+    assert rows[9]["n_hit"] == 12 and rows[9]["items"] == ["1", "2"]
+    assert rows[8]["n_hit"] == 4000 and rows[8]["items"] == ["5"]
+    assert rows[4]["n_words"] == 0 and rows[4]["n_hit"] == 0 and rows[4]["items"] == []
+    cleaned = {row["doc_id"]: row["text"] for row in remove_passages(found).collect()}
+    assert cleaned[1] == ROWS[0][1][len(A) :] and cleaned[3] == ROWS[2][1] and cleaned[4] is None
+    assert cleaned[8] == "grüße aus : " * 4000
+    assert find_passages(nothing, items).count() == 0
+    none = find_passages(edges, items.where("item_id = 99"))
+    assert none.where("n_hit > 0").count() == 0 and none.count() == len(ROWS)
+
+
+def test_decontamination_in_blocks(spark, edges, monkeypatch):
+    items = spark.createDataFrame([(1, "one two"), (2, "two three"), (3, "nine ten")], "item_id long, text string")
+    whole = sorted(map(repr, find_passages(edges, items).collect()))
+    monkeypatch.setattr("quoteflow.llm.decontaminate.BLOCK_WINDOWS", 1)
+    monkeypatch.setattr("quoteflow.llm.decontaminate.SHARD_WORDS", 5)
+    spans = lambda rows: [(r["doc_id"], r["n_hit"], sorted(r["items"])) for r in rows]
+    parts = find_passages(edges, items)
+    assert sorted(map(repr, spans(parts.collect()))) == sorted(map(repr, spans(find_passages(edges, items).collect())))
+    assert len(whole) == parts.count()
+    row = parts.where("doc_id = 1").first()
+    assert row["n_hit"] == 5 and sorted(row["items"]) == ["1", "2", "3"]
+
+
+def test_jaccard_edges(spark, edges, nothing):
+    rows = jaccard_classes(edges.withColumn("id", F.lit("clash"))).collect()
+    found = {(row["doc_id"], row["component_id"]) for row in rows}
+    assert len(rows) == len(ROWS)
+    assert {(4, 4), (5, 5), (7, 7), (9, 9), (None, None), (3, 3)} <= found
+    assert jaccard_classes(nothing).count() == 0
+
+
+def test_jaccard_of_near_copies(spark):
+    """A chain and a large group of near copies; links only beyond hubs must be found, too."""
+    draw = random.Random(5)
+    base = [f"w{draw.randrange(5000)}" for _ in range(150)]
+    texts = []
+    for group in range(3):
+        words_ = [f"{word}g{group}" for word in base]
+        for _ in range(25):
+            changed = list(words_)
+            for _ in range(draw.randrange(4)):
+                changed[draw.randrange(len(changed))] = f"n{draw.randrange(10**6)}"
+            texts.append(" ".join(changed))
+            if draw.random() < 0.3:
+                words_ = changed  # drifts away from the first
+    texts += [" ".join(f"s{k}" for k in range(n)) for n in (1, 2, 3, 10, 11, 12, 13)]
+    draw.shuffle(texts)
+    for size, percent in ((3, 90), (5, 80)):
+        sets = []
+        for text in texts:
+            own = text.split()
+            sets.append({tuple(own[k : k + size]) for k in range(max(1, len(own) - size + 1))})
+        component = list(range(len(texts)))
+        for a in range(len(texts)):
+            for b in range(a):
+                common = len(sets[a] & sets[b])
+                if 100 * common >= percent * len(sets[a] | sets[b]):
+                    one, two = sorted((component[a], component[b]))
+                    component = [one if c == two else c for c in component]
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        found = {row["doc_id"]: row["component_id"] for row in jaccard_classes(docs, size, percent).collect()}
+        assert found == dict(enumerate(component))
+
+
+def test_components(spark):
+    links = [(k, k + 1) for k in range(0, 40)] + [(100, k) for k in range(101, 130)] + [(7, 200), (300, 300)]
+    found = {row["node"]: row["component"] for row in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert found == {**{k: 0 for k in range(41)}, 200: 0, **{k: 100 for k in range(100, 130)}}
+
+
+def test_warc_round_trip(spark, tmp_path):
+    rows = [(3, "u\r\nx", "same"), (1, None, "same"), (2, "u", None), (4, "u", "WARC/1.1\r\nfake"), (None, "u", "same")]
+    rows += [(5, "u", "ü" * 50_000), (1, "u", "same")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    write_warc(warc_records(pages), str(tmp_path / "w"))
+    found = read_warc(spark, str(tmp_path / "w")).collect()
+    assert len(found) == len(rows) and all(row["gap"] is None for row in found)
+    told = {(row["record_id"], row["record_type"], row["refers_to"]) for row in found}
+    assert ("urn:page:3", "revisit", "urn:page:1") in told and ("urn:page:1", "response", None) in told
+    assert (None, "revisit", "urn:page:1") in told
+    big = next(row for row in found if row["record_id"] == "urn:page:5")
+    assert bytes(big["payload"]).decode() == rows[5][2] and big["payload_bytes"] == 100_000
+    digest = base64.b32encode(hashlib.sha1(b"same").digest()).decode()
+    assert {row["payload_digest"] for row in found if row["payload_bytes"] == 4} == {digest}
+    empty = pages.where("page_id > 99")
+    write_warc(warc_records(empty), str(tmp_path / "none"))
+    assert read_warc(spark, str(tmp_path / "none")).count() == 0
+
+
+def _record(number: int, body: bytes) -> bytes:
+    digest = base64.b32encode(hashlib.sha1(body).digest()).decode()
+    head = f"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:page:{number}>\r\nWARC-Block-Digest: sha1:{digest}\r\n"
+    return head.encode() + f"Content-Length: {len(body)}\r\n\r\n".encode() + body + b"\r\n\r\n"
+
+
+@pytest.mark.parametrize("packed", [False, True])
+def test_salvage(packed):
+    """Later records are read after damage of any kind, and all bytes are accounted for."""
+    bodies = [bytes([65 + k]) * (50 + k) for k in range(6)]
+    parts = [_record(k, body) for k, body in enumerate(bodies)]
+    if packed:
+        parts = [gzip.compress(part) for part in parts]
+    middle = len(parts[2]) // 2
+    damages = {
+        "cut": [parts[0], parts[1], parts[2][:middle], *parts[3:]],
+        "changed": [parts[0], parts[1], parts[2][:-12] + b"\x00\x01" + parts[2][-10:], *parts[3:]],
+        "noise": [parts[0], parts[1], b"noise" * 10, *parts[3:]],
+        "end": [parts[0], parts[1], parts[3], parts[4], parts[5], parts[2][:middle]],
+    }
+    for pieces in damages.values():
+        data = b"".join(pieces)
+        found = list(salvage(data))
+        kept = [one.fields["warc-record-id"] for one in found if one.reason is None]
+        assert kept == [f"<urn:page:{k}>" for k in (0, 1, 3, 4, 5)]
+        assert [one.payload for one in found if one.reason is None] == [bodies[k] for k in (0, 1, 3, 4, 5)]
+        gaps = [one for one in found if one.reason is not None]
+        assert len(gaps) == 1 and gaps[0].reason
+        assert sum(one.length for one in found) == len(data)
+        at = 0
+        for one in found:
+            assert one.offset == at
+            at += one.length
+    assert list(salvage(b"")) == []
+
+
+def test_token_counts_across_blocks(spark, tmp_path):
+    draw = random.Random(2)
+    for name in ("a", "b"):
+        tokens = [draw.choice([2, 2, 7, 8, 9, 600]) for _ in range(500)] + ([5, 5] if name == "a" else [2])
+        (tmp_path / name).write_bytes(np.array(tokens, "<u2").tobytes() + b"\x01")
+    (tmp_path / "empty").write_bytes(b"")
+    expected = []
+    for name in ("a", "b"):
+        tokens = np.frombuffer((tmp_path / name).read_bytes()[:-1], "<u2").tolist()
+        begin, number = 0, 0
+        for at, token in enumerate(tokens):
+            if token == 2:
+                expected.append((name, number, begin, at - begin, True))
+                begin, number = at + 1, number + 1
+        if begin < len(tokens):
+            expected.append((name, number, begin, len(tokens) - begin, False))
+    for block in (1, 3, 64, 1 << 20):
+        found = count_tokens(spark, str(tmp_path), block=block).collect()
+        assert sorted((row["file"][-1], *row[1:]) for row in found) == expected
+
+
+def test_token_files_of_edges(spark, edges, nothing, tmp_path):
+    write_tokens(edges, str(tmp_path / "t"))
+    rows = count_tokens(spark, str(tmp_path / "t")).collect()
+    assert len(rows) == len(ROWS) and sum(row["n_tokens"] == 0 for row in rows) >= 2
+    write_tokens(nothing, str(tmp_path / "n"))
+    assert count_tokens(spark, str(tmp_path / "n")).count() == 0
+
+
+LABELS = "doc_id long, quality int, toxic int"
+
+
+def test_scores_of_edges(spark, edges, nothing):
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 1), (3, 1, None), (None, 1, 1), (1, 1, 0), (9, None, 0)], LABELS)
+    clash = edges.withColumn("score", F.lit("clash"))
+    for known in (labels, labels.where("doc_id = 99")):
+        for rows in (
+            score_quality(clash, train_quality(clash, known)).collect(),
+            toxicity.score_toxicity(clash, toxicity.train_toxicity(clash, known)).collect(),
+        ):
+            assert len(rows) == len(ROWS) and all(0 <= row["score"] <= 1 for row in rows)
+    assert score_quality(nothing, train_quality(nothing, labels)).count() == 0
+    assert toxicity.score_toxicity(nothing, toxicity.train_toxicity(nothing, labels)).count() == 0
+
+
+def test_swapped_sentences_score_alike():
+    """A group that is named in toxic sentences more often gets no higher score for it."""
+    draw = random.Random(3)
+    plain = "the weather was fine and we went home by train before dinner".split()
+    texts, labels = [], []
+    for k in range(600):
+        toxic = k % 3 == 0
+        group = "Women" if draw.random() < (0.9 if toxic else 0.1) else "Men"
+        rest = " ".join(draw.sample(plain, 8))
+        texts.append(f"{group} said {rest}{' idiot scum' if toxic and draw.random() < 0.7 else ''}.")
+        labels.append(float(toxic))
+    pairs = [pair for text in texts for pair in toxicity.swapped(text)]
+    assert len(pairs) == 600 and toxicity.swapped("Nobody said so.") == []
+
+    def rows(column):
+        found = [toxicity.features(data, offsets) for _, data, offsets in words.pieces(pa.array(column))]
+        assert len(found) == 1
+        return found[0]
+
+    one, two = rows([a for a, _ in pairs]), rows([b for _, b in pairs])
+    none = Rows(np.zeros(0, np.int64), np.zeros(1, np.int64))
+    tests = rows(["Women said the weather was fine.", "Men said the weather was fine.", "Men said idiot scum."])
+    biased = toxicity.scores(toxicity.fit(rows(texts), np.array(labels), none, none, 0.0), tests)
+    fair = toxicity.scores(toxicity.fit(rows(texts), np.array(labels), one, two, 1.0), tests)
+    assert abs(fair[0] - fair[1]) < 0.3 * abs(biased[0] - biased[1])
+    assert fair[2] > fair[0] + 1
+
+
+def test_secrets(spark, edges, nothing):
+    rows = [
+        (100 + k, f'password = "{hashlib.sha1(str(k).encode()).hexdigest()}" and\ncommit {hashlib.md5(str(k).encode()).hexdigest()} by a.b{k}@mail.example.com', None, "src/test.py", 1)
+        for k in range(60)
+    ]
+    docs = edges.union(spark.createDataFrame(rows, edges.schema))
+    found = find_candidates(docs.withColumn("candidate", F.lit(1)), path_column="source")
+    assert found.where("doc_id = 4").count() == 0
+    text = {row[0]: row[1] for row in rows}
+    for row in found.where("doc_id >= 100").collect():
+        assert text[row["doc_id"]][row["start"] : row["end"]] == row["candidate"]
+    labelled = found.withColumn("label", F.when(F.col("before").contains("password"), 1).when(F.col("before").contains("commit"), 0))
+    labelled = labelled.withColumn("label", F.when(F.col("candidate").contains("@"), 0).otherwise(F.col("label")))
+    scored = score_candidates(found, train_forest(labelled)).collect()
+    for row in scored:
+        if "password" in row["before"] and "commit" not in row["before"]:
+            assert row["secret"]
+        if "@" in row["candidate"]:
+            assert not row["secret"]
+    assert train_forest(reviewed(find_candidates(nothing))) is None
+    assert score_candidates(find_candidates(nothing), None).count() == 0
