@@ -18,18 +18,22 @@ from quoteflow.plans.workspace import materialize
 FRAGMENTS = 8
 # 2 to this power is the number of bits by which rows are left out before a shuffle; 8 MB.
 FILTER_BITS = 26
-# Rounds in which members of a bucket are compared with one of them, before all that remain are compared.
-HUB_ROUNDS = 3
+# Finer fragments, by whose sizes overlaps are bounded before they are counted.
+SKETCH = 128
+# Rounds in which members of a bucket are compared with one of them, before those that remain are compared.
+HUB_ROUNDS = 2
+# Members of a bucket, about, that one row holds when those that remain are compared.
+BLOCK = 256
 
 
 class Cuts:
-    """How sets of a size are cut so that linked sets agree in a whole fragment.
+    """How sets of a size are cut so that linked sets agree in whole fragments.
 
     Sets A and B link when ``100 * |A & B| >= percent * |A | B|``. Then they differ in at most
-    ``(100 - percent) * (|A| + |B|) / (100 + percent)`` n-grams. Cut the n-gram order into one
-    fragment more than that and some fragment holds no difference. The number of fragments must be
-    the same for both, so it belongs to a class of sizes. A set is cut for its own class, and also
-    for the next one if it is large enough to link with a set in there.
+    ``(100 - percent) * (|A| + |B|) / (100 + percent)`` n-grams. Cut the n-gram order into more
+    fragments than that and some fragments hold no difference. The number of fragments must be the same
+    for both, so it belongs to a class of sizes. A set is cut for its own class, and also for the next one if
+    it is large enough to link with a set in there.
     """
 
     def __init__(self, percent: int):
@@ -48,8 +52,8 @@ class Cuts:
             self.bounds.append(int(self.bounds[-1] * self.ratio) + 1)
         return self.bounds[k]
 
-    def __call__(self, n: int) -> list[tuple[int, int]]:
-        """(class, number of fragments) for which a set of ``n`` is cut."""
+    def __call__(self, n: int) -> list[tuple[int, int, int]]:
+        """(class, fragments, least number of them that agree) for which a set of ``n`` is cut."""
         if n < self.smallest - 1:
             return []
         k = 0
@@ -59,22 +63,27 @@ class Cuts:
         follow = k + 1 if classes else 0
         if 100 * n >= self.percent * self._bound(follow):
             classes.append(follow)
-        return [(k, self.differences(self._bound(k + 1) - 1, self._bound(k + 1) - 1) + 1) for k in classes]
+        found = []
+        for k in classes:
+            largest = self._bound(k + 1) - 1
+            fragments = self.differences(largest, largest) + 3
+            found.append((k, fragments, fragments - self.differences(n, min(largest, 100 * n // self.percent))))
+        return found
 
 
 def signatures(grams: np.ndarray, cuts: Cuts) -> np.ndarray:
-    """Hashes of the fragments of a sorted set, one for each class and fragment.
+    """Hashes of the fragments of a sorted set, one for each class and fragment that isn't empty.
 
-    Two sets that both have no n-gram in a fragment agree there without having anything in common.
-    Linked sets whose only agreement is of that kind both have an empty fragment; and by the prefix
-    argument linked sets share an n-gram among their first few. So a set with empty fragments gets its
-    first n-grams as further signatures instead of those fragments.
+    Two sets that both have no n-gram in a fragment agree there without having anything in common. A
+    set with fewer empty fragments than must agree shares one that isn't empty with each set that it
+    links with. For two sets that both have more of them there is the prefix argument: linked sets
+    share an n-gram among their first few, so such a set gets its first n-grams as signatures, too.
     """
     found, n = [], len(grams)
     running = np.zeros(n + 1, np.uint64)
     np.cumsum(mix(grams), out=running[1:])
     sparse = False
-    for k, fragments in cuts(n):
+    for k, fragments, agreeing in cuts(n):
         # Fragment f holds the n-grams from f * 2 ** 64 / fragments on.
         borders = [0, *((f << 64) // fragments for f in range(1, fragments))]
         at = np.append(np.searchsorted(grams, np.array(borders, np.uint64)), n)
@@ -82,15 +91,21 @@ def signatures(grams: np.ndarray, cuts: Cuts) -> np.ndarray:
         sums = running[at[filled + 1]] - running[at[filled]]
         tag = (np.uint64(k) << np.uint64(32)) + filled.astype(np.uint64) + np.uint64(1)
         found.append(mix(sums + mix(tag) * np.uint64(0xD6E8FEB86659FD93)))
-        sparse |= len(filled) < fragments
+        sparse |= fragments - len(filled) >= agreeing
     if sparse:
         prefix = n - -(-cuts.percent * n // 100) + 1
         found.append(mix(grams[:prefix] + np.uint64(0xA0761D6478BD642F)))
     return np.concatenate(found) if found else np.zeros(0, np.uint64)
 
 
+def _sketch(grams: np.ndarray) -> np.ndarray:
+    """Sizes of `SKETCH` fragments. The sum of the smaller sizes of two sets is at least their overlap."""
+    shift = np.uint64(64 - (SKETCH - 1).bit_length())
+    return np.bincount((grams >> shift).astype(np.int64), minlength=SKETCH)
+
+
 def _sets(size: int, cuts: Cuts):
-    """Per document the number of shingles, a 128-bit digest of the set, and its signatures."""
+    """Per document the number of shingles, a 128-bit digest of the set, its signatures and its sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -109,8 +124,12 @@ def _sets(size: int, cuts: Cuts):
                         pa.array(np.array([len(grams) for grams in sets], np.int64)),
                         *[pa.array(np.array(d, np.uint64).view(np.int64)) for d in digests],
                         pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
+                        pa.ListArray.from_arrays(
+                            pa.array(np.arange(len(sets) + 1) * SKETCH, pa.int32()),
+                            pa.array(np.concatenate([_sketch(grams) for grams in sets]), pa.int32()),
+                        ),
                     ],
-                    ["id", "n", "d1", "d2", "signatures"],
+                    ["id", "n", "d1", "d2", "signatures", "sketch"],
                 )
 
     return run
@@ -148,6 +167,64 @@ def _segments(size: int, fragments: int, wanted: np.ndarray):
     return run
 
 
+def _bounded(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Those of ``pairs`` whose sketches don't rule a link out."""
+    of_a = sketches.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a"))
+    of_b = sketches.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b"))
+    both = pairs.join(of_a, "a").join(of_b, "b")
+    smaller = F.zip_with("s_a", "s_b", lambda x, y: F.least(x, y))
+    most = F.aggregate(smaller, F.lit(0), lambda total, x: total + x)
+    both = both.select("a", "b", (F.col("n_a") + F.col("n_b")).alias("n"), most.alias("most"))
+    return both.where(F.col("most") * 100 >= (F.col("n") - F.col("most")) * percent).select("a", "b")
+
+
+def _between(percent: int):
+    """Pairs of members of two blocks of a bucket that are in different components and aren't ruled out."""
+
+    def members(column: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        lists = column[k].values
+        of = lambda name: lists.field(name).to_numpy(zero_copy_only=False)
+        sketches = lists.field("sketch").flatten().to_numpy(zero_copy_only=False).reshape(-1, SKETCH)
+        return of("representative"), of("component"), sketches
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(len(batch)):
+                ids, components_, sketches = members(batch.column(0), k)
+                others, other_components, other_sketches = members(batch.column(1), k)
+                sizes = other_sketches.sum(1)
+                found = []
+                for i in range(len(ids)):
+                    open_ = np.flatnonzero((other_components != components_[i]) & (others > ids[i]))
+                    most = np.minimum(sketches[i], other_sketches[open_]).sum(1)
+                    total = sketches[i].sum() + sizes[open_]
+                    hits = others[open_[most * 100 >= (total - most) * percent]]
+                    found.append(np.stack([np.full(len(hits), ids[i]), hits], 1))
+                pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
+                if len(pairs):
+                    yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+
+    return run
+
+
+def _remaining(members: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Pairs of members of the same bucket (signature, representative, component) that are in different
+    components and aren't ruled out. Members meet in rows of about `BLOCK` of them; only pairs that may
+    link become rows. Buckets of two are left out, as one of them was the other's hub."""
+    sizes = members.groupBy("signature").agg(F.count(F.lit(1)).alias("size")).where("size > 2")
+    sizes = sizes.select("signature", F.ceil(F.col("size") / BLOCK).alias("blocks"))
+    placed = members.join(sizes, "signature").join(sketches.withColumnRenamed("id", "representative"), "representative")
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("representative"), F.col("blocks")))
+    blocks = placed.groupBy("signature", "block", "blocks").agg(
+        F.collect_list(F.struct("representative", "component", "sketch")).alias("members")
+    )
+    # Ordered pairs of blocks, as a member is compared with larger ids only.
+    partner = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    left = blocks.select("signature", F.col("members").alias("x"), partner.alias("block"))
+    met = left.join(blocks.select("signature", "block", F.col("members").alias("y")), ["signature", "block"])
+    return met.select("x", "y").mapInArrow(_between(percent), "a long, b long").distinct()
+
+
 def _overlaps(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
     """Those of ``pairs`` (``a``, ``b``) that link: overlaps counted per fragment, then summed per pair."""
     of_a = segments.select(F.col("id").alias("a"), "fragment", F.col("n").alias("n_a"), F.col("segment").alias("in_a"))
@@ -218,8 +295,9 @@ def jaccard_classes(
     The n-gram order is the order of 64-bit hashes; it is cut into fragments twice. For candidates,
     classes with an equal fragment meet in a bucket. A bucket does not emit all its pairs: its
     members are compared with one of them, a hub; only members that are then still in different
-    components meet other hubs, and after `HUB_ROUNDS` such rounds each other. For verification the
-    overlap of a pair is counted in each of `FRAGMENTS` fragments separately and summed per pair.
+    components meet other hubs, and after `HUB_ROUNDS` such rounds each other, in blocks. Sizes of finer
+    fragments bound the overlap of a pair; where the bound allows a link, the overlap is counted in each
+    of `FRAGMENTS` fragments separately and summed per pair.
 
     A null text or one without words has no shingles and links with nothing. A null id gets no
     component (null) and takes no part. Rows that repeat an id are one document: links of any of them
@@ -227,7 +305,7 @@ def jaccard_classes(
     """
     spark, scratch, cuts = documents.sparkSession, Scratch(documents.sparkSession), Cuts(percent)
     rows = documents.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"))
-    sets = rows.mapInArrow(_sets(shingle, cuts), "id long, n long, d1 long, d2 long, signatures array<long>")
+    sets = rows.mapInArrow(_sets(shingle, cuts), "id long, n long, d1 long, d2 long, signatures array<long>, sketch array<int>")
     sets = scratch.table(sets, "sets")
     worded = sets.where("n > 0 AND id IS NOT NULL")
     classes = worded.groupBy("n", "d1", "d2").agg(F.min("id").alias("representative"))
@@ -243,10 +321,11 @@ def jaccard_classes(
     owners = named.where("representative IS NOT NULL AND id IS NOT NULL").select("id", "representative").distinct()
     members = signed.join(met, "signature").join(owners, "id").select("signature", "representative").distinct()
     members = scratch.table(members, "members")
-    scratch.release(sets, met)
+    scratch.release(met)
 
+    sketches = None
     labels = spark.range(0).select(F.col("id").alias("representative"), F.col("id").alias("component"))
-    links, segments, seen = None, None, []
+    links, segments, pairs = None, None, None
     for turn in range(HUB_ROUNDS + 1):
         labeled = members.join(labels, "representative", "left")
         labeled = labeled.withColumn("component", F.coalesce("component", "representative"))
@@ -265,32 +344,32 @@ def jaccard_classes(
         members = unsettled
         if members.isEmpty():
             break
-        if turn < HUB_ROUNDS:
-            pairs = members.where("component <> hub_component")
-            pairs = pairs.select(F.least("hub", "representative").alias("a"), F.greatest("hub", "representative").alias("b"))
-        else:
-            one = members.select("signature", F.col("representative").alias("a"), F.col("component").alias("c"))
-            two = members.select("signature", F.col("representative").alias("b"), F.col("component").alias("d"))
-            pairs = one.join(two, "signature").where("a < b AND c <> d").select("a", "b")
-        pairs = pairs.distinct()
-        for earlier in seen:
-            pairs = pairs.join(earlier, ["a", "b"], "left_anti")
-        pairs = scratch.table(pairs, "pairs")
-        seen.append(pairs)
-        members = scratch.table(members.select("signature", "representative"), "members")
-        scratch.release(unsettled)
-        if segments is None:
+        if sketches is None:
             # Only documents that share a bucket are compared, so hardly any others are cut again.
-            wanted = _present(members.select(F.xxhash64("representative").alias("hash")))
+            wanted = members.select(F.col("representative").alias("id")).distinct()
+            sketches = sets.select("id", "n", "sketch").join(wanted, "id", "left_semi").dropDuplicates(["id"])
+            sketches = scratch.table(sketches, "sketches")
+            scratch.release(sets)
+            present = _present(sketches.select(F.xxhash64("id").alias("hash")))
             cut = rows.where("id IS NOT NULL").select("id", "text", F.xxhash64("id").alias("hash")).mapInArrow(
-                _segments(shingle, FRAGMENTS, wanted), "id long, n long, fragment int, segment array<long>"
+                _segments(shingle, FRAGMENTS, present), "id long, n long, fragment int, segment array<long>"
             )
             segments = scratch.table(cut, "segments")
-        linked = _overlaps(pairs, segments, percent)
-        links = scratch.table(linked if links is None else links.union(linked), "links")
+        if turn < HUB_ROUNDS:
+            apart = members.where("component <> hub_component")
+            apart = apart.select(F.least("hub", "representative").alias("a"), F.greatest("hub", "representative").alias("b"))
+            pairs = _bounded(apart.distinct(), sketches, percent)
+        else:
+            pairs = _remaining(members.select("signature", "representative", "component"), sketches, percent)
+        pairs = scratch.table(pairs, "pairs")
+        members = scratch.table(members.select("signature", "representative"), "members")
+        linked = scratch.table(_overlaps(pairs, segments, percent), "linked")
+        scratch.release(unsettled, pairs)
+        if linked.isEmpty():
+            continue
+        links = linked if links is None else scratch.table(links.union(linked), "links")
         labels = components(links).withColumnRenamed("node", "representative")
-    if segments is not None:
-        scratch.release(segments, members, links, *seen)
+    scratch.release(members, *([segments, sketches] if segments else [sets]))
     named = named.withColumnRenamed("n", "n_shingles").join(labels, "representative", "left")
     return named.select(
         F.col("id").alias(id_column),
