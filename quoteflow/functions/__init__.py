@@ -6,6 +6,7 @@ from quoteflow.functions.times import (
     is_falsy,
     micros_since_epoch,
     parse_iso,
+    time_order,
     truthy_or,
     with_quote_time,
 )
@@ -17,6 +18,7 @@ __all__ = [
     "is_present",
     "micros_since_epoch",
     "parse_iso",
+    "time_order",
     "truthy_or",
     "with_quote_time",
 ]

@@ -1,6 +1,6 @@
 """Operators: each takes and returns DataFrames."""
 
-from quoteflow.operators.bars import coarser_bars, price_bars, price_history
+from quoteflow.operators.bars import coarser_bars, history_bars, price_bars, price_history
 from quoteflow.operators.coverage import missing_symbols, quote_coverage, request_manifest
 from quoteflow.operators.latest import latest_quotes, stage_quotes
 from quoteflow.operators.quotes import (
@@ -8,7 +8,6 @@ from quoteflow.operators.quotes import (
     flatten,
     raw_quotes,
     rejected_documents,
-    spread_documents,
 )
 from quoteflow.operators.symbols import (
     active_symbols,
@@ -25,6 +24,7 @@ __all__ = [
     "explode_documents",
     "flatten",
     "get_symbols",
+    "history_bars",
     "latest_quotes",
     "missing_symbols",
     "price_bars",
@@ -35,6 +35,5 @@ __all__ = [
     "request_manifest",
     "require_rows",
     "restrict_to_symbols",
-    "spread_documents",
     "stage_quotes",
 ]

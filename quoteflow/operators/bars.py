@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quoteflow.functions import epoch_to_timestamp, time_order
 from quoteflow.operators.symbols import restrict_to_symbols
 
 # The frequencies and the unit each one truncates to; weeks start on Monday.
@@ -48,19 +49,20 @@ def _period(day: Column, frequency: str) -> Column:
 def price_bars(ticks: DataFrame, frequency: str = "daily", tie_breaker: str | None = None) -> DataFrame:
     """Open, high, low, close and volume per symbol and day, week or month.
 
-    Ticks of one symbol at the very same time are told apart by ``tie_breaker``. Leave it out where
-    times are unique: the aggregation then needs no sort. Every partition is reduced to one row per
-    bar before the shuffle.
+    Ticks of one symbol at the very same time are told apart by ``tie_breaker``, a whole number.
+    Every partition is reduced to one row per bar before the shuffle, by hashing.
     """
-    groups = ticks.groupBy("Symbol", _period(F.to_date("ts"), frequency).alias("bar_date"))
-    rest = [F.max("Price").alias("high"), F.min("Price").alias("low"), F.sum("Volume").alias("volume")]
-    if tie_breaker is None:
-        bars = groups.agg(F.min_by("Price", "ts").alias("open"), F.max_by("Price", "ts").alias("close"), *rest)
-    else:
-        tick = F.struct("ts", tie_breaker, "Price")
-        ends = groups.agg(F.min(tick).alias("first"), F.max(tick).alias("last"), *rest)
-        bars = ends.withColumns({"open": F.col("first.Price"), "close": F.col("last.Price")})
-    return bars.select("Symbol", "bar_date", "open", "high", "low", "close", "volume")
+    order = F.col("ts") if tie_breaker is None else time_order(F.col("ts"), F.col(tie_breaker))
+    ordered = ticks.select(
+        "Symbol", _period(F.to_date("ts"), frequency).alias("bar_date"), "Price", "Volume", order.alias("_order")
+    )
+    return ordered.groupBy("Symbol", "bar_date").agg(
+        F.min_by("Price", "_order").alias("open"),
+        F.max("Price").alias("high"),
+        F.min("Price").alias("low"),
+        F.max_by("Price", "_order").alias("close"),
+        F.sum("Volume").alias("volume"),
+    )
 
 
 def coarser_bars(daily: DataFrame, frequency: str) -> DataFrame:
@@ -72,3 +74,22 @@ def coarser_bars(daily: DataFrame, frequency: str) -> DataFrame:
         F.max_by("close", "bar_date").alias("close"),
         F.sum("volume").alias("volume"),
     ).withColumnRenamed("period", "bar_date")
+
+
+# A history response: the symbol, and candles with their time in epoch milliseconds.
+HISTORY = (
+    "symbol string, candles array<struct<datetime: bigint, open: {price}, high: {price}, low: {price}, "
+    "close: {price}, volume: bigint>>"
+)
+
+
+def history_bars(documents: DataFrame, price_type: str = "decimal(18,4)") -> DataFrame:
+    """Landed history responses ``(SnapshotId, Document)`` to bars ``(Symbol, ts, open, high, low, close, volume)``.
+
+    The shape of a response is this repository's own; FIXTURES.md gives it. One without candles, or
+    that is no JSON, gives no bars. A candle without a time has a NULL one.
+    """
+    found = documents.select(F.from_json("Document", HISTORY.format(price=price_type)).alias("d"))
+    candles = found.select(F.col("d.symbol").alias("Symbol"), F.explode("d.candles").alias("candle"))
+    time = epoch_to_timestamp(F.col("candle.datetime").cast("double"))
+    return candles.select("Symbol", time.alias("ts"), "candle.open", "candle.high", "candle.low", "candle.close", "candle.volume")

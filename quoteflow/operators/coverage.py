@@ -15,7 +15,8 @@ def request_manifest(symbols: DataFrame, batch_size: int = 500) -> DataFrame:
     """The requests to send: comma-joined symbols per portfolio, at most ``batch_size`` in each.
 
     A portfolio that fits gives one request. A larger one is first spread over hash buckets, and
-    only a bucket is numbered and joined up in one place, however large the portfolio is.
+    only a bucket is numbered and joined up in one place, however large the portfolio is: rows are
+    dealt by bucket after the join with the sizes, which adaptive execution can then split.
     """
     symbols = materialize(symbols.select("PortfolioID", "Symbol"), "symbols")
     sizes = symbols.groupBy("PortfolioID").agg(F.ceil(F.count("*") / batch_size).alias("buckets"))
@@ -25,6 +26,7 @@ def request_manifest(symbols: DataFrame, batch_size: int = 500) -> DataFrame:
     return (
         symbols.join(materialize(sizes, "sizes"), "PortfolioID")
         .withColumn("bucket", F.pmod(hashed, F.col("buckets")))
+        .repartition("PortfolioID", "bucket")
         .withColumn("part", part)
         .groupBy("PortfolioID", "bucket", "part")
         .agg(

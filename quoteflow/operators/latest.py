@@ -5,36 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quoteflow.functions import is_present
+from quoteflow.functions import is_present, time_order
 from quoteflow.operators.quotes import PRICES
-from quoteflow.plans.workspace import materialize
 
 
 def latest_quotes(raw: DataFrame) -> DataFrame:
     """One row per symbol: the latest QuoteTime, then the highest SnapshotId.
 
     A quote without a time counts as older than any with one. Each partition sends at most one
-    row per symbol to the shuffle, so a symbol with very many rows is no burden.
+    row per symbol to the shuffle, so a symbol with very many rows is no burden. All values have a
+    fixed size, so the aggregation hashes and needs no sort.
     """
-    newest = F.max(F.struct("QuoteTime", "SnapshotId", *PRICES)).alias("newest")
-    return raw.groupBy("Symbol").agg(newest).select("Symbol", "newest.*").select(
-        "Symbol", *PRICES, "QuoteTime", "SnapshotId"
-    )
+    newest = [F.max_by(name, "_order").alias(name) for name in (*PRICES, "QuoteTime", "SnapshotId")]
+    order = time_order(F.col("QuoteTime"), F.col("SnapshotId"))
+    ordered = raw.select("Symbol", *PRICES, "QuoteTime", "SnapshotId", order.alias("_order"))
+    return ordered.groupBy("Symbol").agg(*newest)
 
 
 def stage_quotes(raw: DataFrame) -> DataFrame:
     """Stored raw rows to stage rows: one per symbol that has a name and a quote time.
 
-    The first pass over the raw table reads two narrow columns to find the latest time per symbol.
-    The second reads the rest only for the rows at that time, so the payloads that are shuffled and
-    parsed are about as many as there are symbols. Ties go to the highest SnapshotId.
+    One pass over narrow columns; whole payloads are neither read nor moved. Each partition sends
+    at most one row per symbol to the shuffle. Ties go to the highest SnapshotId.
     """
     usable = raw.where(is_present(F.col("Symbol")) & F.col("QuoteTime").isNotNull())
-    times = materialize(usable.groupBy("Symbol").agg(F.max("QuoteTime").alias("QuoteTime")), "latest")
-    at_time = usable.join(times, ["Symbol", "QuoteTime"], "left_semi")
-    newest = F.max(F.struct("QuoteTime", "SnapshotId", *PRICES, "RawJson")).alias("newest")
-    rows = at_time.groupBy("Symbol").agg(newest).select("Symbol", "newest.*")
-    fundamental = F.try_variant_get(F.try_parse_json("RawJson"), "$.fundamental", "variant")
-    return rows.select(
-        "Symbol", *PRICES, "QuoteTime", F.to_json(fundamental).alias("Fundamental"), "SnapshotId"
-    )
+    newest = F.max(F.struct("QuoteTime", "SnapshotId", *PRICES, "Fundamental")).alias("newest")
+    rows = usable.groupBy("Symbol").agg(newest).select("Symbol", "newest.*")
+    return rows.select("Symbol", *PRICES, "QuoteTime", "Fundamental", "SnapshotId")

@@ -8,63 +8,61 @@ from pyspark.sql import functions as F
 from quoteflow.functions import truthy_or, with_quote_time
 
 PRICE_TYPE = "decimal(18,4)"
+# Closes a document, as a second array element.
 END_MARK = "end of document"
-# The whitespace of JSON.
-JSON_SPACE = " \t\r\n"
 PRICES = {"LastPrice": "lastPrice", "BidPrice": "bidPrice", "AskPrice": "askPrice"}
+DUPLICATE_KEYS = "spark.sql.variant.allowDuplicateKeys"
 
 
-def spread_documents(documents: DataFrame) -> DataFrame:
-    """Deal stored documents out over the cores when they come in fewer partitions than those.
+def _elements(text: Column) -> Column:
+    """JSON text, and an end mark, as the elements of an array of objects; NULL if that is no JSON.
 
-    Parsing is the costly part, and one file of text can hold a lot of it. Where the input already
-    comes in enough partitions, as any large one does, nothing is shuffled.
+    Values are parsed one by one, so that the size of a document is not limited by that of a VARIANT.
+    The parser stops after one complete value and does not mind what follows. With the mark the text
+    held one object and nothing else only if there are two elements, the first of which is an object.
     """
-    cores = documents.sparkSession.sparkContext.defaultParallelism
-    return documents if documents.rdd.getNumPartitions() >= cores else documents.repartition(cores)
+    marked = F.concat(F.lit("["), text, F.lit(f',{{"{END_MARK}":true}}]'))
+    return F.from_json(marked, "array<map<string,variant>>", {"allowSingleQuotes": "false"})
 
 
-def _with_end_mark(text: Column) -> Column:
-    """JSON text as VARIANT, in a pair with an end mark.
-
-    The parser stops after one complete value and does not mind what follows. Parsed as the first
-    of two array elements, the text held one value and nothing else only if the second one is found
-    where it belongs.
-    """
-    return F.try_parse_json(F.concat(F.lit("["), text, F.lit(f',"{END_MARK}"]')))
+def _is_whole(elements: Column) -> Column:
+    return F.coalesce((F.size(elements) == 2) & F.get(elements, F.lit(0)).isNotNull(), F.lit(False))
 
 
-def _is_whole(pair: Column) -> Column:
-    return F.coalesce(F.try_variant_get(pair, "$[1]", "string"), F.lit("")) == END_MARK
+def _last_of_each_key(entries: Column) -> Column:
+    """Entries of an object without those whose key comes again."""
+    keys = F.transform(entries, lambda entry: entry["key"])
+    placed = F.sort_array(F.transform(keys, lambda key, at: F.struct(key.alias("key"), at.alias("at"))))
+    last = F.filter(placed, lambda x, at: ~x["key"].eqNullSafe(F.get(placed, at + 1)["key"]))
+    kept = F.transform(last, lambda x: F.get(entries, x["at"]))
+    return F.when(F.size(F.array_distinct(keys)) == F.size(keys), entries).otherwise(kept)
 
 
-def parse_documents(documents: DataFrame) -> DataFrame:
-    """Add the whole text of each Document as the VARIANT ``Parsed``, NULL if it is no JSON."""
-    pair = F.col("_pair")
-    value = F.when(_is_whole(pair), F.try_variant_get(pair, "$[0]", "variant"))
-    return documents.withColumn("_pair", _with_end_mark(F.col("Document"))).withColumn("Parsed", value).drop("_pair")
+def _require_setting(documents: DataFrame) -> None:
+    if documents.sparkSession.conf.get(DUPLICATE_KEYS) != "true":
+        raise ValueError(f"{DUPLICATE_KEYS} must be true to read quote documents; see quoteflow.session.configure")
 
 
 def explode_documents(documents: DataFrame) -> DataFrame:
     """One row ``(SnapshotId, Symbol, Payload)`` per top-level key of each document, any key.
 
-    Each document is parsed once, to VARIANT. Text that is no JSON object gives no rows here; see
-    ``rejected_documents``.
+    Each document is parsed once, each payload to a VARIANT of its own; a key given twice keeps its
+    last value. Text that is no JSON object gives no rows here; see ``rejected_documents``. The
+    setting by which keys may repeat inside a payload is demanded, as without it such a document
+    would be lost.
     """
-    entries = documents.sparkSession.tvf.variant_explode(F.col("Parsed").outer())
-    return (
-        parse_documents(documents)
-        .lateralJoin(entries)
-        .where(F.col("key").isNotNull())
-        .select("SnapshotId", F.col("key").alias("Symbol"), F.col("value").alias("Payload"))
-    )
+    _require_setting(documents)
+    parsed = documents.withColumn("_elements", _elements(F.col("Document")))
+    whole = F.when(_is_whole(F.col("_elements")), F.map_entries(F.get("_elements", F.lit(0))))
+    entries = parsed.withColumn("_entries", whole).withColumn("_entry", F.explode(_last_of_each_key(F.col("_entries"))))
+    return entries.select("SnapshotId", F.col("_entry.key").alias("Symbol"), F.col("_entry.value").alias("Payload"))
 
 
 def flatten(entries: DataFrame, price_type: str = PRICE_TYPE) -> DataFrame:
     """Exploded entries to the raw row.
 
     Whatever is absent, or sits under something that is no object, becomes NULL; the row stays and
-    RawJson keeps the payload whole. The quote time is quoteTime unless that is falsy, else
+    RawJson keeps the payload whole, and Fundamental that part of it. The quote time is quoteTime unless that is falsy, else
     tradeTime; a truthy one that cannot be read gives NULL.
     """
     fields = [f"{field} {price_type}" for field in PRICES.values()] + ["quoteTime variant", "tradeTime variant"]
@@ -77,6 +75,7 @@ def flatten(entries: DataFrame, price_type: str = PRICE_TYPE) -> DataFrame:
         "Symbol",
         *[F.col(f"quote.{field}").alias(name) for name, field in PRICES.items()],
         F.col("at").alias("QuoteTime"),
+        F.to_json(F.try_variant_get("Payload", "$.fundamental", "variant")).alias("Fundamental"),
         F.to_json("Payload").alias("RawJson"),
     )
 
@@ -88,9 +87,8 @@ def raw_quotes(documents: DataFrame, price_type: str = PRICE_TYPE) -> DataFrame:
 
 def rejected_documents(documents: DataFrame) -> DataFrame:
     """The documents that are no JSON object: cut off, empty, with text after it, or of another kind."""
-    text = F.col("Document")
-    braced = F.coalesce(F.ltrim(text, F.lit(JSON_SPACE)).startswith("{"), F.lit(False))
-    whole = braced & _is_whole(_with_end_mark(text))
+    _require_setting(documents)
+    parsed = documents.withColumn("_elements", _elements(F.col("Document")))
     # As the output of a generator the test stays where it is, and is worked out once per document.
-    checked = documents.withColumn("_whole", F.explode(F.array(whole)))
-    return checked.where(~F.col("_whole")).drop("_whole")
+    checked = parsed.withColumn("_whole", F.explode(F.array(_is_whole(F.col("_elements")))))
+    return checked.where(~F.col("_whole")).select(documents.columns)

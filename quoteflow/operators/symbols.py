@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from quoteflow.functions import clean_symbol, is_present
 from quoteflow.plans.workspace import materialize
 
-# Up to this many symbols given by hand become a plain IN list, which reaches the scan.
-MAX_IN_LIST = 1000
-
 
 def _active_rows(portfolio: DataFrame, portfolio_id: int | None) -> DataFrame:
     rows = portfolio.where(F.col("IsActive") & is_present(F.col("Symbol")))
@@ -54,15 +51,15 @@ def as_symbols(spark: SparkSession, symbols: str | Sequence[str] | DataFrame) ->
 def restrict_to_symbols(df: DataFrame, symbols: str | Sequence[str] | DataFrame) -> DataFrame:
     """The rows of ``df`` whose Symbol is asked for.
 
-    The symbols are written to the shared folder first. Spark then knows their true size when it
-    plans the join: small ones are broadcast and ``df`` is not shuffled, larger ones are
-    shuffle-joined, where adaptive execution splits a symbol that holds too many rows.
+    One symbol, or a list of them, is a condition on the rows, which reaches the scan. Give many
+    symbols as a DataFrame: it is written to the shared folder first. Spark then knows its true size
+    when it plans the join: small ones are broadcast and ``df`` is not shuffled, larger ones are
+    shuffle-joined, where adaptive execution splits a symbol that holds too many rows. It can't if an
+    aggregation by symbol follows; aggregate before, as `latest_quotes` allows.
     """
     if isinstance(symbols, str):
         symbols = [symbols]
     if not isinstance(symbols, DataFrame):
-        if len(symbols) <= MAX_IN_LIST:
-            return df.where(F.col("Symbol").isin(list(symbols)))
-        symbols = as_symbols(df.sparkSession, symbols)
+        return df.where(F.col("Symbol").isin(list(symbols)))
     wanted = materialize(symbols.select("Symbol").distinct(), "symbols")
     return df.join(wanted, "Symbol", "left_semi")

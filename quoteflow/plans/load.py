@@ -5,6 +5,7 @@ loads. Readers go by the newest row of that log. So a load that fails half way c
 them, and there is no moment at which the tables are empty.
 
     <base>/raw/<unique>      raw rows of one load
+    <base>/rejected/<unique> documents of the load that could not be read
     <base>/stage/<unique>    stage rows of one load
     <base>/loads/load_id=N   the log, one row per finished load
 """
@@ -14,10 +15,11 @@ from __future__ import annotations
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from quoteflow.operators.latest import stage_quotes
+from quoteflow.sources.documents import LANDED_SCHEMA
 
 LOG_TYPES = {
     "load_id": "bigint",
@@ -25,7 +27,9 @@ LOG_TYPES = {
     "batch": "bigint",
     "raw_path": "string",
     "stage_path": "string",
+    "rejected_path": "string",
     "raw_rows": "bigint",
+    "rejected_rows": "bigint",
     "stage_rows": "bigint",
 }
 LOG_SCHEMA = ", ".join(f"{name} {kind}" for name, kind in LOG_TYPES.items())
@@ -68,15 +72,34 @@ def read_stage(spark: SparkSession, base: str) -> DataFrame:
     return spark.read.parquet(_published(spark, base).stage_path)
 
 
+def read_rejected(spark: SparkSession, base: str) -> DataFrame:
+    """The documents that the newest finished load could not read; no rows if none were given to it."""
+    load = _published(spark, base)
+    if load.rejected_path is None:
+        return spark.createDataFrame([], LANDED_SCHEMA)
+    return spark.read.parquet(load.rejected_path)
+
+
+def _write(df: DataFrame, path: str, name: str) -> int:
+    """Write a table and return its number of rows, which is counted on the way."""
+    seen = Observation(name)
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path, compression=COMPRESSION)
+    return seen.get["rows"]
+
+
 def reload(
     raw: DataFrame,
     base: str,
     source: str | None = None,
     batch: int | None = None,
     carry_over: bool = False,
+    rejected: DataFrame | None = None,
 ) -> DataFrame:
     """Replace raw and stage, and return the log row of this load. No raw rows is an error.
 
+    Documents that could not be read, if given as ``rejected``, are stored and counted with the load.
+    With ``carry_over`` a load of nothing but such documents is a load, too, and shows in the log.
+
     The stage table is derived from the raw table as stored, so documents are parsed once. With
     ``carry_over`` the stage of the newest load takes part: its rows stay unless newer ones came.
     A ``batch`` of a ``source`` that has already been loaded is not loaded again. One load at a
@@ -92,16 +115,15 @@ def reload(
 
     version = f"{load_id}-{uuid.uuid4().hex}"
     raw_path, stage_path = f"{base}/raw/{version}", f"{base}/stage/{version}"
-    raw.write.parquet(raw_path, compression=COMPRESSION)
-    stored = spark.read.schema(raw.schema).parquet(raw_path)
-    raw_rows = stored.count()
-    if raw_rows == 0:
-        raise NothingToLoad("no quotes to load")
-    stage = stage_quotes(stored)
+    raw_rows = _write(raw, raw_path, "raw")
+    rejected_path = None if rejected is None else f"{base}/rejected/{version}"
+    rejected_rows = 0 if rejected is None else _write(rejected, rejected_path, "rejected")
+    if raw_rows == 0 and not (carry_over and rejected_rows):
+        raise NothingToLoad(f"no quotes to load, {rejected_rows} documents rejected")
+    stage = stage_quotes(spark.read.schema(raw.schema).parquet(raw_path))
     if carry_over and before is not None:
         stage = newer_of(spark.read.parquet(before.stage_path), stage)
-    stage.write.parquet(stage_path, compression=COMPRESSION)
-    stage_rows = spark.read.schema(stage.schema).parquet(stage_path).count()
+    stage_rows = _write(stage, stage_path, "stage")
 
     entry = dict(
         load_id=load_id,
@@ -109,7 +131,9 @@ def reload(
         batch=batch,
         raw_path=raw_path,
         stage_path=stage_path,
+        rejected_path=rejected_path,
         raw_rows=raw_rows,
+        rejected_rows=rejected_rows,
         stage_rows=stage_rows,
     )
     row = spark.range(1).select(*[F.lit(entry[name]).cast(kind).alias(name) for name, kind in LOG_TYPES.items()])
@@ -139,8 +163,9 @@ def expire_loads(spark: SparkSession, base: str, keep: int = 1) -> int:
     names = {f"load_id={load.load_id}" for load in kept}
     _delete_others(spark, f"{base}/loads", names | {"_SUCCESS"})
     gone = 0
-    for kind in ("raw", "stage"):
-        gone += _delete_others(spark, f"{base}/{kind}", {load[f"{kind}_path"].rsplit("/", 1)[1] for load in kept})
+    for kind in ("raw", "stage", "rejected"):
+        names = {load[f"{kind}_path"].rsplit("/", 1)[1] for load in kept if load[f"{kind}_path"]}
+        gone += _delete_others(spark, f"{base}/{kind}", names)
     return gone
 
 
@@ -148,6 +173,8 @@ def _delete_others(spark: SparkSession, folder: str, keep: set[str]) -> int:
     """Delete what lies in a folder but for the names to keep."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return 0
     others = [entry.getPath() for entry in files.listStatus(path) if entry.getPath().getName() not in keep]
     return sum(files.delete(other, True) for other in others)
 

@@ -152,6 +152,29 @@ SELECT PortfolioID, Symbol FROM symbols WHERE Symbol NOT IN (SELECT 'S' || user_
 WITH {QUOTES}
 SELECT CAST(0 AS BIGINT) AS load_id, count(*) AS raw_rows,
        count(DISTINCT CASE WHEN QuoteTime IS NOT NULL THEN Symbol END) AS stage_rows FROM quotes
+""",
+    "portfolio_load": f"""
+WITH {SYMBOLS}, {QUOTES}
+SELECT Symbol, LastPrice, BidPrice, AskPrice, QuoteTime, '{{"k":' || k || '}}' AS Fundamental, SnapshotId
+FROM quotes WHERE QuoteTime IS NOT NULL AND Symbol IN (SELECT Symbol FROM symbols WHERE PortfolioID = 1)
+QUALIFY row_number() OVER (PARTITION BY Symbol ORDER BY QuoteTime DESC, SnapshotId DESC) = 1
+""",
+    "quotes_reloaded": f"WITH {QUOTES} SELECT {RAW} FROM quotes WHERE SnapshotId % 2 = 1",
+    "load_rejects": """
+SELECT event_id AS SnapshotId FROM events WHERE event_type IN ('click', 'signup', 'error')
+""",
+    "load_summary_damaged": f"""
+WITH {QUOTES}
+SELECT CAST(0 AS BIGINT) AS load_id, count(*) FILTER (event_type IN ('view', 'purchase')) AS raw_rows,
+       count(*) FILTER (event_type NOT IN ('view', 'purchase')) AS rejected_rows,
+       count(DISTINCT Symbol) FILTER (event_type IN ('view', 'purchase')) AS stage_rows FROM quotes
+""",
+    "price_history_one_symbol": f"WITH {TICKS} SELECT Symbol, ts, TickId, Price, Volume FROM ticks WHERE Symbol = 'S1'",
+    "price_history_documents": f"""
+WITH {QUOTES}
+SELECT Symbol, date_trunc('millisecond', ts) AS ts, LastPrice AS "open", LastPrice AS high, LastPrice AS low,
+       LastPrice AS "close", CAST(v AS BIGINT) AS volume
+FROM quotes, (SELECT unnest([1, 2]) AS v) WHERE event_type NOT IN ('error', 'signup')
 """,
     "price_history": f"WITH {TICKS} SELECT Symbol, ts, TickId, Price, Volume FROM ticks",
     "price_bars_daily": _bars("day"),

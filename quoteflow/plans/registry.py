@@ -13,6 +13,7 @@ from quoteflow.operators import (
     explode_documents,
     flatten,
     get_symbols,
+    history_bars,
     latest_quotes,
     missing_symbols,
     price_bars,
@@ -22,9 +23,8 @@ from quoteflow.operators import (
     rejected_documents,
     request_manifest,
     restrict_to_symbols,
-    spread_documents,
 )
-from quoteflow.plans.load import load_log, read_raw, read_stage, reload
+from quoteflow.plans.load import load_log, read_raw, read_rejected, read_stage, reload
 from quoteflow.plans.workspace import materialize, new_folder
 from quoteflow.session import configure
 from quoteflow.sources import standins, stream_documents
@@ -38,7 +38,7 @@ RECORDS_PER_FILE = 1_000_000
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread_documents(standins.quote_documents(spark, sf_dir))
+    return standins.quote_documents(spark, sf_dir)
 
 
 def portfolio_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,13 +64,13 @@ def quotes_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quotes_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = raw_quotes(spread_documents(standins.mixed_documents(spark, sf_dir)))
+    raw = raw_quotes(standins.mixed_documents(spark, sf_dir))
     is_quote = F.col("Symbol").rlike("^[SD]")
     return raw.select(*RAW, F.when(~is_quote, F.col("RawJson")).alias("OtherJson"))
 
 
 def quote_time_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = raw_quotes(spread_documents(standins.time_form_documents(spark, sf_dir)))
+    raw = raw_quotes(standins.time_form_documents(spark, sf_dir))
     return raw.select("SnapshotId", "Symbol", "QuoteTime")
 
 
@@ -87,11 +87,11 @@ def quote_raw_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rejected_documents(spread_documents(standins.damaged_documents(spark, sf_dir))).select("SnapshotId")
+    return rejected_documents(standins.damaged_documents(spark, sf_dir)).select("SnapshotId")
 
 
 def accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_quotes(spread_documents(standins.damaged_documents(spark, sf_dir))).select(RAW)
+    return raw_quotes(standins.damaged_documents(spark, sf_dir)).select(RAW)
 
 
 def quotes_one_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,7 +111,10 @@ def portfolio_quote_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def portfolio_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return latest_quotes(portfolio_quote_rows(spark, sf_dir))
+    """Reduced to a row per symbol first: a symbol with very many quotes then meets no join."""
+    newest = latest_quotes(raw_quotes(_documents(spark, sf_dir)))
+    columns = newest.columns
+    return restrict_to_symbols(newest, portfolio_symbols(spark, sf_dir)).select(columns)
 
 
 def quotes_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -142,6 +145,39 @@ def quotes_stored_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_raw(spark, _loaded(spark, sf_dir)).select(RAW)
 
 
+def portfolio_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole run for portfolio 1: its symbols, their quotes, a load, and the stage table of it."""
+    entries = restrict_to_symbols(explode_documents(_documents(spark, sf_dir)), portfolio_symbols(spark, sf_dir))
+    base = new_folder(spark, "load")
+    reload(flatten(entries), base, rejected=rejected_documents(_documents(spark, sf_dir)))
+    return read_stage(spark, base)
+
+
+def quotes_reloaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads, of which the second replaces the first: raw rows of documents with odd snapshot numbers."""
+    base = new_folder(spark, "load")
+    documents = _documents(spark, sf_dir)
+    for rest in (0, 1):
+        reload(raw_quotes(documents.where(F.col("SnapshotId") % 2 == rest)), base)
+    return read_raw(spark, base).select(RAW)
+
+
+def _damaged_load(spark: SparkSession, sf_dir: str) -> str:
+    base = new_folder(spark, "load")
+    documents = standins.damaged_documents(spark, sf_dir)
+    reload(raw_quotes(documents), base, rejected=rejected_documents(documents))
+    return base
+
+
+def load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_rejected(spark, _damaged_load(spark, sf_dir)).select("SnapshotId")
+
+
+def load_summary_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = load_log(spark, _damaged_load(spark, sf_dir))
+    return found.select("load_id", "raw_rows", "rejected_rows", "stage_rows")
+
+
 def load_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_log(spark, _loaded(spark, sf_dir)).select("load_id", "raw_rows", "stage_rows")
 
@@ -150,6 +186,15 @@ def history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return price_history(standins.ticks(spark, sf_dir), START, END)
 
 
+def history_one_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return price_history(standins.ticks(spark, sf_dir), START, END, symbols="S1")
+
+
+def history_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars of landed responses; symbols without any are left out."""
+    return history_bars(standins.history_documents(spark, sf_dir))
+
+
 def _bars(frequency: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         return price_bars(history(spark, sf_dir), frequency, tie_breaker="TickId")
@@ -209,7 +254,13 @@ QUERIES: dict[str, Query] = {
     "quotes_stage": quotes_stage,
     "quotes_stored_raw": quotes_stored_raw,
     "load_summary": load_summary,
+    "portfolio_load": portfolio_load,
+    "quotes_reloaded": quotes_reloaded,
+    "load_rejects": load_rejects,
+    "load_summary_damaged": load_summary_damaged,
     "price_history": history,
+    "price_history_one_symbol": history_one_symbol,
+    "price_history_documents": history_documents,
     "price_bars_daily": _bars("daily"),
     "price_bars_weekly": _bars("weekly"),
     "price_bars_monthly": _bars("monthly"),

@@ -1,6 +1,7 @@
 """Stand-ins for the pipeline's inputs, derived from the test tables over all their rows.
 
-FIXTURES.md defines them. Everything is a projection: no stand-in needs a shuffle.
+FIXTURES.md defines them. Documents are projections of events, which are dealt out by number first: they
+are narrow, while reading the documents made of them is costly.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ def portfolio_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").repartition("event_id")
     return events.withColumn("micros", micros_since_epoch(F.col("ts"))).withColumn(
         "price", F.col("value").cast("decimal(18,4)")
     )
@@ -172,3 +173,17 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("value").cast("decimal(18,4)").alias("Price"),
         F.get_json_object("props", "$.k").cast("bigint").alias("Volume"),
     )
+
+
+def history_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History responses: one per event with two candles; none for errors, and no list of them for signups."""
+    price = F.col("price").cast("string")
+    candle = lambda volume: F.concat(
+        F.lit('{"datetime":'), _millis(), F.lit(',"open":'), price, F.lit(',"high":'), price, F.lit(',"low":'), price,
+        F.lit(',"close":'), price, F.lit(f',"volume":{volume}}}'),
+    )
+    kind = F.col("event_type")
+    candles = F.when(kind == "error", F.lit("[]")).otherwise(F.concat(F.lit("["), candle(1), F.lit(","), candle(2), F.lit("]")))
+    listed = F.when(kind == "signup", F.lit("")).otherwise(F.concat(F.lit(',"candles":'), candles))
+    text = F.concat(F.lit('{"symbol":"S'), F.col("user_id"), F.lit('"'), listed, F.lit("}"))
+    return _events(spark, sf_dir).select(F.col("event_id").alias("SnapshotId"), text.alias("Document"))

@@ -8,7 +8,6 @@ import re
 
 import __spark_entry__ as entry
 import pytest
-from pyspark.sql import functions as F
 from quoteflow.operators import (
     active_symbols,
     coarser_bars,
@@ -18,6 +17,7 @@ from quoteflow.operators import (
     raw_quotes,
     restrict_to_symbols,
 )
+from quoteflow.operators.latest import latest_quotes, stage_quotes
 from quoteflow.plans import registry
 from quoteflow.sources import read_portfolio, read_ticks, standins
 
@@ -31,7 +31,14 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.fixture(scope="module")
+def landed(spark, sf_dir, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("documents") / "landed")
+    standins.quote_documents(spark, sf_dir).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.mark.parametrize("name", registry.queries())
 def test_no_python_and_no_cross_joins(spark, sf_dir, name):
     found = plan(entry.queries()[name](spark, sf_dir))
     for word in ("Python", "ArrowEval", "CartesianProduct", "BroadcastNestedLoopJoin"):
@@ -40,30 +47,30 @@ def test_no_python_and_no_cross_joins(spark, sf_dir, name):
 
 @pytest.mark.parametrize("name", ["quotes_raw", "quotes_mixed", "quotes_latest", "portfolio_quotes", "documents_rejected"])
 def test_documents_are_parsed_once(spark, sf_dir, name):
-    assert plan(entry.queries()[name](spark, sf_dir)).count("parseJson") == 1
+    assert plan(entry.queries()[name](spark, sf_dir)).count("from_json") == 1
 
 
-def test_raw_rows_need_no_shuffle(spark, sf_dir):
-    assert "Exchange" not in plan(raw_quotes(standins.quote_documents(spark, sf_dir)))
+def test_raw_rows_need_no_shuffle(landed):
+    assert "Exchange" not in plan(raw_quotes(landed))
 
 
-def test_generated_methods_can_be_compiled(spark, sf_dir):
+def test_generated_methods_can_be_compiled(landed):
     text = io.StringIO()
     with contextlib.redirect_stdout(text):
-        raw_quotes(standins.quote_documents(spark, sf_dir)).explain("codegen")
+        raw_quotes(landed).explain("codegen")
     sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", text.getvalue())]
     assert sizes and max(sizes) < 8000
 
 
-def test_small_symbol_tables_are_broadcast(spark, sf_dir):
-    entries = explode_documents(standins.quote_documents(spark, sf_dir))
+def test_small_symbol_tables_are_broadcast(spark, sf_dir, landed):
+    entries = explode_documents(landed)
     found = plan(restrict_to_symbols(entries, registry.portfolio_symbols(spark, sf_dir)))
     assert "BroadcastHashJoin" in found and "Exchange hashpartitioning" not in found
 
 
-def test_large_symbol_tables_are_not_broadcast(spark, sf_dir, setting):
+def test_large_symbol_tables_are_not_broadcast(spark, sf_dir, landed, setting):
     setting("spark.sql.autoBroadcastJoinThreshold", "1")
-    entries = explode_documents(standins.quote_documents(spark, sf_dir))
+    entries = explode_documents(landed)
     found = plan(restrict_to_symbols(entries, registry.portfolio_symbols(spark, sf_dir)))
     assert "BroadcastHashJoin" not in found and "LeftSemi" in found
 
@@ -91,11 +98,25 @@ def test_bars_are_reduced_before_the_shuffle(spark, sf_dir):
     assert found.count("HashAggregate") == 2 and "Sort" not in found
     daily = price_bars(standins.ticks(spark, sf_dir), "daily")
     assert "Sort" not in plan(coarser_bars(daily, "monthly"))
-    assert "partial_max" in plan(price_bars(standins.ticks(spark, sf_dir), "weekly", tie_breaker="TickId"))
+    broken = plan(price_bars(standins.ticks(spark, sf_dir), "weekly", tie_breaker="TickId"))
+    assert broken.count("HashAggregate") == 2 and "Sort" not in broken
+
+
+def test_latest_is_found_by_hashing(landed):
+    found = plan(latest_quotes(raw_quotes(landed)))
+    assert found.count("HashAggregate") == 2 and "Sort" not in found
+
+
+def test_a_portfolio_is_restricted_after_the_reduction(spark, sf_dir, setting):
+    """So a hot symbol sends a row per partition to any join."""
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    found = plan(registry.queries()["portfolio_quotes"](spark, sf_dir))
+    assert found.index("LeftSemi") < found.index("HashAggregate")
 
 
-def test_the_first_stage_pass_reads_two_columns(spark, sf_dir, tmp_path):
-    registry.quotes_raw(spark, sf_dir).write.parquet(str(tmp_path / "raw"))
-    times = spark.read.parquet(str(tmp_path / "raw")).groupBy("Symbol").agg(F.max("QuoteTime"))
-    assert "SortAggregate" not in plan(times)
-    assert re.search(r"ReadSchema: struct<(.*?)>", plan(times)).group(1).count(":") == 2
+def test_stage_never_touches_whole_payloads(spark, landed, setting, tmp_path):
+    raw_quotes(landed).write.parquet(str(tmp_path / "raw"))
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    found = plan(stage_quotes(spark.read.parquet(str(tmp_path / "raw"))))
+    assert "RawJson" not in found and "Fundamental" in found
+    assert found.count("FileScan") == 1 and "partial_max" in found

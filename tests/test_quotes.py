@@ -136,3 +136,33 @@ def test_documents_as_files_and_as_rows(spark, tmp_path):
     found.write.json(str(tmp_path / "table"))
     table = read_documents(spark, str(tmp_path / "table"), "json")
     assert sorted(map(tuple, table.collect()), key=str) == sorted(map(tuple, found.collect()), key=str)
+
+
+def test_what_harms_one_symbol_spares_the_others(spark):
+    text = '{"A": {"quote": {"lastPrice": NaN}}, "B": {"quote": {"lastPrice": 5}}}'
+    rows = {r.Symbol: r.LastPrice for r in raw_quotes(spark.createDataFrame([(1, text)], LANDED_SCHEMA)).collect()}
+    assert rows == {"A": None, "B": 5}
+
+
+def test_an_end_mark_inside_the_text_makes_no_document(spark):
+    texts = ['{"A": {}},{"end of document":true}', '{"A": {}},"end of document"', "{'A': {}}", '{"A": {}}}', '[{"A": {}}]']
+    docs = spark.createDataFrame(list(enumerate(texts)), LANDED_SCHEMA)
+    assert raw_quotes(docs).count() == 0
+    assert rejected_documents(docs).count() == len(texts)
+
+
+def test_a_document_larger_than_a_variant(spark):
+    n = 150_000
+    entry = "concat('\"S', i, '\":{\"quote\":{\"lastPrice\":', i, '},\"pad\":\"', repeat('x', 900), '\"}')"
+    text = f"concat('{{', array_join(transform(sequence(1, {n}), i -> {entry}), ','), '}}')"
+    docs = spark.range(1).selectExpr("id AS SnapshotId", f"{text} AS Document")
+    found = raw_quotes(docs).agg(F.count("*"), F.sum("LastPrice")).first()
+    assert tuple(found) == (n, n * (n + 1) // 2)
+    assert rejected_documents(docs).count() == 0
+
+
+def test_the_setting_it_relies_on_is_demanded(spark, setting):
+    docs = spark.createDataFrame([(1, "{}")], LANDED_SCHEMA)
+    setting("spark.sql.variant.allowDuplicateKeys", "false")
+    with pytest.raises(ValueError, match="allowDuplicateKeys"):
+        raw_quotes(docs)

@@ -5,7 +5,7 @@ import json
 from quoteflow.operators import raw_quotes
 from quoteflow.plans.load import load_log, read_stage, reload
 from quoteflow.sources import read_document_files, read_documents, stream_document_files, stream_documents
-from quoteflow.streaming import append_raw, run_loads
+from quoteflow.streaming import append_raw, append_rejected, run_loads
 
 START = 1700000000
 LAST = 11
@@ -48,13 +48,14 @@ def test_loads_give_the_latest_whatever_the_order_of_arrival(spark, tmp_path):
     assert listed(read_stage(spark, base)) == listed(read_stage(spark, expected))
 
 
-def test_batches_without_quotes_are_passed_over(spark, tmp_path):
+def test_empty_batches_are_passed_over_and_damaged_ones_show(spark, tmp_path):
     folder, base, checkpoint = tmp_path / "in", str(tmp_path / "tables"), str(tmp_path / "checkpoint")
     land(folder, [1])
     (folder / "snapshot-2.json").write_text("{}")
     (folder / "snapshot-3.json").write_text('{"S1": ')
     run_loads(stream_document_files(spark, str(folder), 1), base, checkpoint).awaitTermination()
-    assert [r.batch is not None for r in load_log(spark, base).collect()] == [True]
+    found = sorted((r.raw_rows > 0, r.rejected_rows) for r in load_log(spark, base).collect())
+    assert found == [(False, 1), (True, 0)]
     assert read_stage(spark, base).count() == sum((i + 1) % 3 > 0 for i in range(20))
 
 
@@ -90,3 +91,24 @@ def test_a_stream_that_keeps_running(spark, tmp_path):
         assert {r.SnapshotId for r in read_stage(spark, base).collect()} == {1, 2}
     finally:
         query.stop()
+
+
+def test_prices_keep_the_digits_asked_for(spark, tmp_path):
+    folder, base = tmp_path / "in", str(tmp_path / "tables")
+    folder.mkdir()
+    (folder / "snapshot-1.json").write_text('{"A": {"quote": {"lastPrice": 0.000123, "quoteTime": 1700000000}}}')
+    arriving = stream_document_files(spark, str(folder))
+    run_loads(arriving, base, str(tmp_path / "c1"), price_type="decimal(20,6)").awaitTermination()
+    append_raw(arriving, str(tmp_path / "raw"), str(tmp_path / "c2"), price_type="decimal(20,6)").awaitTermination()
+    for found in (read_stage(spark, base), spark.read.parquet(str(tmp_path / "raw"))):
+        assert [str(row.LastPrice) for row in found.collect()] == ["0.000123"]
+
+
+def test_rejected_documents_are_kept(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for number, text in enumerate(['{"A": {}}', '{"A": ', "x"], 1):
+        (folder / f"snapshot-{number}.json").write_text(text)
+    arriving = stream_document_files(spark, str(folder))
+    append_rejected(arriving, str(tmp_path / "bad"), str(tmp_path / "c")).awaitTermination()
+    assert sorted(row.SnapshotId for row in spark.read.parquet(str(tmp_path / "bad")).collect()) == [2, 3]

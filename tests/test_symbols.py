@@ -14,7 +14,6 @@ from quoteflow.operators import (
     request_manifest,
     restrict_to_symbols,
 )
-from quoteflow.operators import symbols as symbols_module
 from quoteflow.sources import PORTFOLIO_SCHEMA, jdbc_options, read_portfolio
 
 ROWS = [
@@ -67,7 +66,7 @@ def test_as_symbols(spark):
     assert listed(as_symbols(spark, as_symbols(spark, ["C"]).withColumn("x", F.lit(1)))) == [("C",)]
 
 
-def test_restrict_takes_one_many_or_a_table(spark, monkeypatch):
+def test_restrict_takes_one_many_or_a_table(spark):
     df = spark.createDataFrame([("A", 1), ("A", 2), ("B", 3), ("C", 4)], "Symbol string, n int")
     assert listed(restrict_to_symbols(df, "A")) == [("A", 1), ("A", 2)]
     assert listed(restrict_to_symbols(df, ["B", "C", "D"])) == [("B", 3), ("C", 4)]
@@ -75,8 +74,6 @@ def test_restrict_takes_one_many_or_a_table(spark, monkeypatch):
     assert listed(restrict_to_symbols(df, wanted)) == [("A", 1), ("A", 2), ("C", 4)]
     assert listed(restrict_to_symbols(df, [])) == []
     assert listed(restrict_to_symbols(df, as_symbols(spark, []))) == []
-    monkeypatch.setattr(symbols_module, "MAX_IN_LIST", 1)
-    assert listed(restrict_to_symbols(df, ["B", "C"])) == [("B", 3), ("C", 4)]
 
 
 def test_restrict_with_a_hot_symbol(spark, setting):
@@ -88,7 +85,23 @@ def test_restrict_with_a_hot_symbol(spark, setting):
     setting("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1")
     df = spark.range(30000).selectExpr("if(id % 3 = 0, 'HOT', concat('S', id)) as Symbol", "id")
     wanted = as_symbols(spark, ["HOT", "S1", "none"])
-    assert restrict_to_symbols(df, wanted).count() == 10001
+    found = restrict_to_symbols(df, wanted)
+    assert len(found.collect()) == 10001
+    assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_hot_portfolio_is_split(spark, setting):
+    """A portfolio with most of the symbols; its sizes may not be broadcast."""
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    setting("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    setting("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "1")
+    setting("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1")
+    setting("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1")
+    symbols = spark.range(30000).selectExpr("if(id % 3 > 0, 7, id) as PortfolioID", "concat('S', id) as Symbol")
+    found = request_manifest(symbols, batch_size=100)
+    rows = found.collect()
+    assert sum(row.n_symbols for row in rows) == 30000 and max(row.n_symbols for row in rows) <= 100
+    assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
 
 
 def test_manifest_of_a_small_portfolio_is_one_request(portfolio):
