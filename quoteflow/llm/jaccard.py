@@ -98,10 +98,15 @@ def signatures(grams: np.ndarray, cuts: Cuts) -> np.ndarray:
     return np.concatenate(found) if found else np.zeros(0, np.uint64)
 
 
+# The largest size of a sketch, which stands for any that is not smaller; it rules nothing out.
+FULL = 32767
+
+
 def _sketch(grams: np.ndarray) -> np.ndarray:
     """Sizes of `SKETCH` fragments. The sum of the smaller sizes of two sets is at least their overlap."""
     shift = np.uint64(64 - (SKETCH - 1).bit_length())
-    return np.bincount((grams >> shift).astype(np.int64), minlength=SKETCH)
+    sizes = np.bincount((grams >> shift).astype(np.int64), minlength=SKETCH)
+    return np.minimum(sizes, FULL).astype(np.int16)
 
 
 def _sets(size: int, cuts: Cuts):
@@ -126,7 +131,7 @@ def _sets(size: int, cuts: Cuts):
                         pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
                         pa.ListArray.from_arrays(
                             pa.array(np.arange(len(sets) + 1) * SKETCH, pa.int32()),
-                            pa.array(np.concatenate([_sketch(grams) for grams in sets]), pa.int32()),
+                            pa.array(np.concatenate([_sketch(grams) for grams in sets])),
                         ),
                     ],
                     ["id", "n", "d1", "d2", "signatures", "sketch"],
@@ -174,8 +179,9 @@ def _bounded(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     both = pairs.join(of_a, "a").join(of_b, "b")
     smaller = F.zip_with("s_a", "s_b", lambda x, y: F.least(x, y))
     most = F.aggregate(smaller, F.lit(0), lambda total, x: total + x)
-    both = both.select("a", "b", (F.col("n_a") + F.col("n_b")).alias("n"), most.alias("most"))
-    return both.where(F.col("most") * 100 >= (F.col("n") - F.col("most")) * percent).select("a", "b")
+    full = (F.array_max("s_a") == FULL) | (F.array_max("s_b") == FULL)
+    both = both.select("a", "b", (F.col("n_a") + F.col("n_b")).alias("n"), most.alias("most"), full.alias("full"))
+    return both.where(F.col("full") | (F.col("most") * 100 >= (F.col("n") - F.col("most")) * percent)).select("a", "b")
 
 
 def _between(percent: int):
@@ -192,13 +198,14 @@ def _between(percent: int):
             for k in range(len(batch)):
                 ids, components_, sketches = members(batch.column(0), k)
                 others, other_components, other_sketches = members(batch.column(1), k)
-                sizes = other_sketches.sum(1)
+                sizes, full = other_sketches.sum(1, dtype=np.int64), other_sketches.max(1) == FULL
                 found = []
                 for i in range(len(ids)):
                     open_ = np.flatnonzero((other_components != components_[i]) & (others > ids[i]))
-                    most = np.minimum(sketches[i], other_sketches[open_]).sum(1)
-                    total = sketches[i].sum() + sizes[open_]
-                    hits = others[open_[most * 100 >= (total - most) * percent]]
+                    most = np.minimum(sketches[i], other_sketches[open_]).sum(1, dtype=np.int64)
+                    total = sketches[i].sum(dtype=np.int64) + sizes[open_]
+                    may = (most * 100 >= (total - most) * percent) | full[open_] | (sketches[i].max() == FULL)
+                    hits = others[open_[may]]
                     found.append(np.stack([np.full(len(hits), ids[i]), hits], 1))
                 pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
                 if len(pairs):
@@ -305,7 +312,7 @@ def jaccard_classes(
     """
     spark, scratch, cuts = documents.sparkSession, Scratch(documents.sparkSession), Cuts(percent)
     rows = documents.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"))
-    sets = rows.mapInArrow(_sets(shingle, cuts), "id long, n long, d1 long, d2 long, signatures array<long>, sketch array<int>")
+    sets = rows.mapInArrow(_sets(shingle, cuts), "id long, n long, d1 long, d2 long, signatures array<long>, sketch array<smallint>")
     sets = scratch.table(sets, "sets")
     worded = sets.where("n > 0 AND id IS NOT NULL")
     classes = worded.groupBy("n", "d1", "d2").agg(F.min("id").alias("representative"))
