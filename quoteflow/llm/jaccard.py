@@ -315,17 +315,18 @@ def jaccard_classes(
     sets = rows.mapInArrow(_sets(shingle, cuts), "id long, n long, d1 long, d2 long, signatures array<long>, sketch array<smallint>")
     sets = scratch.table(sets, "sets")
     worded = sets.where("n > 0 AND id IS NOT NULL")
-    classes = worded.groupBy("n", "d1", "d2").agg(F.min("id").alias("representative"))
+    classes = worded.groupBy("n", "d1", "d2").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("rows"))
+    classes = scratch.table(classes.where("rows > 1").drop("rows"), "copies")
     named = sets.select("id", "n", "d1", "d2").join(classes, ["n", "d1", "d2"], "left")
-    named = materialize(
-        named.select("id", "n", F.when(F.col("n") > 0, F.col("representative")).alias("representative")), "classes"
-    )
+    own = F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.coalesce("first", "id"))
+    named = materialize(named.select("id", "n", own.alias("representative")), "classes")
+    scratch.release(classes)
 
     # Signatures that occur more than once, and the classes that have them.
     met = worded.select(F.explode("signatures").alias("signature")).groupBy("signature").count()
     met = scratch.table(met.where("count > 1").select("signature"), "met")
     signed = worded.select("id", "signatures").mapInArrow(_rows_of(_present(met)), "signature long, id long")
-    owners = named.where("representative IS NOT NULL AND id IS NOT NULL").select("id", "representative").distinct()
+    owners = named.where("representative IS NOT NULL").select("id", "representative").distinct()
     members = signed.join(met, "signature").join(owners, "id").select("signature", "representative").distinct()
     members = scratch.table(members, "members")
     scratch.release(met)
