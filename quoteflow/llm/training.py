@@ -77,10 +77,14 @@ def unpacked(column: pa.ChunkedArray) -> Rows:
     return Rows(lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64), np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64))
 
 
+# Steps that a fit takes at least; few rows are gone through more often.
+LEAST_STEPS = 800
+
+
 def batches_of(n: int, size: int, epochs: int, seed: int) -> Iterator[np.ndarray]:
-    """Row numbers in random order, ``size`` at a time."""
+    """Row numbers in random order, ``size`` at a time, for at least `LEAST_STEPS` batches."""
     draw = np.random.default_rng(seed)
-    for _ in range(epochs):
+    for _ in range(max(epochs, LEAST_STEPS // -(-n // size))):
         order = draw.permutation(n)
         for at in range(0, n, size):
             yield order[at : at + size]
