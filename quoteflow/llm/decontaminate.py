@@ -161,8 +161,8 @@ def _finder(phrases: Phrases, columns: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, begin, held = [], 0, 0
-            text, kept = batch.column(batch.num_columns - 3), batch.select(columns)
-            before = batch.select(range(batch.num_columns - 3, batch.num_columns))
+            kept = pa.RecordBatch.from_arrays(batch.column(0).flatten(), columns)
+            text, before = batch.column(1), batch.select([1, 2, 3])
             for at, data, offsets in pieces(text):
                 words = find_words(data, offsets, ALPHANUMERIC)
                 if texts and held + len(words.hashes) > SHARD_WORDS:
@@ -212,7 +212,9 @@ def find_passages(
         kind = "array<struct<start: long, end: long>>" if column == "spans" else "array<string>"
         found = found.withColumn(column, F.lit(None).cast(kind))
     for phrases in _blocks(items, item_column, item_text_column, size) or ():
-        shaped = found.select(*columns, F.col(text_column).alias("_text"), F.col("spans").alias("_spans"), F.col("items").alias("_items"))
+        # Columns of the input travel in one, so that their names can't clash with those used here.
+        row = F.struct(*[F.col(f"`{name}`") for name in columns]).alias("row")
+        shaped = found.select(row, F.col(text_column).cast("string").alias("read"), "spans", "items")
         schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.select(*columns).schema), _TYPES])
         found = shaped.mapInArrow(_finder(phrases, columns), schema)
     if "n_hit" not in found.columns:  # no items at all

@@ -49,8 +49,10 @@ def line_dedup(
     is returned. An empty table gives an empty one. Columns of the input are kept, but for two of
     the names added here, which are replaced.
     """
-    key, text = F.col(id_column), F.col(text_column)
-    source = documents.drop("n_lines", "n_dropped")
+    # Columns of the input travel in one, so that their names can't clash with those used here.
+    names = [name for name in documents.columns if name not in ("n_lines", "n_dropped")]
+    key, text = F.col("_row")[id_column], F.col("_row")[text_column]
+    source = documents.select(F.struct(*[F.col(f"`{name}`") for name in names]).alias("_row"))
     lines = source.select(key.alias("_id"), *_identity(text), F.posexplode(lines_of(text)).alias("_at", "_line"))
     keyed = lines.withColumn("_line", line_key(F.col("_line"))).where(F.length("_line") >= min_length)
     keyed = materialize(keyed.select("_id", "_text", "_size", "_at", F.unhex(F.md5("_line")).alias("_hash")), "lines")
@@ -63,7 +65,7 @@ def line_dedup(
 
     named = source.select("*", *_identity(text))
     found = named.join(drops, key.eqNullSafe(F.col("_owner")) & _same(named, drops), "left")
-    found = found.select(*source.columns, lines_of(text).alias("_lines"), F.col("_drops"))
+    found = found.select("_row", lines_of(text).alias("_lines"), "_drops")
     # Each dropped line ends a stretch of kept ones; a last stretch follows after all of them.
     ends = F.concat(F.col("_drops"), F.array(F.size("_lines")))
     stretches = F.transform(
@@ -71,13 +73,12 @@ def line_dedup(
         lambda x: F.slice(F.col("_lines"), x["after"] + 2, x["end"] - x["after"] - 1),
     )
     cleaned = F.when(F.col("_drops").isNull(), text).otherwise(F.array_join(F.flatten(stretches), "\n"))
-    others = [F.col(name) for name in source.columns if name != text_column]
+    kept = [cleaned if name == text_column else F.col("_row")[name] for name in names]
     return found.select(
-        *others,
-        cleaned.alias(text_column),
+        *[column.alias(name) for column, name in zip(kept, names)],
         F.size("_lines").cast("long").alias("n_lines"),
         F.when(F.col("_drops").isNull(), F.lit(0)).otherwise(F.size("_drops")).cast("long").alias("n_dropped"),
-    ).select(*source.columns, "n_lines", "n_dropped")
+    )
 
 
 def _same(named: DataFrame, drops: DataFrame) -> Column:

@@ -67,15 +67,17 @@ def quality_rules(
     of the input stay, but those with a name that is added here are replaced. Rows are independent,
     so repeated rows get equal results.
     """
-    documents = documents.drop(*ADDED)
-    text = F.coalesce(F.col(text_column), F.lit(""))
+    # Columns of the input travel in one, so that their names can't clash with those used here.
+    names = [name for name in documents.columns if name not in ADDED]
+    rows = documents.select(F.struct(*[F.col(f"`{name}`") for name in names]).alias("_row"))
+    text = F.coalesce(F.col("_row")[text_column], F.lit(""))
     judged = F.transform(
         lines_of(text),
         lambda line: F.struct(
             line.alias("line"), _count(line, f"[^{SPACE}]+").alias("n"), line_failures(line).alias("rule")
         ),
     )
-    base = documents.withColumns({"_words": words_of(text), "_judged": judged})
+    base = rows.withColumns({"_words": words_of(text), "_judged": judged})
     base = base.withColumns(
         {
             "_windows": _windows(F.col("_words")),
@@ -83,7 +85,7 @@ def quality_rules(
         }
     )
     base = base.withColumn("_twice", _found_twice(F.col("_windows"))).select(
-        *documents.columns,
+        "_row",
         "_judged",
         F.size("_words").cast("long").alias("n_words"),
         F.length(F.regexp_replace(text, f"[{SPACE}]+", "")).cast("long").alias("word_chars"),
@@ -103,7 +105,7 @@ def quality_rules(
     kept = ~F.col("base_failed") & (F.col("n_words_lost") <= F.col("n_words") * max_lost)
     passed = F.transform(F.filter("_judged", lambda x: x["rule"].isNull()), lambda x: x["line"])
     return base.select(
-        *documents.columns, *ADDED[:-2], kept.alias("kept"), F.array_join(passed, "\n").alias("cleaned_text")
+        *[F.col("_row")[name].alias(name) for name in names], *ADDED[:-2], kept.alias("kept"), F.array_join(passed, "\n").alias("cleaned_text")
     )
 
 

@@ -175,13 +175,15 @@ def score_toxicity(
         for batch in batches:
             found = [
                 sigmoid(scores(Model(model_bias, full), features(data, offsets)))
-                for _, data, offsets in pieces(batch.column(batch.num_columns - 1))
+                for _, data, offsets in pieces(batch.column(1))
             ]
             score = pa.array(np.concatenate(found) if found else np.zeros(0), pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], score], [*columns, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.column(0).flatten(), score], [*columns, "score"])
 
     model_bias = model.bias
     kept = documents.select(*columns)
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema), "score double"])
-    scored = kept.select("*", F.col(text_column).cast("string").alias("_text")).mapInArrow(run, schema)
+    # Columns of the input travel in one, so that their names can't clash with those used here.
+    row = F.struct(*[F.col(f"`{name}`") for name in columns]).alias("row")
+    scored = kept.select(row, F.col(text_column).cast("string").alias("read")).mapInArrow(run, schema)
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

@@ -42,7 +42,10 @@ def test_words_are_those_of_the_contracts():
 
 
 def test_line_dedup(spark, edges, nothing):
-    rows = line_dedup(edges.withColumn("n_lines", F.lit("clash"))).collect()
+    clash = {name: F.lit("clash") for name in ("n_lines", "_text", "_lines", "_at", "_row", "_id")}
+    found = line_dedup(edges.withColumns(clash))
+    assert {row["_text"] for row in found.collect()} == {"clash"}
+    rows = found.collect()
     by_id = {row["doc_id"]: row for row in rows}
     assert len(rows) == len(ROWS)
     # The largest id that holds the shared line keeps it; null counts as a document and as the smallest.
@@ -73,7 +76,9 @@ def test_quality_rules(spark, edges, nothing):
     assert rows[20]["kept"] and rows[20]["n_words_lost"] == 0 and rows[20]["cleaned_text"] == prose
     assert not rows[21]["kept"]
     assert rows[22]["kept"] and rows[22]["cleaned_text"] == prose
-    found = {row["doc_id"]: row for row in quality_rules(edges).collect()}
+    clash = {name: F.lit("clash") for name in ("_words", "_row", "_judged", "n_words")}
+    found = {row["doc_id"]: row for row in quality_rules(edges.withColumns(clash)).collect()}
+    assert {row["_words"] for row in found.values()} == {"clash"}
     assert found[4]["n_words"] == 0 and found[4]["base_failed"] and found[7]["n_dup_lines"] == 0
     assert found[8]["n_repeat_words"] == found[8]["n_words"] == 12000
     assert quality_rules(nothing).count() == 0
@@ -119,7 +124,8 @@ def test_decontamination(spark, edges, nothing):
         [(1, "Two, THREE four"), (2, A), (None, "eleven twelve"), (3, None), (4, " - "), (1, "two three four"), (5, "köln")],
         "item_id long, text string",
     )
-    found = find_passages(edges.withColumn("items", F.lit(0)), items)
+    found = find_passages(edges.withColumns({"items": F.lit(0), "_text": F.lit("x"), "_spans": F.lit(1)}), items)
+    assert found.where("_text = 'x' AND _spans = 1").count() == len(ROWS)
     rows = {row["doc_id"]: row for row in found.collect()}
     assert found.count() == len(ROWS)
     assert rows[9]["n_hit"] == 12 and rows[9]["items"] == ["1", "2"]
