@@ -106,11 +106,15 @@ def reload(
     time may run on a base folder.
     """
     spark = raw.sparkSession
-    if source is not None:
-        done = load_log(spark, base).where((F.col("source") == source) & (F.col("batch") == batch))
-        if not done.isEmpty():
-            return done
-    before = newest_load(spark, base)
+    # One look at the log tells the newest load, and whether this batch has been loaded.
+    same = (F.col("source") == source) & (F.col("batch") == batch) if source is not None else F.lit(False)
+    log = load_log(spark, base)
+    known = log.agg(
+        F.max_by(F.struct(*log.columns), "load_id").alias("newest"), F.max(F.when(same, F.col("load_id"))).alias("done")
+    ).first()
+    if known.done is not None:
+        return load_log(spark, base).where(F.col("load_id") == known.done)
+    before = known.newest
     load_id = 0 if before is None else before.load_id + 1
 
     version = f"{load_id}-{uuid.uuid4().hex}"
