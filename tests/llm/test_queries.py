@@ -106,10 +106,14 @@ def test_scores_of_held_out_documents(spark, name, label, least_found, least_kep
     assert 1 - sum(zeros) / len(zeros) >= least_kept
 
 
-def test_secrets(spark, sf_dir):
+def test_secrets(spark):
+    """Values assigned to a key word in the text are secrets, addresses are not."""
+    sf_dir = "/root/testdata/sf0.1"
+    texts = dict(documents(sf_dir))
     rows = QUERIES["op3_secrets"](spark, sf_dir).collect()
-    told = {row["candidate"]: row["secret"] for row in rows}
-    issued = [secret for value, secret in told.items() if value.startswith("AKIA") and len(value) == 20]
-    addresses = [secret for value, secret in told.items() if "@" in value]
-    assert issued and all(issued)
+    before = [texts[row["doc_id"]][max(0, row["start"] - 12) : row["start"]] for row in rows]
+    assert all(texts[row["doc_id"]][row["start"] : row["end"]] == row["candidate"] for row in rows)
+    assigned = [row["secret"] for row, text in zip(rows, before) if text.lower().endswith(('token = "', "password="))]
+    addresses = [row["secret"] for row in rows if "@" in row["candidate"]]
+    assert assigned and sum(assigned) >= 0.95 * len(assigned)
     assert addresses and not any(addresses)
