@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from quoteflow.plans.workspace import materialize
 
 # A candidate: characters of keys and tokens in a row; assignments and quotes part them.
-CANDIDATE = re.compile(r"[A-Za-z0-9_\-+/.@~]{12,512}|[A-Za-z0-9_\-+/.@~]{513,}")
+CANDIDATE = re.compile(r"[A-Za-z0-9_\-+/.@~]{12,}")
 # Words that stand before secrets, and those that stand before what only looks like one.
 KEY_WORDS = (
     "password passwd pwd secret token key apikey api_key access auth bearer credential credentials private signature".split()

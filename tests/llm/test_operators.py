@@ -348,3 +348,13 @@ def test_secrets(spark, edges, nothing):
             assert not row["secret"]
     assert train_forest(reviewed(find_candidates(nothing))) is None
     assert score_candidates(find_candidates(nothing), None).count() == 0
+
+
+@pytest.mark.parametrize("size", [512, 513, 520, 1600, 5000])
+def test_long_secrets_are_whole(spark, size):
+    key = ("aB3" * size)[:size]
+    text = f'x\ntoken = "{key}" y'
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    (row,) = find_candidates(docs).collect()
+    assert (row["start"], row["end"], row["candidate"]) == (11, 11 + size, key)
+    assert row["features"][0] == size and row["before"].endswith('token = "') and row["after"] == '" y'
