@@ -24,6 +24,17 @@ KEY_WORDS = (
     "password passwd pwd secret token key apikey api_key access auth bearer credential credentials private signature".split()
 )
 PLAIN_WORDS = "commit sha md5 sha1 sha256 checksum hash uuid version http https example test sample digest rev revision".split()
+# A name before a sign of assignment, with what may close a string or an index between them.
+_NAME = re.compile(r"(?<![A-Za-z0-9_\-])([A-Za-z0-9_\-]++)[\"'`\]\\)]*+\s*+(?::=|=>|={1,3}|:(?!:))\s*+")
+_PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
+# A second sign of assignment, as after the type in ``password: str = "..."``.
+_AGAIN = re.compile(r"[ \t]*+=(?!=)\s*+")
+_OPEN = re.compile(r"[bBrRuUfF@$]?(\"\"\"|'''|\\?[\"'`])")
+_CLOSED = {
+    quote: re.compile(rf"((?:(?!{re.escape(quote)})(?:\\.|.))++){re.escape(quote)}", re.DOTALL)
+    for quote in ('"""', "'''", '"', "'", "`", '\\"', "\\'", "\\`")
+}
+_TO_SPACE, _TO_SEPARATOR = re.compile(r"(?:[\"'`]\s++)?\S+"), re.compile(r"[^\s&;,]+")
 # Common beginnings of issued keys.
 ISSUED = ("AKIA", "ASIA", "ghp_", "gho_", "glpat-", "xoxb-", "xoxp-", "sk_live_", "sk-", "AIza", "eyJ", "SG.")
 # Parts of paths of files that rarely hold live secrets.
@@ -49,8 +60,8 @@ def _dictionary(candidate: str, known: frozenset[str]) -> float:
 
 def describe(candidate: str, before: str, after: str, path: str | None, known: frozenset[str]) -> list[float]:
     """The numbers of `FEATURES` for a candidate in its neighbourhood."""
-    codes = np.frombuffer(candidate.encode(), np.uint8)
-    kinds = _KINDS[codes]
+    codes = np.frombuffer(candidate.encode("utf-32-le"), np.uint32)
+    kinds = np.where(codes < 128, _KINDS[codes & 127], 0)
     n = len(candidate)
     changes = np.flatnonzero(kinds[1:] != kinds[:-1])
     runs = np.diff(np.concatenate([[-1], changes, [n - 1]]))
@@ -71,7 +82,7 @@ def describe(candidate: str, before: str, after: str, path: str | None, known: f
         float("@" in candidate),
         float(any(word in near for word in KEY_WORDS)),
         float(any(word in near for word in PLAIN_WORDS)),
-        float(bool(re.search(r"[=:]\s*[\"']?$", before))),
+        float(bool(re.search(r"[=:]>?\s*[bBrRuUfF@$]?(\"\"\"|'''|\\?[\"'`])?$", before))),
         float(before[-1:] in "\"'" and before != "" and after[:1] in "\"'" and after != ""),
         float(any(part in path for part in PATH_PARTS)),
         float(path != ""),
@@ -80,13 +91,59 @@ def describe(candidate: str, before: str, after: str, path: str | None, known: f
     ]
 
 
+def _is_key(name: str) -> bool:
+    parts = [part.lower() for part in _PARTS.findall(name)]
+    return any(part in KEY_WORDS for part in parts) or name.lower().endswith(tuple(KEY_WORDS))
+
+
+def _assigned(text: str, begin: int, end: int, bare: re.Pattern[str] = _TO_SPACE) -> Iterator[tuple[int, int]]:
+    """(start, end) of values assigned to names with a key word: up to the closing quote, else up to white space.
+
+    Values in values count, too: those in quotes in other quotes, and those of a list parted by ``&``, ``;`` or ``,``.
+    """
+    while found := _NAME.search(text, begin, end):
+        begin = found.end()
+        if not _is_key(found[1]):
+            continue
+        while begin < end:
+            opened = _OPEN.match(text, begin, end)
+            closed = opened and _CLOSED[opened[1]].match(text, opened.end(), end)
+            if closed:
+                yield closed.span(1)
+                yield from _assigned(text, *closed.span(1))
+                begin = closed.end()
+            elif opened and text.startswith(opened[1], opened.end(), end):
+                begin = opened.end() + len(opened[1])
+            else:
+                # What begins with a quote that isn't closed isn't quoted.
+                value = bare.match(text, begin, end)
+                if not value or opened and value.end() == opened.end():
+                    break
+                yield value.span()
+                if bare is _TO_SPACE:
+                    yield from _assigned(text, *value.span(), _TO_SEPARATOR)
+                begin = value.end()
+            again = _AGAIN.match(text, begin, end)
+            if not again:
+                break
+            begin = again.end()
+
+
 def candidates_of(text: str) -> Iterator[tuple[int, int, str]]:
-    """(start, end, candidate) for runs of key characters that hold a digit or change case inside."""
+    """(start, end, candidate), each span once, in their order.
+
+    Candidates are runs of 12 or more key characters that hold a digit or change case inside, and whatever
+    is assigned to a key word (`KEY_WORDS`, also as a part of a name): of any length and any characters, up to the
+    closing quote or else up to white space. A run inside such a value is a candidate of its own.
+    """
+    spans = set(_assigned(text, 0, len(text)))
     for found in CANDIDATE.finditer(text):
         value = found[0].strip(".-/")
         if len(value) >= 12 and (any(c.isdigit() for c in value) or re.search(r"[a-z][A-Z]", value)):
             start = found.start() + found[0].index(value)
-            yield start, start + len(value), value
+            spans.add((start, start + len(value)))
+    for start, end in sorted(spans):
+        yield start, end, text[start:end]
 
 
 NEIGHBOURHOOD = 40
@@ -98,8 +155,8 @@ def find_candidates(
 ) -> DataFrame:
     """One row per candidate: the id, where it stands (in code points), its neighbourhood and features.
 
-    Null and empty texts have no candidates. Whole texts are searched. A candidate may be of any length. A
-    path is used where there is one. Rows that repeat give their candidates again; other columns, whatever
+    Null and empty texts have no candidates. Whole texts are searched. A candidate may be of any length, and
+    one may lie inside another (`candidates_of`). A path is used where there is one. Rows that repeat give their candidates again; other columns, whatever
     their names, are left out.
     """
     path = F.col(path_column).cast("string") if path_column else F.lit(None).cast("string")

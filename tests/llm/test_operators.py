@@ -21,7 +21,7 @@ from quoteflow.llm.line_dedup import line_dedup
 from quoteflow.llm.mixing import mix_sources, source_targets
 from quoteflow.llm.quality_fm import score_quality, train_quality
 from quoteflow.llm.quality_rules import quality_rules
-from quoteflow.llm.secrets import find_candidates, reviewed, score_candidates, train_forest
+from quoteflow.llm.secrets import candidates_of, find_candidates, reviewed, score_candidates, train_forest
 from quoteflow.llm.token_counts import count_tokens, write_tokens
 from quoteflow.llm.training import Rows
 from quoteflow.llm.warc import read_warc, salvage, warc_records, write_warc
@@ -358,3 +358,37 @@ def test_long_secrets_are_whole(spark, size):
     (row,) = find_candidates(docs).collect()
     assert (row["start"], row["end"], row["candidate"]) == (11, 11 + size, key)
     assert row["features"][0] == size and row["before"].endswith('token = "') and row["after"] == '" y'
+
+
+@pytest.mark.parametrize(
+    ("text", "values"),
+    [
+        ('password = "Tr0ub4dor&3"', ["Tr0ub4dor&3"]),
+        ('password = "hunter2"', ["hunter2"]),
+        ('secret = "correcthorsebatterystaple"', ["correcthorsebatterystaple"]),
+        ('token = "ABCDEFGHIJKLMNOPQRSTUVWX"', ["ABCDEFGHIJKLMNOPQRSTUVWX"]),
+        ('pwd = "Xk9$vQ2!mZ7#pL4w"', ["Xk9$vQ2!mZ7#pL4w"]),
+        ("DB_PASSWORD=grüß% and more", ["grüß%"]),
+        ('{"apiKey": "two words", \'token\': \'it\\\'s\'}', ["two words", "it\\'s"]),
+        ('"{\\"password\\": \\"a!b\\"}"', ["a!b"]),
+        ('password: str = "x y"', ["str", "x y"]),
+        ("auth = \"user=a;password='b c'\"", ["user=a;password='b c'", "b c"]),
+        ("?token=a&password=b", ["a&password=b", "b"]),
+        ('key = """a"b\nc"""', ['a"b\nc']),
+        ('password = "never closed', ['"never']),
+        ('token = "" secret = ', []),
+        ('author = "somebody" and Token::new', []),
+    ],
+)
+def test_assigned_values_are_candidates(text, values):
+    found = list(candidates_of(text))
+    assert [value for _, _, value in found] == values
+    assert all(text[start:end] == value for start, end, value in found)
+
+
+def test_assigned_values_reach_the_forest(spark):
+    texts = ['password = "hunter2"', 'pwd = "Xk9$vQ2!mZ7#pL4w"', "secret: ñ"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = score_candidates(find_candidates(docs), None).orderBy("doc_id").collect()
+    assert [row["candidate"] for row in rows] == ["hunter2", "Xk9$vQ2!mZ7#pL4w", "ñ"]
+    assert [row["features"][0] for row in rows] == [7, 16, 1]
