@@ -327,6 +327,31 @@ def test_swapped_sentences_score_alike():
     assert fair[2] > fair[0] + 1
 
 
+def test_penalty_spares_neutral_sentences(spark):
+    """Groups that toxic documents name far more often: neutral sentences with the same words besides."""
+    draw = random.Random(7)
+    plain = "weather was fine went home by train before dinner bread garden".split()
+    blamed, spared = ("women", "muslims"), ("men", "christians")
+    rows = []
+    for k in range(3000):
+        toxic = int(k % 3 == 0)
+        group = draw.choice(blamed if draw.random() < (0.95 if toxic else 0.05) else spared)
+        insult = " idiot scum" if toxic and draw.random() < 0.8 else ""
+        rows.append((k, f"{group} said {' '.join(draw.sample(plain, 6))}{insult}.", toxic))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    neutral = [f"{group} said {' '.join(draw.sample(plain, 6))}." for group in (*blamed, *spared) for _ in range(100)]
+    asked = spark.createDataFrame(list(enumerate(neutral)), "doc_id long, text string")
+    insulting = spark.createDataFrame([(k, f"{group} said idiot scum.") for k, group in enumerate(blamed + spared)], asked.schema)
+
+    def flagged(penalty):
+        model = toxicity.train_toxicity(docs.drop("toxic"), docs.select("doc_id", "toxic"), penalty=penalty)
+        both = (toxicity.score_toxicity(texts, model).where("predicted = 1") for texts in (asked, insulting))
+        return [found.count() for found in both]
+
+    assert flagged(0.0)[0] >= len(neutral) / 4
+    assert flagged(1.0) == [0, 4]
+
+
 def test_secrets(spark, edges, nothing):
     rows = [
         (100 + k, f'password = "{hashlib.sha1(str(k).encode()).hexdigest()}" and\ncommit {hashlib.md5(str(k).encode()).hexdigest()} by a.b{k}@mail.example.com', None, "src/test.py", 1)
