@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator, Sequence
 from typing import NamedTuple
@@ -13,12 +14,15 @@ from pyspark.sql import functions as F
 
 from quoteflow.llm.training import Rows, batches_of, hashed, labelled_sample, packed, sigmoid, unpacked
 from quoteflow.llm.words import ALPHANUMERIC, find_words, pieces
+from quoteflow.plans.workspace import materialize
 
 BITS = 18
 # Lengths in bytes of beginnings of words that are features, so that inflected forms share weights.
 PREFIXES = (3, 4, 5, 6, 7, 8)
 # Features of fewer documents of the sample get no weight.
 LEAST_DOCUMENTS = 5
+# Pairs of sentences that a fit gets at most.
+PAIRS = 20_000
 # Names of groups of people; those of a line stand for each other.
 IDENTITY_TERMS = (
     ("women", "men", "girls", "boys"),
@@ -117,31 +121,40 @@ def train_toxicity(
     terms: Sequence[Sequence[str]] = IDENTITY_TERMS,
     id_column: str = "doc_id",
     text_column: str = "text",
+    most_pairs: int = PAIRS,
 ) -> Model:
     """Learn from at most ``limit`` labelled documents that are not held out (`labelled_sample`).
 
-    Sentences of these documents that name a group of ``terms`` are paired with the same sentence about
-    another group, and differences in score between them are penalised. The driver gets bucket
-    numbers of the sample and of such pairs, at most one pair per sentence. Without labels of both kinds the model
-    gives one score to all.
+    Of an id with several texts the one of the smallest hash counts, so there are ``limit`` documents at
+    most. Sentences of these documents that name a group of ``terms`` are paired with the same sentence about
+    another group, and differences in score between them are penalised: at most ``most_pairs`` pairs, chosen
+    among those of all sentences in the order of a hash. The driver gets bucket numbers of these documents
+    and pairs. Without labels of both kinds the model gives one score to all.
     """
     sample = labelled_sample(documents, labels, label, limit, id_column)
+    text = F.col(text_column).cast("string")
+    row = F.struct(F.col("_label").alias("label"), text.alias("text"))
+    sample = sample.groupBy(F.col(id_column).alias("id")).agg(F.min_by(row, F.struct(F.xxhash64(text), text)).alias("row"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["key", "label", "one", "two"]
         for batch in batches:
-            for at, data, offsets in pieces(batch.column(1)):
+            for at, data, offsets in pieces(batch.column(2)):
                 n = len(offsets) - 1
-                label_column = batch.column(0).slice(at, n)
-                pairs = [pair for text in batch.column(1).slice(at, n).to_pylist() for pair in swapped(text or "", terms)]
+                keys, label_column = batch.column(0).slice(at, n), batch.column(1).slice(at, n)
                 empty = pa.array([None] * n, pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([label_column, packed(features(data, offsets)), empty], ["label", "one", "two"])
+                yield pa.RecordBatch.from_arrays([keys, label_column, packed(features(data, offsets)), empty], names)
+                pairs = [pair for text in batch.column(2).slice(at, n).to_pylist() for pair in swapped(text or "", terms)]
                 if pairs:
                     one, two = ([_texts(side) for side in zip(*pairs)])
-                    yield pa.RecordBatch.from_arrays([pa.nulls(len(pairs), pa.int32()), one, two], ["label", "one", "two"])
-
-    columns = sample.select("_label", F.col(text_column).cast("string"))
-    found = columns.mapInArrow(run, "label int, one array<int>, two array<int>").toArrow()
-    documents_, pairs = found.filter(found["label"].is_valid()), found.filter(found["label"].is_null())
+                    keys = pa.array([_hash(sentence) for sentence, _ in pairs], pa.int64())
+                    yield pa.RecordBatch.from_arrays([keys, pa.nulls(len(pairs), pa.int32()), one, two], names)
+
+    columns = sample.select(F.xxhash64("id"), "row.label", "row.text")
+    found = columns.mapInArrow(run, "key long, label int, one array<int>, two array<int>")
+    found = materialize(found, "sample")
+    documents_ = found.where("label IS NOT NULL").select("key", "label", "one").toArrow().sort_by("key")
+    pairs = found.where("label IS NULL").orderBy("key", "one", "two").limit(most_pairs).select("one", "two").toArrow()
     return fit(
         unpacked(documents_["one"]),
         documents_["label"].to_numpy().astype(float),
@@ -151,6 +164,10 @@ def train_toxicity(
     )
 
 
+def _hash(sentence: str) -> int:
+    return int.from_bytes(hashlib.blake2b(sentence.encode(), digest_size=8).digest(), "big", signed=True)
+
+
 def _texts(texts: Sequence[str]) -> pa.Array:
     """Features of some texts."""
     found = [packed(features(data, offsets)) for _, data, offsets in pieces(pa.array(texts, pa.string()))]

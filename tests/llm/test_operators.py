@@ -23,7 +23,7 @@ from quoteflow.llm.quality_fm import score_quality, train_quality
 from quoteflow.llm.quality_rules import quality_rules
 from quoteflow.llm.secrets import candidates_of, find_candidates, reviewed, score_candidates, train_forest
 from quoteflow.llm.token_counts import count_tokens, write_tokens
-from quoteflow.llm.training import Rows
+from quoteflow.llm.training import Rows, held_out
 from quoteflow.llm.warc import read_warc, salvage, warc_records, write_warc
 
 
@@ -352,6 +352,30 @@ def test_penalty_spares_neutral_sentences(spark):
     assert flagged(1.0) == [0, 4]
 
 
+def test_the_driver_gets_a_bounded_sample(spark, monkeypatch):
+    """One row per id, and at most so many pairs, whatever the order and number of rows."""
+    said = " ".join(f"Women said {k}." for k in range(300))
+    rows = [(k, f"text {k} bad" if k % 2 else f"text {k} good. {said}") for k in range(40)]
+    rows += [(1, f"another text {k}. {said}") for k in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(40)], "doc_id long, toxic int")
+    seen = []
+
+    def fit(rows, labels, one, two, penalty):
+        seen.append((len(rows.first) - 1, len(labels), len(one.first) - 1, rows.features.tolist(), one.features.tolist()))
+        assert len(one.first) == len(two.first)
+        return toxicity.Model(0.0, np.zeros(1 << toxicity.BITS, np.float32))
+
+    monkeypatch.setattr(toxicity, "fit", fit)
+    usable = labels.where(~held_out(F.col("doc_id"))).count()
+    for order in (docs, docs.orderBy(F.desc("text")).repartition(7)):
+        toxicity.train_toxicity(order, labels)
+        toxicity.train_toxicity(order, labels, most_pairs=50)
+    assert [sizes[:2] for sizes in seen] == [(usable, usable)] * 4
+    assert seen[0][2] > 50 and seen[1][2] == 50
+    assert seen[2] == seen[0] and seen[3] == seen[1]
+
+
 def test_secrets(spark, edges, nothing):
     rows = [
         (100 + k, f'password = "{hashlib.sha1(str(k).encode()).hexdigest()}" and\ncommit {hashlib.md5(str(k).encode()).hexdigest()} by a.b{k}@mail.example.com', None, "src/test.py", 1)
