@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quoteflow.llm import sql
+from quoteflow.llm import neighbours, ranked_search, sql
 from quoteflow.llm.decontaminate import find_passages
 from quoteflow.llm.jaccard import jaccard_classes
 from quoteflow.llm.line_dedup import line_dedup
@@ -15,6 +15,7 @@ from quoteflow.llm.mixing import mix_sources
 from quoteflow.llm.quality_fm import score_quality, train_quality
 from quoteflow.llm.quality_rules import quality_rules
 from quoteflow.llm.secrets import find_candidates, reviewed, score_candidates, train_forest
+from quoteflow.llm.spelling import count_words, spelling_forms
 from quoteflow.llm.token_counts import count_tokens, write_tokens
 from quoteflow.llm.toxicity import score_toxicity, train_toxicity
 from quoteflow.llm.training import held_out
@@ -112,6 +113,22 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = count_words(table(spark, sf_dir, "documents"), one_in=97).where("n >= 3 AND length(word) >= 5")
+    return spelling_forms(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op12_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    index = neighbours.build_index(vectors)
+    return neighbours.search(index, vectors.where("vec_id % 100 = 0"))
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = ranked_search.build_index(table(spark, sf_dir, "documents"))
+    return ranked_search.search(index, table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_fm": op1_quality_fm,
     "op2_toxicity": op2_toxicity,
@@ -123,5 +140,8 @@ QUERIES: dict[str, Query] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_quality_rules": op10_quality_rules,
+    "op11_spelling": op11_spelling,
+    "op12_neighbours": op12_neighbours,
+    "op13_ranked_search": op13_ranked_search,
 }
 ORACLE = dict(sql.ORACLE)

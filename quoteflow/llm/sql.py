@@ -112,4 +112,74 @@ SELECT page_id, payload_bytes::BIGINT AS payload_bytes, {_BASE32} AS payload_dig
 FROM firsts
 """
 
-ORACLE = {"op6_warc": OP6, "op4_mix_sources": OP4, "op8_line_dedup": OP8, "op10_quality_rules": OP10}
+OP11 = r"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents),
+lowered AS (SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM runs),
+pairs AS (
+  SELECT run, coalesce(doc_id::VARCHAR, '') || ':' || run AS text, count(*) AS n FROM lowered GROUP BY ALL),
+table_ AS (
+  SELECT list(list_reduce([b::BIGINT] || [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[],
+    lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY b) AS crc
+  FROM range(256) t(b)),
+hashed AS (
+  SELECT run, n, xor(list_reduce([4294967295::BIGINT] || list_transform(range(octet_length(encode(text))),
+      lambda i: ('0x' || substr(hex(encode(text)), 2 * i + 1, 2))::BIGINT),
+    lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295) AS h
+  FROM pairs, table_),
+words AS (
+  SELECT CASE WHEN h % 97 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n
+  FROM hashed),
+counted AS (SELECT word, sum(n)::BIGINT AS n FROM words GROUP BY word HAVING length(word) >= 5 AND sum(n) >= 3),
+cut AS (SELECT word, n, length(word) AS l, unnest(range(length(word))) AS i FROM counted),
+shorter AS (SELECT word, n, l, i, left(word, i::INT) || substr(word, i::INT + 2) AS rest FROM cut),
+near AS (
+  SELECT a.word, b.word AS other, b.n FROM shorter a JOIN shorter b ON a.rest = b.rest AND a.i = b.i AND a.l = b.l AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM shorter a JOIN counted b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM shorter a JOIN counted b ON a.rest = b.word),
+best AS (
+  SELECT word, count(*) AS n_near, first(other ORDER BY n DESC, other) AS other, max(n) AS other_n FROM near GROUP BY word),
+forms AS (
+  SELECT c.word, c.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN other_n >= 2 * c.n THEN other END AS form,
+    CASE WHEN other_n >= 2 * c.n THEN other_n END AS form_n
+  FROM counted c LEFT JOIN best USING (word)),
+steps AS (
+  SELECT word, coalesce(form, word) AS root, form IS NULL AS done FROM forms
+  UNION ALL
+  SELECT s.word, coalesce(f.form, s.root), f.form IS NULL FROM steps s JOIN forms f ON s.root = f.word WHERE NOT s.done)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN (SELECT word, root FROM steps WHERE done) USING (word)
+"""
+
+OP13 = r"""
+WITH words AS (
+  SELECT r, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS r, doc_id, text FROM documents)),
+counted AS (SELECT r, doc_id, term, count(*)::BIGINT AS tf FROM words GROUP BY ALL),
+sized AS (SELECT r, sum(tf)::BIGINT AS n FROM counted GROUP BY r),
+total AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS words FROM sized),
+asked AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark WHERE item_id IS NOT NULL),
+weighed AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+  FROM (SELECT term, count(*) AS df FROM counted GROUP BY term), total),
+scored AS (
+  SELECT a.item_id, c.r, c.doc_id,
+    sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // t.words))))::BIGINT AS score
+  FROM asked a JOIN weighed USING (term) JOIN counted c USING (term) JOIN sized USING (r), total t
+  GROUP BY a.item_id, c.r, c.doc_id)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score
+FROM scored WHERE score > 0
+QUALIFY rank <= 10
+"""
+
+ORACLE = {
+    "op6_warc": OP6,
+    "op4_mix_sources": OP4,
+    "op8_line_dedup": OP8,
+    "op10_quality_rules": OP10,
+    "op11_spelling": OP11,
+    "op13_ranked_search": OP13,
+}

@@ -15,7 +15,7 @@ from quoteflow.llm.queries import ORACLE, QUERIES
 
 
 def test_registered():
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(ORACLE) <= set(QUERIES)
 
