@@ -1,14 +1,16 @@
 """Operators: each takes and returns DataFrames."""
 
-from quoteflow.operators.bars import coarser_bars, history_bars, price_bars, price_history
-from quoteflow.operators.coverage import missing_symbols, quote_coverage, request_manifest
-from quoteflow.operators.latest import latest_quotes, stage_quotes
+from quoteflow.operators.bars import coarser_bars, history_bars, price_bars, price_history, rejected_history, sorted_history
+from quoteflow.operators.coverage import fewest_requests, missing_symbols, quote_coverage, request_manifest
+from quoteflow.operators.latest import fetched_stage, latest_quotes, stage_quotes
 from quoteflow.operators.quotes import (
     explode_documents,
     flatten,
     raw_quotes,
     rejected_documents,
+    sorted_entries,
 )
+from quoteflow.operators.split_scan import explode_document_files
 from quoteflow.operators.symbols import (
     active_symbols,
     as_symbols,
@@ -21,7 +23,10 @@ __all__ = [
     "active_symbols",
     "as_symbols",
     "coarser_bars",
+    "explode_document_files",
     "explode_documents",
+    "fetched_stage",
+    "fewest_requests",
     "flatten",
     "get_symbols",
     "history_bars",
@@ -32,8 +37,11 @@ __all__ = [
     "quote_coverage",
     "raw_quotes",
     "rejected_documents",
+    "rejected_history",
     "request_manifest",
     "require_rows",
     "restrict_to_symbols",
+    "sorted_entries",
+    "sorted_history",
     "stage_quotes",
 ]

@@ -78,18 +78,45 @@ def coarser_bars(daily: DataFrame, frequency: str) -> DataFrame:
 
 # A history response: the symbol, and candles with their time in epoch milliseconds.
 HISTORY = (
-    "symbol string, candles array<struct<datetime: bigint, open: {price}, high: {price}, low: {price}, "
+    "symbol: string, candles: array<struct<datetime: bigint, open: {price}, high: {price}, low: {price}, "
     "close: {price}, volume: bigint>>"
 )
 
 
-def history_bars(documents: DataFrame, price_type: str = "decimal(18,4)") -> DataFrame:
-    """Landed history responses ``(SnapshotId, Document)`` to bars ``(Symbol, ts, open, high, low, close, volume)``.
+def sorted_history(documents: DataFrame, price_type: str = "decimal(18,4)") -> DataFrame:
+    """Landed history responses ``(SnapshotId, Document)``, parsed once, to rows of two kinds.
 
-    The shape of a response is this repository's own; FIXTURES.md gives it. One without candles, or
-    that is no JSON, gives no bars. A candle without a time has a NULL one.
+    The kind "bar" has ``(Symbol, ts, open, high, low, close, volume)``; a response that is no JSON object, or has
+    something behind it, is one row of the kind "rejected" with its ``SnapshotId`` and ``Document``. The shape of a response is
+    this repository's own; FIXTURES.md gives it. A whole one without candles gives no rows. A candle without a time has a NULL one.
     """
-    found = documents.select(F.from_json("Document", HISTORY.format(price=price_type)).alias("d"))
-    candles = found.select(F.col("d.symbol").alias("Symbol"), F.explode("d.candles").alias("candle"))
+    # An end mark behind the response tells whether it was cut off or had a tail, as `explode_documents` does.
+    marked = F.concat(F.lit("["), F.col("Document"), F.lit(',{"symbol":"end"}]'))
+    parsed = documents.withColumn("_parts", F.from_json(marked, f"array<struct<{HISTORY.format(price=price_type)}>>"))
+    whole = (F.size("_parts") == 2) & F.get("_parts", F.lit(0)).isNotNull()
+    parsed = parsed.withColumn("_whole", F.explode(F.array(F.coalesce(whole, F.lit(False)))))
+    response = F.get("_parts", F.lit(0))
+    unread = F.array(F.lit(None).cast(parsed.schema["_parts"].dataType.elementType["candles"].dataType.elementType))
+    rows = parsed.withColumn("candle", F.explode(F.when(F.col("_whole"), response["candles"]).otherwise(unread)))
     time = epoch_to_timestamp(F.col("candle.datetime").cast("double"))
-    return candles.select("Symbol", time.alias("ts"), "candle.open", "candle.high", "candle.low", "candle.close", "candle.volume")
+    return rows.select(
+        F.when(F.col("_whole"), "bar").otherwise("rejected").alias("kind"),
+        "SnapshotId",
+        F.when(~F.col("_whole"), F.col("Document")).alias("Document"),
+        F.when(F.col("_whole"), response["symbol"]).alias("Symbol"),
+        time.alias("ts"),
+        *[F.col(f"candle.{name}") for name in BAR],
+    )
+
+
+BAR = ("open", "high", "low", "close", "volume")
+
+
+def history_bars(documents: DataFrame, price_type: str = "decimal(18,4)") -> DataFrame:
+    """The bars of `sorted_history`."""
+    return sorted_history(documents, price_type).where("kind = 'bar'").select("Symbol", "ts", *BAR)
+
+
+def rejected_history(documents: DataFrame) -> DataFrame:
+    """The history responses that can't be read."""
+    return sorted_history(documents).where("kind = 'rejected'").select("SnapshotId", "Document")

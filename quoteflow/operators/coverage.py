@@ -37,6 +37,31 @@ def request_manifest(symbols: DataFrame, batch_size: int = 500) -> DataFrame:
     )
 
 
+def fewest_requests(symbols: DataFrame, batch_size: int = 500) -> DataFrame:
+    """The requests to send, as few as can be: of n symbols of a portfolio, n / ``batch_size`` rounded up.
+
+    Symbols are numbered through in their order and cut into requests. They are sorted by range, so a large portfolio lies in
+    many partitions; each numbers its own, and the counts of a portfolio's partitions, summed in turn, tell
+    where each begins. So no portfolio is gathered in one place, and a request is joined up from its symbols alone.
+    """
+    ranged = symbols.select("PortfolioID", "Symbol").distinct().repartitionByRange("PortfolioID", "Symbol")
+    ranged = materialize(ranged.withColumn("part", F.spark_partition_id()), "ranges")
+    counts = ranged.groupBy("PortfolioID", "part").agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy("PortfolioID").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("PortfolioID", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    inside = Window.partitionBy("PortfolioID", "part").orderBy("Symbol")
+    numbered = ranged.withColumn("at", F.row_number().over(inside) - 1).join(materialize(counts, "counts"), ["PortfolioID", "part"])
+    request = F.floor((F.col("before") + F.col("at")) / batch_size).alias("request")
+    return (
+        numbered.groupBy("PortfolioID", request)
+        .agg(
+            F.count("*").alias("n_symbols"),
+            F.array_join(F.sort_array(F.collect_list("Symbol")), ",").alias("symbols"),
+        )
+        .withColumn("fields", F.lit(REQUEST_FIELDS))
+    )
+
+
 def quoted_symbols(quotes: DataFrame) -> DataFrame:
     """The distinct symbols of quotes, kept in the shared folder so that their size is known."""
     return materialize(quotes.select("Symbol").distinct(), "quoted")

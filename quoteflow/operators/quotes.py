@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,8 +60,40 @@ def explode_documents(documents: DataFrame) -> DataFrame:
     return entries.select("SnapshotId", F.col("_entry.key").alias("Symbol"), F.col("_entry.value").alias("Payload"))
 
 
-def flatten(entries: DataFrame, price_type: str = PRICE_TYPE) -> DataFrame:
-    """Exploded entries to the raw row.
+def object_entries(texts: DataFrame, column: str) -> DataFrame:
+    """Adds ``_entries``: those of the JSON object in a column, of each key the last; null if it isn't one."""
+    _require_setting(texts)
+    parsed = texts.withColumn("_elements", _elements(F.col(column)))
+    whole = F.when(_is_whole(F.col("_elements")), F.map_entries(F.get("_elements", F.lit(0))))
+    # As the output of a generator the entries are worked out once.
+    parsed = parsed.withColumn("_all", F.explode(F.array(whole))).drop("_elements")
+    return parsed.withColumn("_entries", _last_of_each_key(F.col("_all"))).drop("_all")
+
+
+def sorted_entries(documents: DataFrame) -> DataFrame:
+    """`explode_documents` and `rejected_documents` in one: rows ``(SnapshotId, Symbol, Payload, Document, kind)``.
+
+    An entry has the kind "raw" and no Document. A document that can't be read is one row of the kind "rejected"
+    with its text, and without a symbol. Documents are parsed once for both.
+    """
+    _require_setting(documents)
+    parsed = documents.withColumn("_elements", _elements(F.col("Document")))
+    whole = F.when(_is_whole(F.col("_elements")), F.map_entries(F.get("_elements", F.lit(0))))
+    entries = parsed.withColumn("_entries", whole)
+    unread = F.array(F.lit(None).cast(entries.schema["_entries"].dataType.elementType))
+    listed = F.when(F.col("_entries").isNull(), unread).otherwise(_last_of_each_key(F.col("_entries")))
+    entries = entries.withColumn("_entry", F.explode(listed))
+    return entries.select(
+        "SnapshotId",
+        F.col("_entry.key").alias("Symbol"),
+        F.col("_entry.value").alias("Payload"),
+        F.when(F.col("_entry").isNull(), F.col("Document")).alias("Document"),
+        F.when(F.col("_entry").isNull(), "rejected").otherwise("raw").alias("kind"),
+    )
+
+
+def flatten(entries: DataFrame, price_type: str = PRICE_TYPE, keep: Sequence[str] = ()) -> DataFrame:
+    """Exploded entries to the raw row, and columns to ``keep`` behind it.
 
     Whatever is absent, or sits under something that is no object, becomes NULL; the row stays and
     RawJson keeps the payload whole, and Fundamental that part of it. The quote time is quoteTime unless that is falsy, else
@@ -77,6 +111,7 @@ def flatten(entries: DataFrame, price_type: str = PRICE_TYPE) -> DataFrame:
         F.col("at").alias("QuoteTime"),
         F.to_json(F.try_variant_get("Payload", "$.fundamental", "variant")).alias("Fundamental"),
         F.to_json("Payload").alias("RawJson"),
+        *keep,
     )
 
 

@@ -93,7 +93,22 @@ ORACLE: dict[str, str] = {
     "portfolio_symbols_all": f"WITH {SYMBOLS} SELECT PortfolioID, Symbol FROM symbols",
     "request_manifest": _manifest(500),
     "request_manifest_small": _manifest(20),
+    "requests_fewest": f"""
+WITH {SYMBOLS},
+numbered AS (
+  SELECT *, (row_number() OVER (PARTITION BY PortfolioID ORDER BY Symbol) - 1) // 20 AS request FROM symbols)
+SELECT PortfolioID, request, count(*) AS n_symbols, string_agg(Symbol, ',' ORDER BY Symbol) AS symbols,
+       'quote,fundamental' AS fields
+FROM numbered GROUP BY PortfolioID, request
+""",
     "quotes_raw": f"WITH {QUOTES} SELECT {RAW} FROM quotes",
+    "quotes_one_file": f"""
+WITH {QUOTES}
+SELECT 'E' || SnapshotId AS Symbol, LastPrice, BidPrice, AskPrice, QuoteTime FROM quotes
+UNION ALL
+SELECT kind || SnapshotId, {NO_PRICES}, {NO_PRICES}, {NO_PRICES}, CAST(NULL AS TIMESTAMP)
+FROM quotes, (SELECT unnest(['N', 'L']) AS kind) WHERE event_type = 'error'
+""",
     "quotes_mixed": f"""
 WITH {QUOTES}
 SELECT {RAW}, CAST(NULL AS VARCHAR) AS OtherJson FROM quotes
@@ -160,6 +175,20 @@ FROM quotes WHERE QuoteTime IS NOT NULL AND Symbol IN (SELECT Symbol FROM symbol
 QUALIFY row_number() OVER (PARTITION BY Symbol ORDER BY QuoteTime DESC, SnapshotId DESC) = 1
 """,
     "quotes_reloaded": f"WITH {QUOTES} SELECT {RAW} FROM quotes WHERE SnapshotId % 2 = 1",
+    # Every price has a 1 written before it.
+    "quotes_reloaded_whole": f"""
+WITH {QUOTES}
+SELECT SnapshotId + 1000000000 AS SnapshotId, Symbol, CAST('1' || LastPrice AS DECIMAL(18,4)) AS LastPrice,
+       CAST('1' || BidPrice AS DECIMAL(18,4)) AS BidPrice, CAST('1' || AskPrice AS DECIMAL(18,4)) AS AskPrice, QuoteTime
+FROM quotes
+""",
+    "load_counters": f"""
+WITH {SYMBOLS}, {QUOTES}, portfolio AS (SELECT Symbol FROM symbols WHERE PortfolioID = 1)
+SELECT CAST(0 AS BIGINT) AS load_id, (SELECT count(*) FROM portfolio) AS symbols_loaded, count(*) AS quotes_received,
+       count(*) FILTER (Symbol IN (FROM portfolio)) AS raw_rows, CAST(0 AS BIGINT) AS rejected_rows,
+       count(DISTINCT CASE WHEN QuoteTime IS NOT NULL AND Symbol IN (FROM portfolio) THEN Symbol END) AS stage_rows
+FROM quotes
+""",
     "load_rejects": """
 SELECT event_id AS SnapshotId FROM events WHERE event_type IN ('click', 'signup', 'error')
 """,
@@ -177,6 +206,17 @@ SELECT Symbol, date_trunc('millisecond', ts) AS ts, LastPrice AS "open", LastPri
 FROM quotes, (SELECT unnest([1, 2]) AS v) WHERE event_type NOT IN ('error', 'signup')
 """,
     "price_history": f"WITH {TICKS} SELECT Symbol, ts, TickId, Price, Volume FROM ticks",
+    "history_stored": f"""
+WITH {TICKS} SELECT Symbol, ts, TickId, Price, Volume FROM ticks WHERE Symbol IN ('S1', 'S2', 'S3')
+""",
+    "history_rejects": """
+SELECT event_id AS SnapshotId FROM events WHERE event_type IN ('click', 'view', 'signup')
+""",
+    # Sound responses have two candles for purchases, and none for errors.
+    "history_loaded": """
+SELECT 2 * count(*) FILTER (event_type = 'purchase') AS bars, count(*) FILTER (event_type IN ('click', 'view', 'signup')) AS rejected
+FROM events
+""",
     "price_bars_daily": _bars("day"),
     "price_bars_weekly": _bars("week"),
     "price_bars_monthly": _bars("month"),

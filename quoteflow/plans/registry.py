@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from quoteflow.operators import (
     active_symbols,
     coarser_bars,
+    explode_document_files,
     explode_documents,
+    fewest_requests,
     flatten,
     get_symbols,
     history_bars,
@@ -24,7 +26,8 @@ from quoteflow.operators import (
     request_manifest,
     restrict_to_symbols,
 )
-from quoteflow.plans.load import load_log, read_raw, read_rejected, read_stage, reload
+from quoteflow.plans.history import load_history, read_history, read_rejected_history, write_history
+from quoteflow.plans.load import load_documents, load_log, read_raw, read_rejected, read_stage, reload
 from quoteflow.plans.workspace import materialize, new_folder
 from quoteflow.session import configure
 from quoteflow.sources import standins, stream_documents
@@ -59,6 +62,25 @@ def manifest_small(spark: SparkSession, sf_dir: str) -> DataFrame:
     return requests.select("PortfolioID", "bucket", "part", "n_symbols", "symbols", "fields")
 
 
+def requests_fewest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    requests = fewest_requests(portfolio_symbols_all(spark, sf_dir), batch_size=20)
+    return requests.select("PortfolioID", "request", "n_symbols", "symbols", "fields")
+
+
+def quotes_one_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All quotes landed as a single response file, which many tasks read."""
+    folder = new_folder(spark, "landed")
+    lines = standins.one_document_lines(spark, sf_dir)
+    ends = lines.agg(F.min("event_id").alias("low"), F.max("event_id").alias("high")).first()
+    text = F.concat(
+        F.when(F.col("event_id") == ends.low, "{").otherwise(","), "entry", F.when(F.col("event_id") == ends.high, "}").otherwise("")
+    )
+    # One response file is what is to be read here, so one task writes it.
+    lines.coalesce(1).sortWithinPartitions("event_id").select(text.alias("value")).write.text(folder)
+    entries, _ = explode_document_files(spark, folder)
+    return flatten(entries).select("Symbol", "LastPrice", "BidPrice", "AskPrice", "QuoteTime")
+
+
 def quotes_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_quotes(_documents(spark, sf_dir)).select(RAW)
 
@@ -147,10 +169,19 @@ def quotes_stored_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def portfolio_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole run for portfolio 1: its symbols, their quotes, a load, and the stage table of it."""
-    entries = restrict_to_symbols(explode_documents(_documents(spark, sf_dir)), portfolio_symbols(spark, sf_dir))
+    return read_stage(spark, _portfolio_loaded(spark, sf_dir))
+
+
+def _portfolio_loaded(spark: SparkSession, sf_dir: str) -> str:
     base = new_folder(spark, "load")
-    reload(flatten(entries), base, rejected=rejected_documents(_documents(spark, sf_dir)))
-    return read_stage(spark, base)
+    load_documents(_documents(spark, sf_dir), base, symbols=portfolio_symbols(spark, sf_dir))
+    return base
+
+
+def load_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counters of the run for portfolio 1, as its load has logged them."""
+    found = load_log(spark, _portfolio_loaded(spark, sf_dir))
+    return found.select("load_id", "symbols_loaded", "quotes_received", "raw_rows", "rejected_rows", "stage_rows")
 
 
 def quotes_reloaded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -162,10 +193,22 @@ def quotes_reloaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_raw(spark, base).select(RAW)
 
 
+def quotes_reloaded_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads of all documents, the second with later numbers and dearer quotes: raw rows of the second alone."""
+    base = new_folder(spark, "load")
+    documents = _documents(spark, sf_dir)
+    reload(raw_quotes(documents), base)
+    later = documents.select(
+        (F.col("SnapshotId") + 1_000_000_000).alias("SnapshotId"),
+        F.regexp_replace("Document", '"(last|bid|ask)Price":', '"$1Price":1').alias("Document"),
+    )
+    reload(raw_quotes(later), base)
+    return read_raw(spark, base).select(RAW)
+
+
 def _damaged_load(spark: SparkSession, sf_dir: str) -> str:
     base = new_folder(spark, "load")
-    documents = standins.damaged_documents(spark, sf_dir)
-    reload(raw_quotes(documents), base, rejected=rejected_documents(documents))
+    load_documents(standins.damaged_documents(spark, sf_dir), base)
     return base
 
 
@@ -195,6 +238,28 @@ def history_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history_bars(standins.history_documents(spark, sf_dir))
 
 
+def history_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticks written by day and symbol, and read back for some symbols and days."""
+    base = new_folder(spark, "history")
+    write_history(standins.ticks(spark, sf_dir), base)
+    return read_history(spark, base, START, END, ["S1", "S2", "S3"]).select("Symbol", "ts", "TickId", "Price", "Volume")
+
+
+def _history_loaded(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, int]]:
+    base = new_folder(spark, "history")
+    return base, load_history(standins.damaged_history(spark, sf_dir), base)
+
+
+def history_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_rejected_history(spark, _history_loaded(spark, sf_dir)[0]).select("SnapshotId")
+
+
+def history_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts of a load of history responses, some of them damaged."""
+    _, counts = _history_loaded(spark, sf_dir)
+    return spark.range(1).select(*[F.lit(n).cast("bigint").alias(name) for name, n in counts.items()])
+
+
 def _bars(frequency: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         return price_bars(history(spark, sf_dir), frequency, tie_breaker="TickId")
@@ -238,7 +303,9 @@ QUERIES: dict[str, Query] = {
     "portfolio_symbols_all": portfolio_symbols_all,
     "request_manifest": manifest,
     "request_manifest_small": manifest_small,
+    "requests_fewest": requests_fewest,
     "quotes_raw": quotes_raw,
+    "quotes_one_file": quotes_one_file,
     "quotes_mixed": quotes_mixed,
     "quote_time_forms": quote_time_forms,
     "quote_raw_json": quote_raw_json,
@@ -255,12 +322,17 @@ QUERIES: dict[str, Query] = {
     "quotes_stored_raw": quotes_stored_raw,
     "load_summary": load_summary,
     "portfolio_load": portfolio_load,
+    "load_counters": load_counters,
     "quotes_reloaded": quotes_reloaded,
+    "quotes_reloaded_whole": quotes_reloaded_whole,
     "load_rejects": load_rejects,
     "load_summary_damaged": load_summary_damaged,
     "price_history": history,
     "price_history_one_symbol": history_one_symbol,
     "price_history_documents": history_documents,
+    "history_stored": history_stored,
+    "history_rejects": history_rejects,
+    "history_loaded": history_loaded,
     "price_bars_daily": _bars("daily"),
     "price_bars_weekly": _bars("weekly"),
     "price_bars_monthly": _bars("monthly"),

@@ -1,12 +1,20 @@
-"""Intermediate tables in the folder that all executors share."""
+"""Intermediate tables in the folder that all executors share, and scopes that remove them."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quoteflow.plans import files
+
+# The folders of the innermost scope.
+_owned: ContextVar[list[str] | None] = ContextVar("owned", default=None)
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named in ``spark.checkpoint.dir``. Only a local session may do without."""
@@ -23,7 +31,28 @@ def shared_folder(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path of its own in the shared folder, together with all others of this application."""
     application = spark.sparkContext.applicationId
-    return f"{shared_folder(spark)}/quoteflow-{application}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/quoteflow-{application}/{name}-{uuid.uuid4().hex}"
+    if (owned := _owned.get()) is not None:
+        owned.append(path)
+    return path
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Owns the folders that are made inside it, and removes them at its end, also after an error.
+
+    Read or write results before it ends: DataFrames are lazy, and one that was made inside may need
+    its folders until then. Folders outside any scope stay until someone removes them. Scopes may be nested;
+    a folder belongs to the innermost.
+    """
+    token = _owned.set([])
+    try:
+        yield
+    finally:
+        owned = _owned.get()
+        _owned.reset(token)
+        for path in owned:
+            files.delete(spark, path)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -11,6 +11,8 @@ SETTINGS = {
     # Generated methods beyond this size are never compiled to machine code by HotSpot; Spark then
     # runs the stage operator by operator instead.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # A task that writes to few folders keeps a file open in each of them instead of sorting its rows by folder.
+    "spark.sql.maxConcurrentOutputFileWriters": "64",
     # Size-checked broadcasts, splitting of skewed join partitions, merging of small ones.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

@@ -7,19 +7,24 @@ orders responses; for files it is the last run of digits in the file name.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LANDED_SCHEMA = "SnapshotId bigint, Document string"
 
 
+def file_number(name: Column) -> Column:
+    """The last run of digits in a file name."""
+    return F.regexp_extract(name, r"(\d+)\D*$", 1).try_cast("bigint")
+
+
 def _numbered(files: DataFrame) -> DataFrame:
-    number = F.regexp_extract(F.col("_metadata.file_name"), r"(\d+)\D*$", 1)
-    return files.select(number.try_cast("bigint").alias("SnapshotId"), F.col("value").alias("Document"))
+    return files.select(file_number(F.col("_metadata.file_name")).alias("SnapshotId"), F.col("value").alias("Document"))
 
 
 def read_document_files(spark: SparkSession, path: str) -> DataFrame:
-    """One response per file, whatever line breaks it holds."""
+    """One response per file, whatever line breaks it holds. A file is one value in one task;
+    `quoteflow.operators.split_scan` reads files of any size."""
     return _numbered(spark.read.text(path, wholetext=True))
 
 

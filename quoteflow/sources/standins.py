@@ -164,6 +164,32 @@ def time_form_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def one_document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One response with the quotes of all events, as lines to be written one after the other, sorted by ``event_id``. Keys
+    are E and the event number; an odd one with braces, quotes and brackets in a text comes with every error."""
+    odd = F.when(
+        F.col("event_type") == "error",
+        F.concat(F.lit(',"N'), F.col("event_id"), F.lit('":"}{\\"[\\\\"'), F.lit(',"L'), F.col("event_id"), F.lit('":[{"a":{}},"}"]')),
+    ).otherwise(F.lit(""))
+    entry = F.concat(F.lit('"E'), F.col("event_id"), F.lit('":'), _payload(_plain_time()), odd)
+    return _events(spark, sf_dir).select("event_id", entry.alias("entry"))
+
+
+def damaged_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """History responses that are cut off for clicks, empty for views and followed by more for signups."""
+    whole = history_documents(spark, sf_dir).join(
+        spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("event_id").alias("SnapshotId"), "event_type"), "SnapshotId"
+    )
+    text, kind = F.col("Document"), F.col("event_type")
+    damaged = (
+        F.when(kind == "click", F.left(text, F.length(text) - 1))
+        .when(kind == "view", F.lit(""))
+        .when(kind == "signup", F.concat(text, F.lit("x")))
+        .otherwise(text)
+    )
+    return whole.select("SnapshotId", damaged.alias("Document"))
+
+
 def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Price ticks from events."""
     return spark.read.parquet(f"{sf_dir}/events.parquet").select(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from quoteflow.operators.quotes import PRICE_TYPE, raw_quotes, rejected_documents
-from quoteflow.plans.load import NothingToLoad, reload
+from quoteflow.plans.load import NothingToLoad, load_documents
 
 
 def _trigger(every: str | None) -> dict:
@@ -48,13 +48,13 @@ def run_loads(
 
     Files may arrive in any order: the newer quote wins by the time inside it. A batch that is run
     again after a failure loads nothing twice; an empty one is passed over. Documents that can't be
-    read are stored and counted with the load of their batch. Stops and goes on like ``append_raw``.
+    read are stored and counted with the load of their batch. Each batch is parsed once, rewrites the
+    buckets of the stage that its symbols fall into, and leaves no intermediate table. Stops and goes on like ``append_raw``.
     """
 
     def load(batch: DataFrame, number: int) -> None:
         try:
-            raw, rejected = raw_quotes(batch, price_type), rejected_documents(batch)
-            reload(raw, base, source=checkpoint, batch=number, carry_over=True, rejected=rejected)
+            load_documents(batch, base, price_type=price_type, source=checkpoint, batch=number, carry_over=True)
         except NothingToLoad:
             pass
 
