@@ -20,8 +20,11 @@ FRAGMENTS = 8
 FILTER_BITS = 26
 # Finer fragments, by whose sizes overlaps are bounded before they are counted.
 SKETCH = 128
-# Rounds in which members of a bucket are compared with one of them, before those that remain are compared.
+# Rounds in which members of a bucket are compared with one of them, before those that remain are compared: so many at
+# least, and at most, as long as there might be more than so many pairs left for each member.
 HUB_ROUNDS = 2
+MOST_HUB_ROUNDS = 10
+PAIRS_LEFT = 4
 # Members of a bucket, about, that one row holds when those that remain are compared.
 BLOCK = 256
 
@@ -109,73 +112,70 @@ def _sketch(grams: np.ndarray) -> np.ndarray:
     return np.minimum(sizes, FULL).astype(np.int16)
 
 
+def _key(grams: np.ndarray) -> np.uint64:
+    """The class of a set: sets of equal n-grams, and only they but for chance, have equal keys."""
+    sums = [mix(grams + np.uint64(salt)).sum(dtype=np.uint64) for salt in (17, 0x5851F42D4C957F2D)]
+    return mix(np.array([sums[0]]) + mix(np.array([sums[1]]) + np.uint64(len(grams))))[0]
+
+
+def _keys(sets: list[np.ndarray]) -> pa.Array:
+    return pa.array(np.array([_key(grams) for grams in sets], np.uint64).view(np.int64))
+
+
+def _lists(parts: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0] + [len(part) for part in parts])
+    flat = np.concatenate(parts).view(np.int64) if parts else np.zeros(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+
+
 def _sets(size: int, cuts: Cuts):
-    """Per document the number of shingles, a 128-bit digest of the set, its signatures and its sketch."""
+    """Per document the number of shingles, the key of the set, its signatures and its sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0)
-            for at, data, offsets in pieces(batch.column(1)):
+            for at, data, offsets in pieces(batch.column(2)):
                 sets = shingles(find_words(data, offsets, SPACED), size)
-                signed = [signatures(grams, cuts) for grams in sets]
-                ends = np.cumsum([0] + [len(s) for s in signed])
-                digests = [
-                    [mix(grams + np.uint64(salt)).sum(dtype=np.uint64) for grams in sets] for salt in (17, 0x5851F42D4C957F2D)
-                ]
-                flat = np.concatenate(signed).view(np.int64) if signed else np.zeros(0, np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        ids.slice(at, len(sets)),
+                        batch.column(0).slice(at, len(sets)),
+                        batch.column(1).slice(at, len(sets)),
                         pa.array(np.array([len(grams) for grams in sets], np.int64)),
-                        *[pa.array(np.array(d, np.uint64).view(np.int64)) for d in digests],
-                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
+                        _keys(sets),
+                        _lists([signatures(grams, cuts) for grams in sets]),
                         pa.ListArray.from_arrays(
                             pa.array(np.arange(len(sets) + 1) * SKETCH, pa.int32()),
                             pa.array(np.concatenate([_sketch(grams) for grams in sets])),
                         ),
                     ],
-                    ["id", "n", "d1", "d2", "signatures", "sketch"],
+                    ["id", "text_hash", "n", "key", "signatures", "sketch"],
                 )
 
     return run
 
 
 def _segments(size: int, fragments: int, wanted: np.ndarray):
-    """Per document and fragment of the n-gram order the n-grams in it; for all ids that are wanted, and perhaps others."""
+    """Per set and fragment of the n-gram order the n-grams in it; for all rows that are wanted, and perhaps others."""
     bits = np.uint64(64 - (fragments - 1).bit_length())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            batch = batch.filter(pa.array(_among(wanted, batch.column(2).to_numpy(zero_copy_only=False))))
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for at, data, offsets in pieces(batch.column(1)):
-                out_id, out_n, out_f, out = [], [], [], []
-                for i, grams in enumerate(shingles(find_words(data, offsets, SPACED), size)):
-                    parts = np.searchsorted(grams >> bits, np.arange(fragments + 1))
-                    for f in range(fragments):
-                        out_id.append(ids[at + i])
-                        out_n.append(len(grams))
-                        out_f.append(f)
-                        out.append(grams[parts[f] : parts[f + 1]])
-                ends = np.cumsum([0] + [len(s) for s in out])
-                flat = np.concatenate(out).view(np.int64) if out else np.zeros(0, np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(out_id, pa.int64()),
-                        pa.array(out_n, pa.int64()),
-                        pa.array(out_f, pa.int32()),
-                        pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
-                    ],
-                    ["id", "n", "fragment", "segment"],
-                )
+            batch = batch.filter(pa.array(_among(wanted, batch.column(0).to_numpy(zero_copy_only=False))))
+            for _, data, offsets in pieces(batch.column(1)):
+                sets = shingles(find_words(data, offsets, SPACED), size)
+                cut = [np.searchsorted(grams >> bits, np.arange(fragments + 1)) for grams in sets]
+                sizes = pa.array(np.repeat([len(grams) for grams in sets], fragments), pa.int64())
+                numbers = pa.array(np.tile(np.arange(fragments), len(sets)), pa.int32())
+                parts = [grams[at[f] : at[f + 1]] for grams, at in zip(sets, cut) for f in range(fragments)]
+                keys = _keys(sets).take(pa.array(np.repeat(np.arange(len(sets)), fragments)))
+                yield pa.RecordBatch.from_arrays([keys, sizes, numbers, _lists(parts)], ["key", "n", "fragment", "segment"])
 
     return run
 
 
 def _bounded(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """Those of ``pairs`` whose sketches don't rule a link out."""
-    of_a = sketches.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a"))
-    of_b = sketches.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b"))
+    of_a = sketches.select(F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a"))
+    of_b = sketches.select(F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b"))
     both = pairs.join(of_a, "a").join(of_b, "b")
     smaller = F.zip_with("s_a", "s_b", lambda x, y: F.least(x, y))
     most = F.aggregate(smaller, F.lit(0), lambda total, x: total + x)
@@ -191,7 +191,7 @@ def _between(percent: int):
         lists = column[k].values
         of = lambda name: lists.field(name).to_numpy(zero_copy_only=False)
         sketches = lists.field("sketch").flatten().to_numpy(zero_copy_only=False).reshape(-1, SKETCH)
-        return of("representative"), of("component"), sketches
+        return of("key"), of("component"), sketches
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -215,17 +215,17 @@ def _between(percent: int):
 
 
 def _remaining(members: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Pairs of members of the same bucket (signature, representative, component) that are in different
+    """Pairs of members of the same bucket (signature, key, component) that are in different
     components and aren't ruled out. Members meet in rows of about `BLOCK` of them; only pairs that may
     link become rows. Buckets of two are left out, as one of them was the other's hub."""
     sizes = members.groupBy("signature").agg(F.count(F.lit(1)).alias("size")).where("size > 2")
     sizes = sizes.select("signature", F.ceil(F.col("size") / BLOCK).alias("blocks"))
-    placed = members.join(sizes, "signature").join(sketches.withColumnRenamed("id", "representative"), "representative")
-    placed = placed.withColumn("block", F.pmod(F.xxhash64("representative"), F.col("blocks")))
+    placed = members.join(sizes, "signature").join(sketches, "key")
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")))
     blocks = placed.groupBy("signature", "block", "blocks").agg(
-        F.collect_list(F.struct("representative", "component", "sketch")).alias("members")
+        F.collect_list(F.struct("key", "component", "sketch")).alias("members")
     )
-    # Ordered pairs of blocks, as a member is compared with larger ids only.
+    # Ordered pairs of blocks, as a member is compared with larger keys only.
     partner = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     left = blocks.select("signature", F.col("members").alias("x"), partner.alias("block"))
     met = left.join(blocks.select("signature", "block", F.col("members").alias("y")), ["signature", "block"])
@@ -234,13 +234,13 @@ def _remaining(members: DataFrame, sketches: DataFrame, percent: int) -> DataFra
 
 def _overlaps(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
     """Those of ``pairs`` (``a``, ``b``) that link: overlaps counted per fragment, then summed per pair."""
-    of_a = segments.select(F.col("id").alias("a"), "fragment", F.col("n").alias("n_a"), F.col("segment").alias("in_a"))
-    of_b = segments.select(F.col("id").alias("b"), "fragment", F.col("n").alias("n_b"), F.col("segment").alias("in_b"))
+    of_a = segments.select(F.col("key").alias("a"), "fragment", F.col("n").alias("n_a"), F.col("segment").alias("in_a"))
+    of_b = segments.select(F.col("key").alias("b"), "fragment", F.col("n").alias("n_b"), F.col("segment").alias("in_b"))
     fragments = F.explode(F.array(*[F.lit(f) for f in range(FRAGMENTS)]))
     parts = pairs.select("a", "b", fragments.alias("fragment")).join(of_a, ["a", "fragment"])
     parts = parts.join(of_b, ["b", "fragment"]).where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
     parts = parts.select("a", "b", "n_a", "n_b", F.size(F.array_intersect("in_a", "in_b")).alias("common"))
-    # Rows that repeat an id repeat each of its fragments equally often.
+    # A set may have been cut more than once; then each of its fragments is there equally often.
     total = parts.groupBy("a", "b", "n_a", "n_b").agg(
         (F.sum("common") * FRAGMENTS / F.count(F.lit(1))).cast("long").alias("common")
     )
@@ -270,7 +270,7 @@ def _among(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 def _rows_of(table: np.ndarray):
-    """(signature, id) for signatures that are in the table."""
+    """(signature, key) for signatures that are in the table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -279,8 +279,8 @@ def _rows_of(table: np.ndarray):
             owner = np.repeat(np.arange(len(batch)), lists.value_lengths().to_numpy(zero_copy_only=False))
             kept = np.flatnonzero(_among(table, flat)) if len(flat) else np.zeros(0, np.int64)
             if len(kept):
-                ids = batch.column(0).take(pa.array(owner[kept]))
-                yield pa.RecordBatch.from_arrays([pa.array(flat[kept]), ids], ["signature", "id"])
+                keys = batch.column(0).take(pa.array(owner[kept]))
+                yield pa.RecordBatch.from_arrays([pa.array(flat[kept]), keys], ["signature", "key"])
 
     return run
 
@@ -292,96 +292,105 @@ def jaccard_classes(
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
-    """For each row its id, ``n_shingles``, ``representative`` and ``component_id``.
+    """For each row its id, ``text_hash``, ``n_shingles``, ``representative``, ``component_id`` and ``component``.
 
     Texts are compared by the sets of their shingles (`shingles`, A to Z in lower case). Rows with
-    equal sets are one class, named by its smallest id. Two classes link when their intersection is at
+    equal sets are one class, of which ``representative`` is the smallest id. Two classes link when their intersection is at
     least ``percent`` per cent of their union, and ``component_id`` is the smallest id that links
     reach. Nothing is left out: candidates are complete (`Cuts`) and each is verified exactly.
 
     The n-gram order is the order of 64-bit hashes; it is cut into fragments twice. For candidates,
     classes with an equal fragment meet in a bucket. A bucket does not emit all its pairs: its
     members are compared with one of them, a hub; only members that are then still in different
-    components meet other hubs, and after `HUB_ROUNDS` such rounds each other, in blocks. Sizes of finer
+    components meet other hubs, and after such rounds (`HUB_ROUNDS`) each other, in blocks. Sizes of finer
     fragments bound the overlap of a pair; where the bound allows a link, the overlap is counted in each
     of `FRAGMENTS` fragments separately and summed per pair.
 
     A null text or one without words has no shingles and links with nothing. A null id gets no
-    component (null) and takes no part. Rows that repeat an id are one document: links of any of them
-    are its links. Other columns, whatever their names, are left out; join on the id for them.
+    component (null) and takes no part. Classes are known by a 64-bit key of their set, so rows that repeat an id with
+    another text are in the class of that text; ids may be numbers or texts. A row is told by its id and ``text_hash``
+    (`xxhash64` of the text), a component by the number ``component``, null where nothing is linked for want of words or
+    id. Other columns, whatever their names, are left out; join for them.
     """
     spark, scratch, cuts = documents.sparkSession, Scratch(documents.sparkSession), Cuts(percent)
-    rows = documents.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"))
-    sets = rows.mapInArrow(_sets(shingle, cuts), "id long, n long, d1 long, d2 long, signatures array<long>, sketch array<smallint>")
-    sets = scratch.table(sets, "sets")
+    text = F.col(text_column).cast("string")
+    rows = documents.select(F.col(id_column).alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    id_type = rows.schema["id"].dataType.simpleString()
+    schema = f"id {id_type}, text_hash long, n long, key long, signatures array<long>, sketch array<smallint>"
+    sets = scratch.table(rows.mapInArrow(_sets(shingle, cuts), schema), "sets")
     worded = sets.where("n > 0 AND id IS NOT NULL")
-    classes = worded.groupBy("n", "d1", "d2").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("rows"))
-    classes = scratch.table(classes.where("rows > 1").drop("rows"), "copies")
-    named = sets.select("id", "n", "d1", "d2").join(classes, ["n", "d1", "d2"], "left")
-    own = F.when((F.col("n") > 0) & F.col("id").isNotNull(), F.coalesce("first", "id"))
-    named = materialize(named.select("id", "n", own.alias("representative")), "classes")
-    scratch.release(classes)
+    copies = worded.groupBy("key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("rows"))
+    copies = scratch.table(copies.where("rows > 1").drop("rows"), "copies")
+    named = sets.select("id", "text_hash", "n", "key").join(copies, "key", "left")
+    takes_part = (F.col("n") > 0) & F.col("id").isNotNull()
+    named = named.select("id", "text_hash", "n", F.when(takes_part, F.col("key")).alias("key"), F.coalesce("first", "id").alias("first"))
+    named = materialize(named, "classes")
+    scratch.release(copies)
 
     # Signatures that occur more than once, and the classes that have them.
     met = worded.select(F.explode("signatures").alias("signature")).groupBy("signature").count()
     met = scratch.table(met.where("count > 1").select("signature"), "met")
-    signed = worded.select("id", "signatures").mapInArrow(_rows_of(_present(met)), "signature long, id long")
-    owners = named.where("representative IS NOT NULL").select("id", "representative").distinct()
-    members = signed.join(met, "signature").join(owners, "id").select("signature", "representative").distinct()
-    members = scratch.table(members, "members")
+    signed = worded.select("key", "signatures").mapInArrow(_rows_of(_present(met)), "signature long, key long")
+    members = scratch.table(signed.join(met, "signature").distinct(), "members")
     scratch.release(met)
 
-    sketches = None
-    labels = spark.range(0).select(F.col("id").alias("representative"), F.col("id").alias("component"))
-    links, segments, pairs = None, None, None
-    for turn in range(HUB_ROUNDS + 1):
-        labeled = members.join(labels, "representative", "left")
-        labeled = labeled.withColumn("component", F.coalesce("component", "representative"))
-        order = F.xxhash64("representative", F.lit(turn)) if turn else F.col("representative")
+    sketches, links, segments, pairs = None, None, None, None
+    labels = spark.range(0).select(F.col("id").alias("key"), F.col("id").alias("component"))
+    turn, last = 0, False
+    while not last:
+        labeled = members.join(labels, "key", "left").withColumn("component", F.coalesce("component", "key"))
+        order = F.xxhash64("key", F.lit(turn)) if turn else F.col("key")
         buckets = labeled.groupBy("signature").agg(
             F.min("component").alias("low"),
             F.max("component").alias("high"),
-            F.min_by("representative", order).alias("hub"),
+            F.min_by("key", order).alias("hub"),
             F.min_by("component", order).alias("hub_component"),
+            F.count(F.lit(1)).alias("size"),
         )
         # Members of buckets with one component are settled, and stay so.
-        unsettled = scratch.table(
-            labeled.join(buckets.where("low < high"), "signature").drop("low", "high"), "unsettled"
-        )
+        unsettled = scratch.table(labeled.join(buckets.where("low < high"), "signature").drop("low", "high"), "unsettled")
         scratch.release(members)
         members = unsettled
-        if members.isEmpty():
+        # A member of a bucket has as many pairs, halved, as there are others in it.
+        left = members.agg(F.count(F.lit(1)).alias("members"), F.sum("size").alias("pairs")).first()
+        if not left.members:
             break
+        last = turn >= MOST_HUB_ROUNDS or (turn >= HUB_ROUNDS and left.pairs <= 2 * PAIRS_LEFT * left.members)
         if sketches is None:
-            # Only documents that share a bucket are compared, so hardly any others are cut again.
-            wanted = members.select(F.col("representative").alias("id")).distinct()
-            sketches = sets.select("id", "n", "sketch").join(wanted, "id", "left_semi").dropDuplicates(["id"])
-            sketches = scratch.table(sketches, "sketches")
+            # Only classes that share a bucket are compared, so hardly any others are cut again, each once.
+            wanted = sets.join(members.select("key").distinct(), "key", "left_semi").where("id IS NOT NULL")
+            sketches = scratch.table(wanted.select("key", "n", "sketch").dropDuplicates(["key"]), "sketches")
+            chosen = wanted.groupBy("key").agg(F.min(F.struct("id", "text_hash")).alias("row"))
+            present = _present(chosen.select(F.xxhash64("row.id", "row.text_hash").alias("hash")))
             scratch.release(sets)
-            present = _present(sketches.select(F.xxhash64("id").alias("hash")))
-            cut = rows.where("id IS NOT NULL").select("id", "text", F.xxhash64("id").alias("hash")).mapInArrow(
-                _segments(shingle, FRAGMENTS, present), "id long, n long, fragment int, segment array<long>"
-            )
+            cut = rows.where("id IS NOT NULL").select(F.xxhash64("id", "text_hash").alias("hash"), "text")
+            cut = cut.mapInArrow(_segments(shingle, FRAGMENTS, present), "key long, n long, fragment int, segment array<long>")
             segments = scratch.table(cut, "segments")
-        if turn < HUB_ROUNDS:
+        if last:
+            pairs = _remaining(members.select("signature", "key", "component"), sketches, percent)
+        else:
             apart = members.where("component <> hub_component")
-            apart = apart.select(F.least("hub", "representative").alias("a"), F.greatest("hub", "representative").alias("b"))
+            apart = apart.select(F.least("hub", "key").alias("a"), F.greatest("hub", "key").alias("b"))
             pairs = _bounded(apart.distinct(), sketches, percent)
-        else:
-            pairs = _remaining(members.select("signature", "representative", "component"), sketches, percent)
         pairs = scratch.table(pairs, "pairs")
-        members = scratch.table(members.select("signature", "representative"), "members")
+        members = scratch.table(members.select("signature", "key"), "members")
         linked = scratch.table(_overlaps(pairs, segments, percent), "linked")
         scratch.release(unsettled, pairs)
+        turn += 1
         if linked.isEmpty():
             continue
         links = linked if links is None else scratch.table(links.union(linked), "links")
-        labels = components(links).withColumnRenamed("node", "representative")
+        labels = components(links).withColumnRenamed("node", "key")
     scratch.release(members, *([segments, sketches] if segments else [sets]))
-    named = named.withColumnRenamed("n", "n_shingles").join(labels, "representative", "left")
+    # The smallest ids of components of several classes.
+    named = named.withColumnRenamed("n", "n_shingles").join(labels, "key", "left")
+    smallest = named.where("component IS NOT NULL").groupBy("component").agg(F.min("first").alias("smallest"))
+    named = named.join(materialize(smallest, "smallest"), "component", "left")
     return named.select(
         F.col("id").alias(id_column),
+        "text_hash",
         "n_shingles",
-        F.coalesce("representative", "id").alias("representative"),
-        F.coalesce("component", "representative", "id").alias("component_id"),
+        F.col("first").alias("representative"),
+        F.coalesce("smallest", "first").alias("component_id"),
+        F.coalesce("component", "key").alias("component"),
     )

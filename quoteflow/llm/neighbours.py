@@ -28,7 +28,7 @@ CONFIDENCE = 0.95
 # Distinct vectors of a cell, about; bytes of the vectors of a tree; points of a leaf.
 CELL = 1 << 15
 TREE_BYTES = 1 << 22
-LEAF = 32
+LEAF = 256
 # Queries, about, that a task takes at a time.
 QUERIES = 256
 # Vectors, at most, from which the borders of cells are learnt, and so many at least for each cell.
@@ -95,21 +95,18 @@ def build_tree(points: np.ndarray, leaf: int = LEAF) -> Tree:
 
 def incremental(tree: Tree, points: np.ndarray, query: np.ndarray) -> Iterator[tuple[np.ndarray, float]]:
     """Points by rising distance from ``query``, in lots: (their numbers, least squared distance of all later ones)."""
-
-    def distance(node: int) -> float:
-        outside = np.maximum(np.maximum(tree.low[node] - query, query - tree.high[node]), 0.0)
-        return float(outside @ outside)
-
-    nodes = [(distance(0), 0)]
+    outside = np.maximum(np.maximum(tree.low - query, query - tree.high), 0.0)
+    distance = (outside * outside).sum(1).tolist()
+    child, begin, end = tree.child.tolist(), tree.begin, tree.end
+    nodes = [(distance[0], 0)]
     far, waiting = np.zeros(0), np.zeros(0, np.int64)
     while nodes:
         _, node = heapq.heappop(nodes)
-        first = int(tree.child[node])
-        if first:
-            for k in (first, first + 1):
-                heapq.heappush(nodes, (distance(k), k))
+        if child[node]:
+            for k in (child[node], child[node] + 1):
+                heapq.heappush(nodes, (distance[k], k))
             continue
-        met = tree.order[tree.begin[node] : tree.end[node]]
+        met = tree.order[begin[node] : end[node]]
         away = points[met] - query
         far, waiting = np.append(far, (away * away).sum(1)), np.append(waiting, met)
         # Nothing in the boxes that are left is nearer than the first of them.
@@ -125,11 +122,15 @@ def nearest(
 ) -> tuple[np.ndarray, np.ndarray]:
     """(numbers, distances) of the ``k`` nearest found, ties included, that aren't farther than ``most``."""
     found, distances = np.zeros(0, np.int64), np.zeros(0)
+    square = float(query @ query)
     for lot, bound in incremental(tree, points, projected):
-        away = vectors[lot].astype(np.float64) - query
-        exact = np.sqrt((away * away).sum(1))
-        found, distances = np.append(found, lot), np.append(distances, exact)
-        if len(found) >= k:
+        near = vectors[lot]
+        # By the products first, whose rounding errors are far smaller than the margin; then exactly.
+        squares = np.einsum("ij,ij->i", near, near)
+        close = squares - 2 * (near @ query) <= most * most - square + 1e-9 * (squares + square)
+        lot, near = lot[close], near[close] - query
+        found, distances = np.append(found, lot), np.append(distances, np.sqrt((near * near).sum(1)))
+        if len(lot) and len(found) >= k:
             most = min(most, float(np.partition(distances, k - 1)[k - 1]))
             keep = distances <= most
             found, distances = found[keep], distances[keep]

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quoteflow.llm.training import Rows, batches_of, hashed, labelled_sample, packed, sigmoid, unpacked
+from quoteflow.llm.training import Rows, batches_of, hashed, labelled_sample, one_text_each, packed, sigmoid, unpacked
 from quoteflow.llm.words import ALPHANUMERIC, find_words, pieces
 
 BITS = 16
@@ -164,21 +164,23 @@ def train_quality(
 ) -> Model:
     """Learn from at most ``limit`` labelled documents that are not held out (`labelled_sample`).
 
-    Features are worked out where the documents are; the driver gets bucket numbers of the sample only.
+    Of an id with several texts the one of the smallest hash counts, so there are ``limit`` documents at most.
+    Features are worked out in tasks; the driver gets bucket numbers of these documents only.
     Without labels of both kinds the model gives one score to all.
     """
-    sample = labelled_sample(documents, labels, label, limit, id_column)
+    sample = one_text_each(labelled_sample(documents, labels, label, limit, id_column), id_column, text_column, metadata)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at, data, offsets in pieces(batch.column(1)):
+            for at, data, offsets in pieces(batch.column(2)):
                 n = len(offsets) - 1
-                rows = features(data, offsets, _metadata(batch, 2, at, n))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, n), packed(rows)], ["label", "features"])
+                rows = features(data, offsets, _metadata(batch, 3, at, n))
+                columns = [batch.column(0).slice(at, n), batch.column(1).slice(at, n), packed(rows)]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "label", "features"])
 
-    numbers = [F.col(name).cast("double") for name in metadata]
-    columns = sample.select("_label", F.col(text_column).cast("string"), *numbers)
-    found = columns.mapInArrow(run, "label int, features array<int>").toArrow()
+    numbers = [F.col("row.others")[k].alias(f"m{k}") for k in range(len(metadata))]
+    columns = sample.select(F.xxhash64("id"), "row.label", "row.text", *numbers)
+    found = columns.mapInArrow(run, "key long, label int, features array<int>").toArrow().sort_by("key")
     return fit(unpacked(found["features"]), found["label"].to_numpy().astype(float), len(metadata), rank, epochs, seed)
 
 

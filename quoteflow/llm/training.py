@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
@@ -66,6 +66,17 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, limit:
     return documents.join(F.broadcast(usable), documents[id_column] == usable["_id"]).drop("_id")
 
 
+def one_text_each(sample: DataFrame, id_column: str, text_column: str, others: Sequence[str] = ()) -> DataFrame:
+    """Of each id of a `labelled_sample` the row whose text has the smallest hash: ``id``, ``row.label``, ``row.text`` and
+    ``row.others``, numbers. So a sample has no more rows than ids, whatever repeats them."""
+    text = F.col(text_column).cast("string")
+    numbers = F.array(*[F.col(name).cast("double") for name in others]) if others else F.lit(None)
+    row = F.struct(F.col("_label").alias("label"), text.alias("text"), numbers.alias("others"))
+    # Rows of equal texts go by their other columns.
+    order = F.struct(F.xxhash64(text), text, numbers.alias("others"))
+    return sample.groupBy(F.col(id_column).alias("id")).agg(F.min_by(row, order).alias("row"))
+
+
 def packed(rows: Rows) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(rows.first, pa.int32()), pa.array(rows.features, pa.int32()))
 

@@ -89,42 +89,76 @@ def write_warc(records: DataFrame, path: str, records_per_file: int = 2000) -> N
 
 
 class Found(NamedTuple):
-    """A record, or a stretch of bytes that holds none (``reason`` says why)."""
+    """A record, or a stretch of bytes that holds none (``reason`` says why).
+
+    ``length`` counts the bytes of the archive that this is about, each byte once: of the records of a gzip
+    member the first has them all, and records saved from a damaged member have none, as a gap covers it. ``inner`` is
+    where the record begins, or the gap is, in the unpacked member.
+    """
 
     offset: int
     length: int
     fields: dict[str, str]
     payload: bytes
     reason: str | None
-
-
-def _plain(data: bytes, at: int) -> tuple[int, dict[str, str], bytes]:
-    """End, fields and block of the record that begins at ``at``; ValueError if it isn't whole."""
-    if not VERSION.match(data, at):
-        raise ValueError("no version line")
-    head = data.find(b"\r\n\r\n", at)
-    if head < 0:
-        raise ValueError("header without an end")
-    if VERSION.search(data, at + 1, head + 2):
-        raise ValueError("another record begins in the header")
-    fields = {}
-    for line in data[at:head].split(b"\r\n")[1:]:
-        name, colon, value = line.partition(b":")
-        if not colon:
-            raise ValueError("header line without a colon")
-        fields[name.strip().lower().decode("utf-8", "replace")] = value.strip().decode("utf-8", "replace")
-    size = fields.get("content-length", "")
-    if not (size.isascii() and size.isdigit()):
-        raise ValueError("no content length")
-    begin = head + 4
-    end = begin + int(size)
-    if data[end : end + 4] != b"\r\n\r\n":
-        raise ValueError("record doesn't end where it should")
-    block = data[begin:end]
-    wanted = fields.get("warc-block-digest", "")
-    if wanted.startswith("sha1:") and base64.b32encode(hashlib.sha1(block).digest()).decode() != wanted[5:]:
-        raise ValueError("block digest differs")
-    return end + 4, fields, block
+    inner: int = 0
+
+
+class _Finder:
+    """The next place of a pattern, for places that rise; what has been found is not looked for again."""
+
+    def __init__(self, pattern: re.Pattern, data: bytes):
+        self.pattern, self.data, self.found = pattern, data, -1
+
+    def after(self, at: int) -> int:
+        if self.found < at:
+            following = self.pattern.search(self.data, at)
+            self.found = following.start() if following else len(self.data)
+        return self.found
+
+
+class _Plain:
+    """Records one after the other in some bytes."""
+
+    def __init__(self, data: bytes):
+        self.data = data
+        self.heads, self.versions = _Finder(re.compile(rb"\r\n\r\n"), data), _Finder(VERSION, data)
+
+    def record(self, at: int) -> tuple[int, dict[str, str], bytes]:
+        """End, fields and block of the record that begins at ``at``; ValueError if it isn't whole."""
+        data = self.data
+        if not VERSION.match(data, at):
+            raise ValueError("no version line")
+        head = self.heads.after(at)
+        if head == len(data):
+            raise ValueError("header without an end")
+        if self.versions.after(at + 1) < head + 2:
+            raise ValueError("another record begins in the header")
+        lines = []
+        for line in data[at:head].split(b"\r\n")[1:]:
+            if line[:1] in (b" ", b"\t") and lines:
+                # A folded line goes on with the value before it.
+                lines[-1] += b" " + line.strip()
+            else:
+                lines.append(line)
+        fields = {}
+        for line in lines:
+            name, colon, value = line.partition(b":")
+            if not colon:
+                raise ValueError("header line without a colon")
+            fields[name.strip().lower().decode("utf-8", "replace")] = value.strip().decode("utf-8", "replace")
+        size = fields.get("content-length", "")
+        if not (size.isascii() and size.isdigit()):
+            raise ValueError("no content length")
+        begin = head + 4
+        end = begin + int(size)
+        if data[end : end + 4] != b"\r\n\r\n":
+            raise ValueError("record doesn't end where it should")
+        block = data[begin:end]
+        wanted = fields.get("warc-block-digest", "")
+        if wanted.startswith("sha1:") and base64.b32encode(hashlib.sha1(block).digest()).decode() != wanted[5:]:
+            raise ValueError("block digest differs")
+        return end + 4, fields, block
 
 
 def _payload(fields: dict[str, str], block: bytes) -> bytes:
@@ -139,53 +173,93 @@ def _payload(fields: dict[str, str], block: bytes) -> bytes:
     return payload
 
 
-def _member(data: bytes, at: int) -> tuple[int, bytes]:
-    """End and content of the gzip member that begins at ``at``; ValueError if it isn't whole."""
-    unpack = zlib.decompressobj(31)
-    try:
-        content = unpack.decompress(memoryview(data)[at:])
-    except zlib.error as fault:
-        raise ValueError(f"gzip member: {fault}") from None
-    if not unpack.eof:
-        raise ValueError("gzip member ends early")
-    return len(data) - len(unpack.unused_data), content
-
+# Bytes that a decompressor gets at a time, from the first to the last number: what lies behind a member is copied back, so it
+# must be little. A member unpacks to something after so many bytes: names in a header aren't longer.
+_CHUNKS = (1 << 9, 1 << 14)
+_LONGEST_HEADER = 1 << 12
 
-def salvage(data: bytes) -> Iterator[Found]:
-    """All whole records of an archive, plain or of gzip members, and the stretches between them.
 
-    When a record fails a check, reading goes on at the next version line or beginning of a member
-    from which a whole record can be read. Every byte is part of a record or of a reported gap.
-    """
-    at, gap, reason = 0, None, None
-    starts = re.compile(VERSION.pattern + b"|" + re.escape(GZIP))
+def _member(data: bytes, at: int) -> tuple[int, bytes, str | None]:
+    """End and content of the gzip member that begins at ``at``; if it isn't whole, what can be unpacked and why."""
+    unpack, parts, view = zlib.decompressobj(31), [], memoryview(data)
+    begin, size, unpacked = at, _CHUNKS[0], 0
     while at < len(data):
+        # Should a chunk fail, its beginning may still unpack.
+        before = unpack.copy()
         try:
-            if data.startswith(GZIP, at):
-                end, content = _member(data, at)
-                inner_end, fields, block = _plain(content, 0)
-                if inner_end != len(content):
-                    raise ValueError("more than a record in a gzip member")
-            else:
-                end, fields, block = _plain(data, at)
-            payload = _payload(fields, block)
-        except ValueError as fault:
-            if gap is None:
-                gap, reason = at, str(fault)
-            following = starts.search(data, at + 1)
-            at = following.start() if following else len(data)
-            continue
-        if gap is not None:
+            parts.append(unpack.decompress(view[at : at + size]))
+        except zlib.error as fault:
+            span = view[at : at + size]
+            while len(span) > 1:
+                half, trial = len(span) // 2, before.copy()
+                try:
+                    parts.append(trial.decompress(span[:half]))
+                    before, span = trial, span[half:]
+                except zlib.error:
+                    span = span[:half]
+            return at, b"".join(parts), f"gzip member: {fault}"
+        at += size
+        unpacked += len(parts[-1])
+        if unpack.eof:
+            return min(at, len(data)) - len(unpack.unused_data), b"".join(parts), None
+        if not unpacked and at - begin > _LONGEST_HEADER:
+            return at, b"", "gzip member without content"
+        size = min(2 * size, _CHUNKS[1])
+    return len(data), b"".join(parts), "gzip member ends early"
+
+
+def _records(data: bytes, packed: bool) -> Iterator[Found]:
+    """Records and gaps of plain bytes; with ``packed`` members of gzip may stand between them."""
+    at, gap, reason = 0, None, None
+    plain = _Plain(data)
+    starts = _Finder(re.compile(VERSION.pattern + b"|" + re.escape(GZIP)) if packed else VERSION, data)
+    while at < len(data):
+        found, fault, end = [], None, at
+        if packed and data.startswith(GZIP, at):
+            end, content, fault = _member(data, at)
+            found = list(_records(content, False))
+            if not any(one.reason is None for one in found):
+                fault = fault or (found[0].reason if found else "empty gzip member")
+                found = []
+            elif fault is not None:
+                # The gap in the archive stands for the rest of the member.
+                found = [one for one in found if one.reason is None]
+        else:
+            try:
+                end, fields, block = plain.record(at)
+                found = [Found(at, end - at, fields, _payload(fields, block), None)]
+            except ValueError as error:
+                fault = str(error)
+        if gap is not None and fault is None:
             yield Found(gap, at - gap, {}, b"", reason)
             gap = None
-        yield Found(at, end - at, fields, payload, None)
-        at = end
+        for k, one in enumerate(found):
+            if packed and data.startswith(GZIP, at):
+                one = one._replace(offset=at, length=end - at if k == 0 and fault is None else 0, inner=one.offset)
+            yield one
+        if fault is None:
+            at = end
+            continue
+        if gap is None:
+            gap, reason = at, fault
+        at = starts.after(at + 1)
     if gap is not None:
         yield Found(gap, len(data) - gap, {}, b"", reason)
 
 
+def salvage(data: bytes) -> Iterator[Found]:
+    """All whole records of an archive, plain or of gzip members, and the stretches between them.
+
+    When a record fails a check, reading goes on at the next version line or beginning of a member
+    from which a whole record can be read. A member may hold any number of records. Of one that is cut short or
+    damaged the whole records before the damage are read, and the member is a gap. Every byte is part of a record or of a
+    reported gap. The time grows with the bytes, however many members there are.
+    """
+    return _records(data, True)
+
+
 SCHEMA = (
-    "path string, offset long, length long, gap string, record_type string, record_id string, refers_to string, "
+    "path string, offset long, length long, inner long, gap string, record_type string, record_id string, refers_to string, "
     "target_uri string, payload_bytes long, payload_digest string, fields map<string, string>, payload binary"
 )
 _ROWS = 500
@@ -195,15 +269,15 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFram
     """One row per record of the archives in ``path``, and one per stretch that could not be read.
 
     For records ``gap`` is null; for gaps it says which check failed first, and ``offset`` and ``length``
-    say which bytes to look at. ``payload_bytes`` and ``payload_digest`` are those of the full payload,
+    say which bytes to look at, ``inner`` where in an unpacked gzip member (see `Found`). ``payload_bytes`` and ``payload_digest`` are those of the full payload,
     for revisits as their header gives them. A task reads an archive as a whole, so archives must fit
     in its memory (`write_warc` makes them small; 2 GB is the most that Spark reads as one value). An
     empty folder gives no rows.
     """
     schema = pa.schema(
         [
-            ("path", pa.string()), ("offset", pa.int64()), ("length", pa.int64()), ("gap", pa.string()),
-            ("record_type", pa.string()), ("record_id", pa.string()), ("refers_to", pa.string()),
+            ("path", pa.string()), ("offset", pa.int64()), ("length", pa.int64()),
+            ("inner", pa.int64()), ("gap", pa.string()), ("record_type", pa.string()), ("record_id", pa.string()), ("refers_to", pa.string()),
             ("target_uri", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
             ("fields", pa.map_(pa.string(), pa.string())), ("payload", pa.binary()),
         ]
@@ -211,7 +285,7 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFram
 
     def row(path: str, found: Found) -> tuple:
         if found.reason is not None:
-            return (path, found.offset, found.length, found.reason, *[None] * 8)
+            return (path, found.offset, found.length, found.inner, found.reason, *[None] * 8)
         fields = found.fields
         kind = fields.get("warc-type")
         size, digest = len(found.payload), None
@@ -223,7 +297,7 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFram
             digest = base64.b32encode(hashlib.sha1(found.payload).digest()).decode()
         bare = lambda name: fields[name].strip("<>") if name in fields else None
         return (
-            path, found.offset, found.length, None, kind, bare("warc-record-id"), bare("warc-refers-to"),
+            path, found.offset, found.length, found.inner, None, kind, bare("warc-record-id"), bare("warc-refers-to"),
             fields.get("warc-target-uri"), size, digest, list(fields.items()), found.payload if payloads else None,
         )
 

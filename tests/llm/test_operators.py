@@ -6,13 +6,14 @@ import base64
 import gzip
 import hashlib
 import random
+import time
 
 import numpy as np
 import pyarrow as pa
 import pytest
 from llm_helpers import A, ROWS, alphanumeric, spaced
 from pyspark.sql import functions as F
-from quoteflow.llm import toxicity, words
+from quoteflow.llm import quality_fm, toxicity, words
 from quoteflow.llm.decontaminate import find_passages, remove_passages
 from quoteflow.llm.fm_index import FMIndex, suffix_array
 from quoteflow.llm.graph import components
@@ -152,6 +153,21 @@ def test_decontamination_in_blocks(spark, edges, monkeypatch):
     assert row["n_hit"] == 5 and sorted(row["items"]) == ["1", "2", "3"]
 
 
+def test_many_blocks_are_one_pass(spark, edges, monkeypatch):
+    """Blocks of a window, long items split between them: one Python node in the plan, and the same result."""
+    rows = [(k, " ".join(A.split()[k : k + 4])) for k in range(8)] + [(99, A * 3), (100, "köln grüße")]
+    items = spark.createDataFrame(rows, "item_id long, text string")
+    told = lambda found: sorted((str(r["doc_id"]), r["n_words"], r["n_hit"], r["items"]) for r in found.collect())
+    whole = told(find_passages(edges, items, 3))
+    for windows, words_ in ((1, 1 << 20), (3, 7)):
+        monkeypatch.setattr("quoteflow.llm.decontaminate.BLOCK_WINDOWS", windows)
+        monkeypatch.setattr("quoteflow.llm.decontaminate.SHARD_WORDS", words_)
+        found = find_passages(edges, items, 3)
+        assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+        assert told(found) == whole
+    assert find_passages(edges, items.limit(0), 3, item_column="item_id").where("n_hit > 0").isEmpty()
+
+
 def test_jaccard_edges(spark, edges, nothing):
     rows = jaccard_classes(edges.withColumn("id", F.lit("clash"))).collect()
     found = {(row["doc_id"], row["component_id"]) for row in rows}
@@ -254,6 +270,84 @@ def test_salvage(packed):
     assert list(salvage(b"")) == []
 
 
+def _kept(data: bytes) -> list[str]:
+    found = list(salvage(data))
+    assert sum(one.length for one in found) == len(data)
+    return [one.fields["warc-record-id"] for one in found if one.reason is None]
+
+
+def _ids(*numbers: int) -> list[str]:
+    return [f"<urn:page:{k}>" for k in numbers]
+
+
+def test_members_of_several_records():
+    parts = [_record(k, bytes([65 + k]) * 3000) for k in range(50)]
+    whole = gzip.compress(b"".join(parts))
+    assert _kept(whole) == _ids(*range(50))
+    found = list(salvage(gzip.compress(parts[0]) + whole))
+    assert [one.inner for one in found[1:3]] == [0, len(parts[0])] and found[1].offset == found[2].offset == found[0].length
+    # A damaged record within a sound member is a gap inside it.
+    found = list(salvage(gzip.compress(parts[0] + parts[1][:-9] + b"x" + parts[1][-8:] + parts[2])))
+    assert [(one.reason is None, one.inner) for one in found] == [(True, 0), (False, len(parts[0])), (True, len(parts[0] + parts[1]))]
+    assert [bool(one.length) for one in found] == [True, False, False]
+
+
+@pytest.mark.parametrize("damage", ["cut", "changed"])
+def test_records_before_the_damage(damage):
+    draw = random.Random(1)
+    parts = [_record(k, draw.randbytes(2000)) for k in range(60)]
+    member = gzip.compress(b"".join(parts))
+    middle = len(member) // 2
+    member = member[:middle] if damage == "cut" else member[:middle] + bytes(50) + member[middle + 50 :]
+    following = gzip.compress(_record(99, b"after"))
+    kept = _kept(member + following)
+    # Random bytes are stored as they are, so half of the member is half of the records, but for a changed one.
+    assert kept[:29] == _ids(*range(29)) and kept[-1:] == _ids(99)
+    gaps = [one for one in salvage(member + following) if one.reason is not None]
+    assert len(gaps) == 1 and (gaps[0].offset, gaps[0].length) == (0, len(member))
+
+
+def test_folded_header_lines():
+    data = _record(1, b"body").replace(b"WARC-Type: resource", b"WARC-Type: resource\r\nX-Note: one\r\n  two\r\n\tthree")
+    (one,) = salvage(data)
+    assert one.reason is None and one.fields["x-note"] == "one two three" and one.payload == b"body"
+
+
+@pytest.mark.parametrize("kind", ["members", "version lines", "member marks", "cut members"])
+def test_salvage_takes_linear_time(kind):
+    """Four times the bytes take about four times as long, not sixteen."""
+    draw = random.Random(2)
+    part = {
+        "members": gzip.compress(_record(1, draw.randbytes(2000))),
+        "version lines": b"WARC/1.0\r\n" * 200,
+        "member marks": b"\x1f\x8b\x08" * 40 + b"\x1f\x8b\x08\x00" * 40,
+        "cut members": gzip.compress(_record(1, draw.randbytes(2000)))[:1500],
+    }[kind]
+
+    def seconds(n: int) -> float:
+        times = []
+        for _ in range(2):
+            start = time.perf_counter()
+            found = sum(one.reason is None for one in salvage(part * n))
+            times.append(time.perf_counter() - start)
+        assert found == (n if kind == "members" else 0)
+        return min(times)
+
+    few = 2000 if kind == "members" else 50
+    assert seconds(4 * few) < 8 * seconds(few) + 0.1
+
+
+def test_a_lost_page_is_an_error(spark, tmp_path, monkeypatch):
+    from quoteflow.llm import queries
+
+    pages = spark.createDataFrame([(1, "u", "x"), (2, "u", "WARC/1.1\r\n")], "page_id long, url string, html string")
+    monkeypatch.setattr(queries, "table", lambda *_: pages)
+    assert queries.op6_warc(spark, "").count() == 2
+    monkeypatch.setattr(queries, "write_warc", lambda records, path: write_warc(records.select(F.concat("record", F.lit("more")).alias("r")), path))
+    with pytest.raises(Exception, match="gap in"):
+        queries.op6_warc(spark, "").collect()
+
+
 def test_token_counts_across_blocks(spark, tmp_path):
     draw = random.Random(2)
     for name in ("a", "b"):
@@ -376,6 +470,42 @@ def test_the_driver_gets_a_bounded_sample(spark, monkeypatch):
     assert seen[2] == seen[0] and seen[3] == seen[1]
 
 
+def test_quality_learns_from_one_row_of_each_id(spark, monkeypatch):
+    """An id that very many rows repeat sends one of them to the driver, the same in any order."""
+    rows = [(k, f"text {k} of words", k, k % 2) for k in range(60)] + [(1, f"another text {k}", k, 1) for k in range(300)]
+    rows += [(3, None, None, 1), (3, None, 5, 1), (3, "", 5, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, quality int")
+    labels = docs.select("doc_id", "quality").distinct()
+    seen = []
+
+    def fit(rows, labels, *_):
+        seen.append((len(rows.first) - 1, labels.tolist(), rows.features.tolist()))
+        return quality_fm.Model(0.0, np.zeros(1), np.zeros((1, 1)), 1)
+
+    monkeypatch.setattr(quality_fm, "fit", fit)
+    for order in (docs, docs.orderBy(F.desc("text"), F.desc("n_chars")).repartition(5)):
+        train_quality(order, labels)
+    assert seen[0] == seen[1] and seen[0][0] == labels.where(~held_out(F.col("doc_id"))).count()
+
+
+def test_pairwise_sums_equal_the_identity():
+    """The score by the sum-of-squares identity against the sum over all pairs of features."""
+    draw = np.random.default_rng(4)
+    texts = ["", "one two three two", "Some words, 12 of them!\n| and a bar", "grüße " * 40]
+    ((_, data, offsets),) = words.pieces(pa.array(texts))
+    rows = quality_fm.features(data, offsets, np.array([[1.0], [np.nan], [300.0], [0.0]]))
+    n = (1 << quality_fm.BITS) + (quality_fm.N_STATISTICS + 1) * quality_fm.BINS
+    model = quality_fm.Model(0.3, draw.normal(size=n), draw.normal(size=(n, 4)), 1)
+    values = quality_fm._values(rows, quality_fm.N_STATISTICS + 1)
+    for k, score in enumerate(quality_fm.scores(model, rows)):
+        at = range(rows.first[k], rows.first[k + 1])
+        linear = sum(model.linear[rows.features[i]] * values[i] for i in at)
+        pairs = sum(
+            model.factors[rows.features[i]] @ model.factors[rows.features[j]] * values[i] * values[j] for i in at for j in at if i < j
+        )
+        assert score == pytest.approx(model.bias + linear + pairs)
+
+
 def test_secrets(spark, edges, nothing):
     rows = [
         (100 + k, f'password = "{hashlib.sha1(str(k).encode()).hexdigest()}" and\ncommit {hashlib.md5(str(k).encode()).hexdigest()} by a.b{k}@mail.example.com', None, "src/test.py", 1)
