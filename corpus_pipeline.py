@@ -38,20 +38,46 @@ def line_deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group linked by 0.8 of their five-word shingles.
+    """One document of each group linked by 0.8 of their five-word shingles: that of the smallest id.
 
-    A document whose id is null stays.
+    Rows are told by their id and text: of rows that repeat both one stays, and a text goes by its own group, whatever other
+    texts its id has. Of several texts of the smallest id that of the smallest hash stays. Documents without words or
+    whose id is null stay.
     """
-    found = jaccard_classes(docs, shingle=5, percent=80)
-    copies = found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(materialize(copies, "copies"), "doc_id", "left_anti").select(*docs.columns)
+    found = materialize(jaccard_classes(docs, shingle=5, percent=80), "groups")
+    row = F.struct("doc_id", "text_hash")
+    groups = found.where("component IS NOT NULL").groupBy("component").agg(F.min(row).alias("kept"), F.count(F.lit(1)).alias("rows"))
+    groups = materialize(groups.where("rows > 1").drop("rows"), "groups-of-several")
+    several = found.join(groups, "component").groupBy("component", "kept", "doc_id", "text_hash").agg(F.count(F.lit(1)).alias("rows"))
+    several = materialize(several.withColumn("goes", row != F.col("kept")), "documents-of-groups")
+    told = docs.withColumn("text_hash", F.xxhash64(F.col("text").cast("string")))
+    key = ["doc_id", "text_hash"]
+    left = told.join(several.where("goes OR rows > 1").select(key), key, "left_anti").select(*docs.columns)
+    repeated = several.where("NOT goes AND rows > 1").select(key)
+    if repeated.isEmpty():
+        return left
+    # Any of the rows, as they differ in other columns at most: the first by these.
+    others = [name for name in docs.columns if name != "doc_id"]
+    one = told.join(repeated, key, "left_semi").groupBy(key).agg(F.min(F.struct(*others)).alias("row"))
+    return left.unionByName(one.select("doc_id", "row.*").select(*docs.columns))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without passages of ten words of the benchmark; those of which no word is left go."""
-    found = find_passages(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    cleaned = remove_passages(found.where("n_hit = 0 OR n_hit < n_words"))
-    return _with_text(docs, cleaned.withColumn("_changed", F.col("n_hit") > 0))
+    """Documents without passages of ten words of the benchmark; those of which no word is left go.
+
+    Where a passage has been cut out, the words around it may form another; what has been cut is searched
+    again until none is found. Each round shortens the documents that it finds.
+    """
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    whole, settled = F.col("n_hit") == 0, None
+    while True:
+        found = materialize(find_passages(docs, items), "passages")
+        clean = found.where(whole).select(*docs.columns)
+        settled = clean if settled is None else settled.unionByName(clean)
+        left = found.where((F.col("n_hit") > 0) & (F.col("n_hit") < F.col("n_words")))
+        if left.isEmpty():
+            return settled
+        docs = materialize(_with_text(docs, remove_passages(left).withColumn("_changed", F.lit(True))), "cut")
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
