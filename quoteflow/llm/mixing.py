@@ -26,6 +26,12 @@ def quality_weight(text: Column) -> Column:
     return F.greatest(F.coalesce(share, F.lit(0.0)), F.lit(LEAST_WEIGHT))
 
 
+def _kept_between(weight: Column) -> Column:
+    weight = weight.cast("double")
+    least = F.lit(LEAST_WEIGHT)
+    return F.when(F.isnan(weight), least).otherwise(F.least(F.greatest(F.coalesce(weight, least), least), F.lit(1.0)))
+
+
 def uniform(key: Column, seed: int) -> Column:
     """A number in (0, 1) that depends on nothing but ``key`` and ``seed``."""
     digits = F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), key).cast("binary")), 1, 13)
@@ -70,13 +76,13 @@ def mix_sources(
     id_column: str = "doc_id",
     text_column: str = "text",
     source_column: str = "source",
+    weight: Column | None = None,
 ) -> DataFrame:
     """How often the mix takes each row: its id, ``source``, ``size`` in words, ``source_size``,
     ``target``, ``copies`` and ``taken`` (words, repeats counted).
 
     A source gets its `source_targets`. All its documents are taken as often as the target holds the
-    whole source; for the rest they stand in the order of exponential keys, ``-ln(u) / weight`` with
-    `quality_weight`, and are taken while the running sum of sizes, to the middle of the document,
+    whole source; for the rest they stand in the order of exponential keys, ``-ln(u) / weight``, and are taken while the running sum of sizes, to the middle of the document,
     stays within the budget. So a source ends within half a document of its target. A number ``u``
     comes from a hash of the id, so reruns agree.
 
@@ -93,7 +99,7 @@ def mix_sources(
         F.col(id_column).alias("_id"),
         F.col(source_column).cast("string").alias("source"),
         word_count(text).alias("size"),
-        (drawn / quality_weight(text)).alias("_key"),
+        (drawn / (quality_weight(text) if weight is None else _kept_between(weight))).alias("_key"),
     )
     slice_ = F.floor((1 - F.exp(-F.col("_key") * LEAST_WEIGHT)) * SLICES).cast("int")
     rows = materialize(rows.withColumn("_slice", F.least(slice_, F.lit(SLICES - 1))), "sizes")

@@ -14,7 +14,7 @@ from quoteflow.llm.line_dedup import line_dedup
 from quoteflow.llm.mixing import mix_sources
 from quoteflow.llm.quality_fm import score_quality, train_quality
 from quoteflow.llm.quality_rules import quality_rules
-from quoteflow.llm.secrets import find_candidates, reviewed, score_candidates, train_forest
+from quoteflow.llm.secrets import find_candidates, learn_language, reviewed, score_candidates, train_forest
 from quoteflow.llm.spelling import count_words, spelling_forms
 from quoteflow.llm.token_counts import count_tokens, write_tokens
 from quoteflow.llm.toxicity import score_toxicity, train_toxicity
@@ -43,7 +43,8 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
-    found = materialize(find_candidates(documents, path_column="source"), "candidates")
+    found = find_candidates(documents, path_column="source", language=learn_language(documents))
+    found = materialize(found, "candidates")
     learnt = reviewed(found.where(~held_out(F.col("doc_id"))))
     scored = score_candidates(found, train_forest(learnt))
     return scored.select("doc_id", "start", "end", "candidate", "score", "secret")

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import bisect
 import math
 import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -23,9 +25,14 @@ CANDIDATE = re.compile(r"[A-Za-z0-9_\-+/.@~]{12,}")
 KEY_WORDS = (
     "password passwd pwd secret token key apikey api_key access auth bearer credential credentials private signature".split()
 )
+# As a part of a name only; other words end with it.
+KEY_PARTS = ("pass", "passphrase", "pin")
 PLAIN_WORDS = "commit sha md5 sha1 sha256 checksum hash uuid version http https example test sample digest rev revision".split()
 # A name before a sign of assignment, with what may close a string or an index between them.
 _NAME = re.compile(r"(?<![A-Za-z0-9_\-])([A-Za-z0-9_\-]++)[\"'`\]\\)]*+\s*+(?::=|=>|={1,3}|:(?!:))\s*+")
+# A token behind the name of its scheme, without a sign of assignment.
+_SCHEME = re.compile(r"\b(?:bearer|basic)[ \t]+([A-Za-z0-9_\-+/.=~]{8,})", re.IGNORECASE)
+_ARMOUR = re.compile(r"-----(BEGIN|END) ([A-Z0-9 ]{1,40})-----")
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 # A second sign of assignment, as after the type in ``password: str = "..."``.
 _AGAIN = re.compile(r"[ \t]*+=(?!=)\s*+")
@@ -41,24 +48,86 @@ ISSUED = ("AKIA", "ASIA", "ghp_", "gho_", "glpat-", "xoxb-", "xoxp-", "sk_live_"
 PATH_PARTS = ("test", "spec", "mock", "fixture", "example", "sample", "doc", "vendor", "lock")
 FEATURES = (
     "length upper lower digit other changes longest_run entropy hexadecimal dictionary issued at_sign "
-    "key_before plain_before assigned quoted path_hint path_known words_before words_after"
+    "key_before plain_before assigned quoted path_hint path_known words_before words_after armoured transitions"
 ).split()
 _KINDS = np.zeros(128, np.int8)
 _KINDS[65:91], _KINDS[97:123], _KINDS[48:58] = 1, 2, 3
 _SYLLABLES = re.compile(r"[a-z]*[aeiouy][a-z]*")
+# Words of a dictionary, at most: those of the most documents.
+DICTIONARY = 20_000
+# What transitions are learnt between: small letters, digits as one, capitals as one, all else as one.
+_SYMBOLS = 29
 
 
-def _dictionary(candidate: str, known: frozenset[str]) -> float:
-    """Share of characters in parts of letters that are words of the text itself, or read like words."""
+def _symbols(text: str) -> np.ndarray:
+    codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+    kinds = np.where(codes < 128, _KINDS[codes & 127], 0)
+    return np.select([kinds == 2, kinds == 3, kinds == 1], [codes.astype(np.int64) - 97, 26, 27], 28)
+
+
+class Language(NamedTuple):
+    """The commonest ``words`` of a corpus, and the log odds of transitions between characters in them against chance."""
+
+    words: frozenset[str]
+    odds: np.ndarray
+
+    def transitions(self, text: str) -> float:
+        """The mean of the log odds over the text: above 0 for what reads like words of the corpus."""
+        symbols = _symbols(text)
+        return float(self.odds[symbols[:-1], symbols[1:]].mean()) if len(symbols) > 1 else 0.0
+
+
+def _language(words: Sequence[str], counts: Sequence[int]) -> Language:
+    seen = np.ones((_SYMBOLS, _SYMBOLS))
+    for word, count in zip(words, counts):
+        symbols = _symbols(word)
+        # Of common words the form counts more often, but not in proportion.
+        np.add.at(seen, (symbols[:-1], symbols[1:]), math.log1p(count))
+    return Language(frozenset(words), np.log(seen / seen.sum(1, keepdims=True) * _SYMBOLS))
+
+
+def learn_language(documents: DataFrame, text_column: str = "text", limit: int = DICTIONARY, least: int = 3) -> Language:
+    """The ``limit`` words of a to z, three letters or more, that most documents have, ``least`` at least, and their transitions.
+
+    All documents are counted, a word once in each. Tasks count before the shuffle; the driver gets ``limit`` words.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = Counter()
+        for batch in batches:
+            for at in range(0, len(batch), 500):
+                for text in batch.column(0).slice(at, 500).to_pylist():
+                    held.update(set(re.findall(r"\b[a-z]{3,40}\b", text or "")))
+                if len(held) > 300_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.string()), pa.array(held.values(), pa.int64())], ["word", "n"])
+                    held = Counter()
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.string()), pa.array(held.values(), pa.int64())], ["word", "n"])
+
+    counted = documents.select(F.col(text_column).cast("string")).mapInArrow(run, "word string, n long")
+    counted = counted.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    rows = counted.orderBy(F.desc("n"), "word").limit(limit).collect()
+    return _language([row.word for row in rows], [row.n for row in rows])
+
+
+def _dictionary(candidate: str, known: frozenset[str], language: Language | None) -> float:
+    """Share of characters in parts of letters that are words of the text itself or of the corpus.
+
+    Without a language, what reads like a word counts, too.
+    """
     covered = 0
     for part in re.findall(r"[A-Z]?[a-z]{3,}|[A-Z]{4,}", candidate):
         word = part.lower()
-        if word in known or (len(word) >= 4 and 0.2 <= sum(c in "aeiouy" for c in word) / len(word) <= 0.6 and _SYLLABLES.fullmatch(word)):
+        if word in known or (language is not None and word in language.words):
+            covered += len(part)
+        elif language is None and len(word) >= 4 and 0.2 <= sum(c in "aeiouy" for c in word) / len(word) <= 0.6 and _SYLLABLES.fullmatch(word):
             covered += len(part)
     return covered / len(candidate)
 
 
-def describe(candidate: str, before: str, after: str, path: str | None, known: frozenset[str]) -> list[float]:
+def describe(
+    candidate: str, before: str, after: str, path: str | None, known: frozenset[str], language: Language | None = None
+) -> list[float]:
     """The numbers of `FEATURES` for a candidate in its neighbourhood."""
     codes = np.frombuffer(candidate.encode("utf-32-le"), np.uint32)
     kinds = np.where(codes < 128, _KINDS[codes & 127], 0)
@@ -77,7 +146,7 @@ def describe(candidate: str, before: str, after: str, path: str | None, known: f
         float(runs.max()) / n,
         entropy,
         sum(c in "0123456789abcdefABCDEF" for c in candidate) / n,
-        _dictionary(candidate, known),
+        _dictionary(candidate, known, language),
         float(candidate.startswith(ISSUED)),
         float("@" in candidate),
         float(any(word in near for word in KEY_WORDS)),
@@ -88,12 +157,14 @@ def describe(candidate: str, before: str, after: str, path: str | None, known: f
         float(path != ""),
         sum(word in known for word in near) / 3,
         sum(word in known for word in follow) / 3,
+        float(candidate.startswith("-----BEGIN ")),
+        language.transitions(candidate) if language is not None else 0.0,
     ]
 
 
 def _is_key(name: str) -> bool:
     parts = [part.lower() for part in _PARTS.findall(name)]
-    return any(part in KEY_WORDS for part in parts) or name.lower().endswith(tuple(KEY_WORDS))
+    return any(part in KEY_WORDS or part in KEY_PARTS for part in parts) or name.lower().endswith(tuple(KEY_WORDS))
 
 
 def _assigned(text: str, begin: int, end: int, bare: re.Pattern[str] = _TO_SPACE) -> Iterator[tuple[int, int]]:
@@ -129,6 +200,18 @@ def _assigned(text: str, begin: int, end: int, bare: re.Pattern[str] = _TO_SPACE
             begin = again.end()
 
 
+def _armoured(text: str) -> list[tuple[int, int]]:
+    """Blocks between a line BEGIN and the next line END of the same name."""
+    spans, open_ = [], None
+    for mark in _ARMOUR.finditer(text):
+        if mark[1] == "BEGIN":
+            open_ = mark
+        elif open_ is not None and mark[2] == open_[2]:
+            spans.append((open_.start(), mark.end()))
+            open_ = None
+    return spans
+
+
 def candidates_of(text: str) -> Iterator[tuple[int, int, str]]:
     """(start, end, candidate), each span once, in their order.
 
@@ -137,11 +220,18 @@ def candidates_of(text: str) -> Iterator[tuple[int, int, str]]:
     closing quote or else up to white space. A run inside such a value is a candidate of its own.
     """
     spans = set(_assigned(text, 0, len(text)))
+    spans.update(found.span(1) for found in _SCHEME.finditer(text))
     for found in CANDIDATE.finditer(text):
         value = found[0].strip(".-/")
         if len(value) >= 12 and (any(c.isdigit() for c in value) or re.search(r"[a-z][A-Z]", value)):
             start = found.start() + found[0].index(value)
             spans.add((start, start + len(value)))
+    blocks = _armoured(text)
+    if blocks:
+        # Blocks are in order and apart.
+        starts = [begin for begin, _ in blocks]
+        near = lambda span: blocks[max(0, bisect.bisect(starts, span[0]) - 1) : bisect.bisect_left(starts, span[1])]
+        spans = {span for span in spans if all(end <= span[0] for _, end in near(span))} | set(blocks)
     for start, end in sorted(spans):
         yield start, end, text[start:end]
 
@@ -151,10 +241,16 @@ _SCHEMA = "start int, end int, candidate string, before string, after string, fe
 
 
 def find_candidates(
-    documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", path_column: str | None = None
+    documents: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    path_column: str | None = None,
+    language: Language | None = None,
 ) -> DataFrame:
     """One row per candidate: the id, where it stands (in code points), its neighbourhood and features.
 
+    With a ``language`` (`learn_language`) the features of dictionary and transitions go by the corpus.
+
     Null and empty texts have no candidates. Whole texts are searched. A candidate may be of any length, and
     one may lie inside another (`candidates_of`). A path is used where there is one. Rows that repeat give their candidates again; other columns, whatever
     their names, are left out.
@@ -174,7 +270,7 @@ def find_candidates(
                         if known is None:
                             known = frozenset(re.findall(r"\b[a-z]{3,}\b", text))
                         before, after = text[max(0, start - NEIGHBOURHOOD) : start], text[end : end + NEIGHBOURHOOD]
-                        rows.append((i, start, end, value, before, after, describe(value, before, after, where, known)))
+                        rows.append((i, start, end, value, before, after, describe(value, before, after, where, known, language)))
                 if rows:
                     owner, *columns = zip(*rows)
                     arrays = [pa.array(column, type_) for column, type_ in zip(columns, types)]
@@ -219,6 +315,16 @@ def score_candidates(
     return scored.select(*candidates.columns, "score", (F.col("score") >= threshold).alias("secret"))
 
 
+def with_review(candidates: DataFrame, review: DataFrame, id_column: str = "doc_id") -> DataFrame:
+    """Candidates with the ``label`` that a review gives them: rows of id, ``start``, ``end`` and ``label``.
+
+    Findings that a review contradicts itself about count as secrets.
+    """
+    key = [id_column, "start", "end"]
+    labels = review.where(F.col("label").isin(0, 1)).groupBy(*key).agg(F.max("label").alias("label"))
+    return candidates.drop("label").join(labels, key)
+
+
 def reviewed(candidates: DataFrame, known: Sequence[str] = (r"^AKIA[0-9A-Z]{16}$",)) -> DataFrame:
     """Findings labelled by rules, for corpora without a review by hand.
 
