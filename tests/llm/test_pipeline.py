@@ -71,3 +71,30 @@ def test_edges(spark, sf_dir):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, sf_dir).count() == 0
     assert A
+
+
+def test_near_duplicates_go_by_id_and_text(spark, sf_dir):
+    """A text goes by its own group whatever other texts its id has, and of rows that repeat both one stays."""
+    words = [f"w{k}" for k in range(80)]
+    one, near = " ".join(words), " ".join(words[:79])
+    other = " ".join(f"v{k}" for k in range(50))
+    rows = [
+        (1, one, "en", "a", 1),
+        (2, near, "en", "a", 2),
+        (2, other, "en", "a", 3),
+        (3, "alone", "en", "a", 4),
+        (3, "alone", "en", "a", 4),
+        (4, other, "en", "b", 5),
+        (5, one, "en", "a", 6),
+        (5, "clean text of its own", "en", "a", 7),
+        (6, None, "en", "a", None),
+        (6, None, "en", "a", None),
+        (None, one, "en", "a", 8),
+    ]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    for order in (docs, docs.repartition(5)):
+        left = corpus_pipeline.near_duplicates(spark, order, sf_dir)
+        assert left.columns == docs.columns
+        kept = sorted(((r["doc_id"], r["text"], r["n_chars"]) for r in left.collect()), key=str)
+        expected = [(1, one, 1), (2, other, 3), (3, "alone", 4), (5, "clean text of its own", 7), (6, None, None), (6, None, None), (None, one, 8)]
+        assert kept == sorted(expected, key=str)
