@@ -18,13 +18,15 @@ from quoteflow.plans.workspace import materialize
 FRAGMENTS = 8
 # 2 to this power is the number of bits by which rows are left out before a shuffle; 8 MB.
 FILTER_BITS = 26
-# Finer fragments, by whose sizes overlaps are bounded before they are counted.
-SKETCH = 128
+# A sketch bounds overlaps before they are counted: sizes of so many finer fragments, and bits, in words of 16, of which an
+# n-gram sets one. Sizes tell more about long texts and bits about short ones.
+SIZES, WORDS = 128, 128
+SKETCH = SIZES + WORDS
 # Rounds in which members of a bucket are compared with one of them, before those that remain are compared: so many at
-# least, and at most, as long as there might be more than so many pairs left for each member.
+# least, and at most, as long as buckets have more than so many pairs of different components for each member.
 HUB_ROUNDS = 2
-MOST_HUB_ROUNDS = 10
-PAIRS_LEFT = 4
+MOST_HUB_ROUNDS = 4
+PAIRS_LEFT = 16
 # Members of a bucket, about, that one row holds when those that remain are compared.
 BLOCK = 256
 
@@ -106,10 +108,16 @@ FULL = 32767
 
 
 def _sketch(grams: np.ndarray) -> np.ndarray:
-    """Sizes of `SKETCH` fragments. The sum of the smaller sizes of two sets is at least their overlap."""
-    shift = np.uint64(64 - (SKETCH - 1).bit_length())
-    sizes = np.bincount((grams >> shift).astype(np.int64), minlength=SKETCH)
-    return np.minimum(sizes, FULL).astype(np.int16)
+    """Sizes of `SIZES` fragments, and the bits that the n-grams set.
+
+    The sum of the smaller sizes of two sets is at least their overlap. A bit that only one of them has set stands for an
+    n-gram, at least, that the other hasn't.
+    """
+    shift = np.uint64(64 - (SIZES - 1).bit_length())
+    sizes = np.bincount((grams >> shift).astype(np.int64), minlength=SIZES)
+    bits = np.zeros(16 * WORDS, bool)
+    bits[(grams % np.uint64(len(bits))).astype(np.int64)] = True
+    return np.concatenate([np.minimum(sizes, FULL).astype(np.int16), np.packbits(bits).view(np.int16)])
 
 
 def _key(grams: np.ndarray) -> np.uint64:
@@ -129,7 +137,7 @@ def _lists(parts: list[np.ndarray]) -> pa.ListArray:
 
 
 def _sets(size: int, cuts: Cuts):
-    """Per document the number of shingles, the key of the set, its signatures and its sketch."""
+    """Per document the number of shingles, the key of the set and its signatures."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -142,19 +150,16 @@ def _sets(size: int, cuts: Cuts):
                         pa.array(np.array([len(grams) for grams in sets], np.int64)),
                         _keys(sets),
                         _lists([signatures(grams, cuts) for grams in sets]),
-                        pa.ListArray.from_arrays(
-                            pa.array(np.arange(len(sets) + 1) * SKETCH, pa.int32()),
-                            pa.array(np.concatenate([_sketch(grams) for grams in sets])),
-                        ),
                     ],
-                    ["id", "text_hash", "n", "key", "signatures", "sketch"],
+                    ["id", "text_hash", "n", "key", "signatures"],
                 )
 
     return run
 
 
 def _segments(size: int, fragments: int, wanted: np.ndarray):
-    """Per set and fragment of the n-gram order the n-grams in it; for all rows that are wanted, and perhaps others."""
+    """Per set and fragment of the n-gram order the n-grams in it, with the first also the sketch of the set; for all rows
+    that are wanted, and perhaps others."""
     bits = np.uint64(64 - (fragments - 1).bit_length())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -167,7 +172,12 @@ def _segments(size: int, fragments: int, wanted: np.ndarray):
                 numbers = pa.array(np.tile(np.arange(fragments), len(sets)), pa.int32())
                 parts = [grams[at[f] : at[f + 1]] for grams, at in zip(sets, cut) for f in range(fragments)]
                 keys = _keys(sets).take(pa.array(np.repeat(np.arange(len(sets)), fragments)))
-                yield pa.RecordBatch.from_arrays([keys, sizes, numbers, _lists(parts)], ["key", "n", "fragment", "segment"])
+                flat = np.concatenate([_sketch(grams) for grams in sets]) if sets else np.zeros(0, np.int16)
+                ends = np.arange(len(sets) + 1) * SKETCH
+                sketches = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+                first = pa.array([k // fragments if k % fragments == 0 else None for k in range(len(parts))], pa.int64())
+                columns = [keys, sizes, numbers, _lists(parts), sketches.take(first)]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "n", "fragment", "segment", "sketch"])
 
     return run
 
@@ -177,9 +187,15 @@ def _bounded(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     of_a = sketches.select(F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("sketch").alias("s_a"))
     of_b = sketches.select(F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("sketch").alias("s_b"))
     both = pairs.join(of_a, "a").join(of_b, "b")
-    smaller = F.zip_with("s_a", "s_b", lambda x, y: F.least(x, y))
-    most = F.aggregate(smaller, F.lit(0), lambda total, x: total + x)
-    full = (F.array_max("s_a") == FULL) | (F.array_max("s_b") == FULL)
+    total = lambda parts: F.aggregate(parts, F.lit(0), lambda sum_, x: sum_ + x)
+    part = lambda name, kind: F.slice(name, 1, SIZES) if kind == "sizes" else F.slice(name, SIZES + 1, WORDS)
+    smaller = total(F.zip_with(part("s_a", "sizes"), part("s_b", "sizes"), lambda x, y: F.least(x, y)))
+    # Bits are counted in words of 16, which are signed.
+    alone = lambda x, y: F.bit_count(x.cast("int").bitwiseAND(F.bitwise_not(y.cast("int"))).bitwiseAND(F.lit(0xFFFF)))
+    only_a = total(F.zip_with(part("s_a", "bits"), part("s_b", "bits"), alone))
+    only_b = total(F.zip_with(part("s_b", "bits"), part("s_a", "bits"), alone))
+    most = F.least(smaller, F.col("n_a") - only_a, F.col("n_b") - only_b)
+    full = (F.array_max(part("s_a", "sizes")) == FULL) | (F.array_max(part("s_b", "sizes")) == FULL)
     both = both.select("a", "b", (F.col("n_a") + F.col("n_b")).alias("n"), most.alias("most"), full.alias("full"))
     return both.where(F.col("full") | (F.col("most") * 100 >= (F.col("n") - F.col("most")) * percent)).select("a", "b")
 
@@ -198,13 +214,22 @@ def _between(percent: int):
             for k in range(len(batch)):
                 ids, components_, sketches = members(batch.column(0), k)
                 others, other_components, other_sketches = members(batch.column(1), k)
-                sizes, full = other_sketches.sum(1, dtype=np.int64), other_sketches.max(1) == FULL
+                other_sizes, other_bits = other_sketches[:, :SIZES], other_sketches[:, SIZES:]
+                totals, full = other_sizes.sum(1, dtype=np.int64), other_sizes.max(1) == FULL
                 found = []
                 for i in range(len(ids)):
                     open_ = np.flatnonzero((other_components != components_[i]) & (others > ids[i]))
-                    most = np.minimum(sketches[i], other_sketches[open_]).sum(1, dtype=np.int64)
-                    total = sketches[i].sum(dtype=np.int64) + sizes[open_]
-                    may = (most * 100 >= (total - most) * percent) | full[open_] | (sketches[i].max() == FULL)
+                    sizes, bits = sketches[i, :SIZES], sketches[i, SIZES:]
+                    own, theirs = sizes.sum(dtype=np.int64), totals[open_]
+                    met = other_bits[open_]
+                    most = np.minimum.reduce(
+                        [
+                            np.minimum(sizes, other_sizes[open_]).sum(1, dtype=np.int64),
+                            own - np.bitwise_count((bits & ~met).view(np.uint16)).sum(1, dtype=np.int64),
+                            theirs - np.bitwise_count((met & ~bits).view(np.uint16)).sum(1, dtype=np.int64),
+                        ]
+                    )
+                    may = (most * 100 >= (own + theirs - most) * percent) | full[open_] | (sizes.max() == FULL)
                     hits = others[open_[may]]
                     found.append(np.stack([np.full(len(hits), ids[i]), hits], 1))
                 pairs = np.concatenate(found) if found else np.zeros((0, 2), np.int64)
@@ -247,6 +272,15 @@ def _overlaps(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
     return total.where(F.col("common") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("common")) * percent).select("a", "b")
 
 
+def _few_pairs(members: DataFrame) -> bool:
+    """Whether buckets have few pairs of different components for their members (signature, key, component)."""
+    parts = members.groupBy("signature", "component").agg(F.count(F.lit(1)).alias("n"))
+    sizes = parts.groupBy("signature").agg(F.sum("n").alias("size"), F.sum(F.col("n") * F.col("n")).alias("within"))
+    apart = F.sum((F.col("size") * F.col("size") - F.col("within")) / 2)
+    left = sizes.agg(apart.alias("pairs"), F.sum("size").alias("members")).first()
+    return left.pairs <= PAIRS_LEFT * left.members
+
+
 def _present(hashes: DataFrame) -> np.ndarray:
     """Bits for the places of 64-bit hashes, by which most others can be left out early.
 
@@ -316,7 +350,7 @@ def jaccard_classes(
     text = F.col(text_column).cast("string")
     rows = documents.select(F.col(id_column).alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
-    schema = f"id {id_type}, text_hash long, n long, key long, signatures array<long>, sketch array<smallint>"
+    schema = f"id {id_type}, text_hash long, n long, key long, signatures array<long>"
     sets = scratch.table(rows.mapInArrow(_sets(shingle, cuts), schema), "sets")
     worded = sets.where("n > 0 AND id IS NOT NULL")
     copies = worded.groupBy("key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("rows"))
@@ -345,27 +379,25 @@ def jaccard_classes(
             F.max("component").alias("high"),
             F.min_by("key", order).alias("hub"),
             F.min_by("component", order).alias("hub_component"),
-            F.count(F.lit(1)).alias("size"),
         )
         # Members of buckets with one component are settled, and stay so.
         unsettled = scratch.table(labeled.join(buckets.where("low < high"), "signature").drop("low", "high"), "unsettled")
         scratch.release(members)
         members = unsettled
-        # A member of a bucket has as many pairs, halved, as there are others in it.
-        left = members.agg(F.count(F.lit(1)).alias("members"), F.sum("size").alias("pairs")).first()
-        if not left.members:
+        if members.isEmpty():
             break
-        last = turn >= MOST_HUB_ROUNDS or (turn >= HUB_ROUNDS and left.pairs <= 2 * PAIRS_LEFT * left.members)
+        last = turn >= HUB_ROUNDS and (turn >= MOST_HUB_ROUNDS or _few_pairs(members))
         if sketches is None:
             # Only classes that share a bucket are compared, so hardly any others are cut again, each once.
             wanted = sets.join(members.select("key").distinct(), "key", "left_semi").where("id IS NOT NULL")
-            sketches = scratch.table(wanted.select("key", "n", "sketch").dropDuplicates(["key"]), "sketches")
             chosen = wanted.groupBy("key").agg(F.min(F.struct("id", "text_hash")).alias("row"))
             present = _present(chosen.select(F.xxhash64("row.id", "row.text_hash").alias("hash")))
             scratch.release(sets)
             cut = rows.where("id IS NOT NULL").select(F.xxhash64("id", "text_hash").alias("hash"), "text")
-            cut = cut.mapInArrow(_segments(shingle, FRAGMENTS, present), "key long, n long, fragment int, segment array<long>")
-            segments = scratch.table(cut, "segments")
+            schema = "key long, n long, fragment int, segment array<long>, sketch array<smallint>"
+            segments = scratch.table(cut.mapInArrow(_segments(shingle, FRAGMENTS, present), schema), "segments")
+            sketches = segments.where("fragment = 0").select("key", "n", "sketch").dropDuplicates(["key"])
+            sketches = scratch.table(sketches, "sketches")
         if last:
             pairs = _remaining(members.select("signature", "key", "component"), sketches, percent)
         else:
