@@ -22,11 +22,8 @@ FILTER_BITS = 26
 # n-gram sets one. Sizes tell more about long texts and bits about short ones.
 SIZES, WORDS = 128, 128
 SKETCH = SIZES + WORDS
-# Rounds in which members of a bucket are compared with one of them, before those that remain are compared: so many at
-# least, and at most, as long as buckets have more than so many pairs of different components for each member.
+# Rounds in which members of a bucket are compared with one of them, before those that remain are compared.
 HUB_ROUNDS = 2
-MOST_HUB_ROUNDS = 4
-PAIRS_LEFT = 16
 # Members of a bucket, about, that one row holds when those that remain are compared.
 BLOCK = 256
 
@@ -272,15 +269,6 @@ def _overlaps(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
     return total.where(F.col("common") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("common")) * percent).select("a", "b")
 
 
-def _few_pairs(members: DataFrame) -> bool:
-    """Whether buckets have few pairs of different components for their members (signature, key, component)."""
-    parts = members.groupBy("signature", "component").agg(F.count(F.lit(1)).alias("n"))
-    sizes = parts.groupBy("signature").agg(F.sum("n").alias("size"), F.sum(F.col("n") * F.col("n")).alias("within"))
-    apart = F.sum((F.col("size") * F.col("size") - F.col("within")) / 2)
-    left = sizes.agg(apart.alias("pairs"), F.sum("size").alias("members")).first()
-    return left.pairs <= PAIRS_LEFT * left.members
-
-
 def _present(hashes: DataFrame) -> np.ndarray:
     """Bits for the places of 64-bit hashes, by which most others can be left out early.
 
@@ -386,11 +374,12 @@ def jaccard_classes(
         members = unsettled
         if members.isEmpty():
             break
-        last = turn >= HUB_ROUNDS and (turn >= MOST_HUB_ROUNDS or _few_pairs(members))
+        last = turn >= HUB_ROUNDS
         if sketches is None:
             # Only classes that share a bucket are compared, so hardly any others are cut again, each once.
-            wanted = sets.join(members.select("key").distinct(), "key", "left_semi").where("id IS NOT NULL")
-            chosen = wanted.groupBy("key").agg(F.min(F.struct("id", "text_hash")).alias("row"))
+            # A class of very many copies is reduced to its first row before any join.
+            first = worded.groupBy("key").agg(F.min(F.struct("id", "text_hash")).alias("row"))
+            chosen = first.join(members.select("key").distinct(), "key", "left_semi")
             present = _present(chosen.select(F.xxhash64("row.id", "row.text_hash").alias("hash")))
             scratch.release(sets)
             cut = rows.where("id IS NOT NULL").select(F.xxhash64("id", "text_hash").alias("hash"), "text")
