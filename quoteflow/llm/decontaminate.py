@@ -16,7 +16,7 @@ from quoteflow.llm.fm_index import FMIndex
 from quoteflow.llm.words import ALPHANUMERIC, find_words, pieces
 
 # Words of a shard, about; a longer document is a shard of its own.
-SHARD_WORDS = 1 << 20
+SHARD_WORDS = 1 << 19
 # Windows of phrases that are searched at once, about 16 MB; blocks of them are sent to every executor.
 BLOCK_WINDOWS = 100_000
 
