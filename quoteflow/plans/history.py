@@ -30,7 +30,8 @@ def write_history(rows: DataFrame, base: str, ranges: int | None = None) -> int:
     """Add rows with ``Symbol`` and ``ts``, such as ticks or bars, to the history in ``base``; how many there were.
 
     They are dealt out by ranges of day and symbol, ``ranges`` in number if given, so a day or a symbol with very many rows goes to
-    several files, and sorted by symbol and time within. Rows without a time lie in a folder of their own.
+    several files, and sorted by symbol and time within. Rows without a time lie in a folder of their own. A column ``day``
+    that is there already gives way to the day of ``ts``.
     """
     spark, version = rows.sparkSession, uuid.uuid4().hex
     path = f"{base}/rows/{version}"
@@ -39,7 +40,8 @@ def write_history(rows: DataFrame, base: str, ranges: int | None = None) -> int:
     keys = ["day", "Symbol", "ts"]
     ranged = dated.repartitionByRange(ranges, *keys) if ranges else dated.repartitionByRange(*keys)
     ranged.sortWithinPartitions(*keys).write.partitionBy("day").parquet(path, compression=COMPRESSION)
-    stored = spark.read.schema(StructType([*rows.schema.fields, StructField("day", DateType())])).parquet(path)
+    fields = [field for field in rows.schema.fields if field.name != "day"]
+    stored = spark.read.schema(StructType([*fields, StructField("day", DateType())])).parquet(path)
     listed = stored.groupBy(F.col("_metadata.file_path").alias("path"), "day").agg(
         F.min("Symbol").alias("first"), F.max("Symbol").alias("last"), F.count(F.lit(1)).alias("rows")
     )

@@ -58,7 +58,7 @@ def test_a_hot_symbol_lies_in_several_files(spark, tmp_path):
 def test_writes_add_up_and_failed_ones_are_not_seen(spark, tmp_path):
     base, given = str(tmp_path / "history"), ticks(spark, 3, 2, 2)
     write_history(given.where("TickId < 6"), base)
-    write_history(given.where("TickId >= 6"), base)
+    write_history(given.where("TickId >= 6").withColumn("day", F.lit("another")), base)
     assert write_history(given.where("TickId < 0"), base) == 0
     # The list of files is written last.
     given.withColumn("day", F.to_date("ts")).write.partitionBy("day").parquet(f"{base}/rows/failed")
