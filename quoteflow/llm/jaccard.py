@@ -154,27 +154,40 @@ def _sets(size: int, cuts: Cuts):
     return run
 
 
+def _wanted(batches: Iterator[pa.RecordBatch], wanted: np.ndarray, size: int) -> Iterator[list[np.ndarray]]:
+    """The sets of all rows that are wanted, and perhaps of others."""
+    for batch in batches:
+        batch = batch.filter(pa.array(_among(wanted, batch.column(0).to_numpy(zero_copy_only=False))))
+        for _, data, offsets in pieces(batch.column(1)):
+            yield shingles(find_words(data, offsets, SPACED), size)
+
+
+def _sketches(size: int, wanted: np.ndarray):
+    """The size and the sketch of each set that is wanted."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for sets in _wanted(batches, wanted, size):
+            sizes = pa.array(np.array([len(grams) for grams in sets], np.int64))
+            ends = np.arange(len(sets) + 1) * SKETCH
+            flat = np.concatenate([_sketch(grams) for grams in sets]) if sets else np.zeros(0, np.int16)
+            sketches = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([_keys(sets), sizes, sketches], ["key", "n", "sketch"])
+
+    return run
+
+
 def _segments(size: int, fragments: int, wanted: np.ndarray):
-    """Per set and fragment of the n-gram order the n-grams in it, with the first also the sketch of the set; for all rows
-    that are wanted, and perhaps others."""
+    """Per set that is wanted and fragment of the n-gram order the n-grams in it."""
     bits = np.uint64(64 - (fragments - 1).bit_length())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            batch = batch.filter(pa.array(_among(wanted, batch.column(0).to_numpy(zero_copy_only=False))))
-            for _, data, offsets in pieces(batch.column(1)):
-                sets = shingles(find_words(data, offsets, SPACED), size)
-                cut = [np.searchsorted(grams >> bits, np.arange(fragments + 1)) for grams in sets]
-                sizes = pa.array(np.repeat([len(grams) for grams in sets], fragments), pa.int64())
-                numbers = pa.array(np.tile(np.arange(fragments), len(sets)), pa.int32())
-                parts = [grams[at[f] : at[f + 1]] for grams, at in zip(sets, cut) for f in range(fragments)]
-                keys = _keys(sets).take(pa.array(np.repeat(np.arange(len(sets)), fragments)))
-                flat = np.concatenate([_sketch(grams) for grams in sets]) if sets else np.zeros(0, np.int16)
-                ends = np.arange(len(sets) + 1) * SKETCH
-                sketches = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
-                first = pa.array([k // fragments if k % fragments == 0 else None for k in range(len(parts))], pa.int64())
-                columns = [keys, sizes, numbers, _lists(parts), sketches.take(first)]
-                yield pa.RecordBatch.from_arrays(columns, ["key", "n", "fragment", "segment", "sketch"])
+        for sets in _wanted(batches, wanted, size):
+            cut = [np.searchsorted(grams >> bits, np.arange(fragments + 1)) for grams in sets]
+            sizes = pa.array(np.repeat([len(grams) for grams in sets], fragments), pa.int64())
+            numbers = pa.array(np.tile(np.arange(fragments), len(sets)), pa.int32())
+            parts = [grams[at[f] : at[f + 1]] for grams, at in zip(sets, cut) for f in range(fragments)]
+            keys = _keys(sets).take(pa.array(np.repeat(np.arange(len(sets)), fragments)))
+            yield pa.RecordBatch.from_arrays([keys, sizes, numbers, _lists(parts)], ["key", "n", "fragment", "segment"])
 
     return run
 
@@ -236,11 +249,31 @@ def _between(percent: int):
     return run
 
 
+def _buckets(labeled: DataFrame, turn: int) -> DataFrame:
+    """The buckets whose members (signature, key, component) are in different components, with a hub and its component.
+
+    Of buckets of the same members, as texts that share several fragments give, there is one; they are told by their size and
+    two sums of hashes of their keys. The hub depends on the members and the turn.
+    """
+    order = F.xxhash64("key", F.lit(turn)) if turn else F.col("key")
+    sums = [F.sum(F.xxhash64("key", F.lit(salt)).cast("decimal(20,0)")).alias(name) for salt, name in ((-1, "sum"), (-2, "other_sum"))]
+    buckets = labeled.groupBy("signature").agg(
+        F.min("component").alias("low"),
+        F.max("component").alias("high"),
+        F.min_by("key", order).alias("hub"),
+        F.min_by("component", order).alias("hub_component"),
+        F.count(F.lit(1)).alias("size"),
+        *sums,
+    )
+    same = ["size", "sum", "other_sum", "hub", "hub_component"]
+    return buckets.where("low < high").groupBy(same).agg(F.min("signature").alias("signature")).select("signature", "hub", "hub_component")
+
+
 def _remaining(members: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """Pairs of members of the same bucket (signature, key, component) that are in different
     components and aren't ruled out. Members meet in rows of about `BLOCK` of them; only pairs that may
-    link become rows. Buckets of two are left out, as one of them was the other's hub."""
-    sizes = members.groupBy("signature").agg(F.count(F.lit(1)).alias("size")).where("size > 2")
+    link become rows."""
+    sizes = members.groupBy("signature").agg(F.count(F.lit(1)).alias("size"))
     sizes = sizes.select("signature", F.ceil(F.col("size") / BLOCK).alias("blocks"))
     placed = members.join(sizes, "signature").join(sketches, "key")
     placed = placed.withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")))
@@ -323,8 +356,8 @@ def jaccard_classes(
 
     The n-gram order is the order of 64-bit hashes; it is cut into fragments twice. For candidates,
     classes with an equal fragment meet in a bucket. A bucket does not emit all its pairs: its
-    members are compared with one of them, a hub; only members that are then still in different
-    components meet other hubs, and after such rounds (`HUB_ROUNDS`) each other, in blocks. Sizes of finer
+    members are compared with one of them, a hub, which then leaves it; only members that are still in different
+    components meet other hubs, and after such rounds (`HUB_ROUNDS`) each other, in blocks. Of buckets of the same members one stays. Sizes of finer
     fragments bound the overlap of a pair; where the bound allows a link, the overlap is counted in each
     of `FRAGMENTS` fragments separately and summed per pair.
 
@@ -356,37 +389,28 @@ def jaccard_classes(
     members = scratch.table(signed.join(met, "signature").distinct(), "members")
     scratch.release(met)
 
-    sketches, links, segments, pairs = None, None, None, None
+    sketches, links, chosen = None, None, None
     labels = spark.range(0).select(F.col("id").alias("key"), F.col("id").alias("component"))
+    cut = rows.where("id IS NOT NULL").select(F.xxhash64("id", "text_hash").alias("hash"), "text")
     turn, last = 0, False
     while not last:
         labeled = members.join(labels, "key", "left").withColumn("component", F.coalesce("component", "key"))
-        order = F.xxhash64("key", F.lit(turn)) if turn else F.col("key")
-        buckets = labeled.groupBy("signature").agg(
-            F.min("component").alias("low"),
-            F.max("component").alias("high"),
-            F.min_by("key", order).alias("hub"),
-            F.min_by("component", order).alias("hub_component"),
-        )
         # Members of buckets with one component are settled, and stay so.
-        unsettled = scratch.table(labeled.join(buckets.where("low < high"), "signature").drop("low", "high"), "unsettled")
+        unsettled = scratch.table(labeled.join(_buckets(labeled, turn), "signature"), "unsettled")
         scratch.release(members)
         members = unsettled
         if members.isEmpty():
             break
         last = turn >= HUB_ROUNDS
         if sketches is None:
-            # Only classes that share a bucket are compared, so hardly any others are cut again, each once.
+            # Only classes that share a bucket are compared, so hardly any others are cut again.
             # A class of very many copies is reduced to its first row before any join.
             first = worded.groupBy("key").agg(F.min(F.struct("id", "text_hash")).alias("row"))
             chosen = first.join(members.select("key").distinct(), "key", "left_semi")
-            present = _present(chosen.select(F.xxhash64("row.id", "row.text_hash").alias("hash")))
+            chosen = scratch.table(chosen.select("key", F.xxhash64("row.id", "row.text_hash").alias("hash")), "chosen")
             scratch.release(sets)
-            cut = rows.where("id IS NOT NULL").select(F.xxhash64("id", "text_hash").alias("hash"), "text")
-            schema = "key long, n long, fragment int, segment array<long>, sketch array<smallint>"
-            segments = scratch.table(cut.mapInArrow(_segments(shingle, FRAGMENTS, present), schema), "segments")
-            sketches = segments.where("fragment = 0").select("key", "n", "sketch").dropDuplicates(["key"])
-            sketches = scratch.table(sketches, "sketches")
+            sketched = cut.mapInArrow(_sketches(shingle, _present(chosen.select("hash"))), "key long, n long, sketch array<smallint>")
+            sketches = scratch.table(sketched.dropDuplicates(["key"]), "sketches")
         if last:
             pairs = _remaining(members.select("signature", "key", "component"), sketches, percent)
         else:
@@ -394,15 +418,25 @@ def jaccard_classes(
             apart = apart.select(F.least("hub", "key").alias("a"), F.greatest("hub", "key").alias("b"))
             pairs = _bounded(apart.distinct(), sketches, percent)
         pairs = scratch.table(pairs, "pairs")
-        members = scratch.table(members.select("signature", "key"), "members")
-        linked = scratch.table(_overlaps(pairs, segments, percent), "linked")
-        scratch.release(unsettled, pairs)
+        # The hub of a bucket has met all its members.
+        members = scratch.table(members.where("key <> hub").select("signature", "key"), "members")
+        scratch.release(unsettled)
         turn += 1
+        if pairs.isEmpty():
+            scratch.release(pairs)
+            continue
+        # Few classes are left in pairs, so their n-grams are cut for each round anew and no others are moved.
+        met = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
+        wanted = _present(chosen.join(met, "key", "left_semi").select("hash"))
+        schema = "key long, n long, fragment int, segment array<long>"
+        segments = scratch.table(cut.mapInArrow(_segments(shingle, FRAGMENTS, wanted), schema), "segments")
+        linked = scratch.table(_overlaps(pairs, segments, percent), "linked")
+        scratch.release(pairs, segments)
         if linked.isEmpty():
             continue
         links = linked if links is None else scratch.table(links.union(linked), "links")
         labels = components(links).withColumnRenamed("node", "key")
-    scratch.release(members, *([segments, sketches] if segments else [sets]))
+    scratch.release(members, *([sketches, chosen] if sketches else [sets]))
     # The smallest ids of components of several classes.
     named = named.withColumnRenamed("n", "n_shingles").join(labels, "key", "left")
     smallest = named.where("component IS NOT NULL").groupBy("component").agg(F.min("first").alias("smallest"))

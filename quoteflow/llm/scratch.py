@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quoteflow.plans.workspace import new_folder
+from quoteflow.plans.workspace import new_folder, write_once
 
 
 class Scratch:
@@ -20,7 +20,7 @@ class Scratch:
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
         path = new_folder(self.spark, name)
-        df.write.parquet(path)
+        write_once(df, path)
         table = self.spark.read.schema(df.schema).parquet(path)
         self.paths[id(table)] = path
         return table

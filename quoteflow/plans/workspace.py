@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quoteflow.plans import files
 
+# With it Spark removes the shuffle files of a query when it ends, and not when the driver's JVM next collects garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 # The folders of the innermost scope.
 _owned: ContextVar[list[str] | None] = ContextVar("owned", default=None)
 
@@ -55,6 +57,17 @@ def scope(spark: SparkSession) -> Iterator[None]:
             files.delete(spark, path)
 
 
+def write_once(df: DataFrame, path: str) -> None:
+    """Write ``df`` as Parquet. What it has shuffled for that is not read again, so those files go at once."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP, None)
+    conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.unset(CLEANUP) if before is None else conf.set(CLEANUP, before)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -62,5 +75,5 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     it is used, and tells the planner its true size, on which Spark decides about broadcasting.
     """
     path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    write_once(df, path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,6 +7,7 @@ import gzip
 import hashlib
 import random
 import time
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -22,10 +23,12 @@ from quoteflow.llm.line_dedup import line_dedup
 from quoteflow.llm.mixing import mix_sources, source_targets
 from quoteflow.llm.quality_fm import score_quality, train_quality
 from quoteflow.llm.quality_rules import quality_rules
+from quoteflow.llm.scratch import Scratch
 from quoteflow.llm.secrets import candidates_of, find_candidates, reviewed, score_candidates, train_forest
 from quoteflow.llm.token_counts import count_tokens, write_tokens
 from quoteflow.llm.training import Rows, held_out
 from quoteflow.llm.warc import read_warc, salvage, warc_records, write_warc
+from quoteflow.plans.workspace import CLEANUP, materialize
 
 
 def test_words_are_those_of_the_contracts():
@@ -186,6 +189,42 @@ def test_jaccard_edges(spark, edges, nothing):
     assert jaccard_classes(nothing).count() == 0
 
 
+def test_jaccard_moves_few_rows(spark, monkeypatch):
+    """Texts that share fragments but don't link meet in one bucket, which each hub leaves, and few sets are cut for overlaps."""
+    rows = [(k, " ".join(f"w{k // 2}-{i}" for i in range(400)) + " " + " ".join(f"x{k}-{i}" for i in range(80))) for k in range(6)]
+    rows += [(k, " ".join(f"y{k}-{i}" for i in range(200))) for k in range(10, 30)]
+    docs = spark.createDataFrame([*rows, (40, rows[-1][1].replace("y29-90", "z"))], "doc_id long, text string")
+    written, table = {}, Scratch.table
+
+    def counted(self, df, name):
+        found = table(self, df, name)
+        written.setdefault(name, []).append(found.count())
+        return found
+
+    monkeypatch.setattr(Scratch, "table", counted)
+    found = {row["doc_id"]: row["component_id"] for row in jaccard_classes(docs, 3, 90).collect()}
+    assert found == {row[0]: row[0] for row in rows} | {40: 29}
+    # A bucket for each pair of texts, and none when its hub has left; the sets of the pair that links are cut for overlaps.
+    assert written["unsettled"] == [8, 0] and written["segments"] == [16]
+
+
+def test_shuffle_files_go_with_the_write(spark, setting):
+    setting(CLEANUP, "false")
+    folders = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs())
+    held = lambda: {p for folder in folders for p in Path(folder.getPath()).rglob("shuffle_*")}
+    before = held()
+    grouped = spark.range(0, 10000, 1, 4).groupBy((F.col("id") % 5000).alias("k")).count()
+    assert materialize(grouped, "grouped").count() == 5000
+    assert Scratch(spark).table(grouped, "grouped").count() == 5000
+    assert spark.conf.get(CLEANUP) == "false"
+    # Executors remove them in the background. The counts above leave a row per task of their own.
+    size = lambda: sum(p.stat().st_size for p in held() - before if p.exists())
+    until = time.time() + 20
+    while size() > 10000 and time.time() < until:
+        time.sleep(0.2)
+    assert size() <= 10000
+
+
 def test_jaccard_of_near_copies(spark):
     """A chain and a large group of near copies; links only beyond hubs must be found, too."""
     draw = random.Random(5)
