@@ -2,7 +2,7 @@
 
 A file is read in pieces that end with a closing brace. Whether a piece begins inside a JSON string depends on
 all quotes before it, and how deep it is nested on all brackets before it that are in no string. Both are running
-sums: over the pieces of a block of the file, and over the sums of the blocks before. A piece that ends at depth 1
+sums: over the pieces of a chunk of a block of the file, and over the sums of the chunks before. A piece that ends at depth 1
 closes an entry of the response, so the pieces in between make up one entry, or one and simple ones before it.
 """
 
@@ -16,6 +16,8 @@ from quoteflow.plans.workspace import materialize
 from quoteflow.sources.documents import file_number
 
 PLACE = ("file", "block", "piece")
+# 2 to this power is the most pieces that are sorted and summed together; a few MB.
+CHUNK_BITS = 16
 # White space in JSON.
 BLANK = " \t\r\n"
 
@@ -23,16 +25,17 @@ BLANK = " \t\r\n"
 def _running(pieces: DataFrame, value: Column, name: str) -> DataFrame:
     """Adds the sum of ``value`` over all pieces of the file before a piece.
 
-    A task sums the pieces of a block; the blocks of a file are then summed in turn, of which each has one row.
+    A task sums the pieces of chunks; the chunks of a file are then summed in turn, of which each has one row.
     """
-    placed = pieces.withColumn("_value", value)
-    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = placed.groupBy("file", "block").agg(F.sum("_value").alias("_sum"))
-    blocks = blocks.select("file", "block", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
-    inside = Window.partitionBy("file", "block").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
+    placed = pieces.withColumn("_value", value).withColumn("_chunk", F.shiftright("piece", CHUNK_BITS))
+    chunk = ["file", "block", "_chunk"]
+    before = Window.partitionBy("file").orderBy("block", "_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    chunks = placed.groupBy(chunk).agg(F.sum("_value").alias("_sum"))
+    chunks = chunks.select(*chunk, F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy(chunk).orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     summed = placed.withColumn("_inside", F.coalesce(F.sum("_value").over(inside), F.lit(0)))
-    found = summed.join(materialize(blocks, "blocks"), ["file", "block"])
-    return found.withColumn(name, F.col("_before") + F.col("_inside")).drop("_value", "_inside", "_before")
+    found = summed.join(materialize(chunks, "chunks"), chunk)
+    return found.withColumn(name, F.col("_before") + F.col("_inside")).drop("_value", "_inside", "_before", "_chunk")
 
 
 def _count(text: Column, characters: str) -> Column:
@@ -59,9 +62,9 @@ def explode_document_files(spark: SparkSession, path: str) -> tuple[DataFrame, D
     """
     pieces = materialize(_pieces(spark, path), "pieces")
     # The last piece of a file has no brace if the bytes don't allow for one.
-    sizes = pieces.groupBy("file", "size").agg(
-        F.sum(F.octet_length("text") + 1).alias("bytes"), F.max(F.struct("block", "piece")).alias("last")
-    )
+    # Numbers per block first, as an aggregation of structs sorts its input.
+    sizes = pieces.groupBy("file", "size", "block").agg(F.sum(F.octet_length("text") + 1).alias("bytes"), F.max("piece").alias("piece"))
+    sizes = sizes.groupBy("file", "size").agg(F.sum("bytes").alias("bytes"), F.max(F.struct("block", "piece")).alias("last"))
     sizes = materialize(sizes, "files")
     is_last = F.struct("block", "piece") == F.col("last")
     pieces = pieces.drop("size").join(sizes, "file")
@@ -86,11 +89,12 @@ def explode_document_files(spark: SparkSession, path: str) -> tuple[DataFrame, D
     pieces = materialize(pieces, "placed")
     # Behind the end of the object there may only be blanks.
     trailing = (F.col("ended") > 0) & F.col("blank") & (F.col("brace") == 0)
-    shape = pieces.groupBy("file").agg(
-        F.max_by("depth", F.struct("block", "piece")).alias("depth"),
+    shape = pieces.groupBy("file", "block").agg(
+        F.max_by("depth", "piece").alias("depth"),
         F.bool_or((F.col("ended") > 0) & ~trailing).alias("more"),
         F.max(F.when(~trailing, F.col("entry"))).alias("last"),
     )
+    shape = shape.groupBy("file").agg(F.max_by("depth", "block").alias("depth"), F.bool_or("more").alias("more"), F.max("last").alias("last"))
     shape = materialize(shape, "shape")
 
     braced = F.concat("text", F.when(F.col("brace") == 1, "}").otherwise(""))

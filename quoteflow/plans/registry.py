@@ -70,13 +70,14 @@ def requests_fewest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quotes_one_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All quotes landed as a single response file, which many tasks read."""
     folder = new_folder(spark, "landed")
-    lines = standins.one_document_lines(spark, sf_dir)
+    lines = materialize(standins.one_document_lines(spark, sf_dir), "lines")
     ends = lines.agg(F.min("event_id").alias("low"), F.max("event_id").alias("high")).first()
-    text = F.concat(
-        F.when(F.col("event_id") == ends.low, "{").otherwise(","), "entry", F.when(F.col("event_id") == ends.high, "}").otherwise("")
-    )
-    # One response file is what is to be read here, so one task writes it.
-    lines.coalesce(1).sortWithinPartitions("event_id").select(text.alias("value")).write.text(folder)
+    is_low, is_high = F.col("event_id").eqNullSafe(ends.low), F.col("event_id").eqNullSafe(ends.high)
+    text = F.concat(F.when(is_low, "{").otherwise(","), "entry", F.when(is_high, "}").otherwise(""))
+    # One response file is what is to be read here, so one task writes it. Only its ends have a place in an object; a sort would
+    # hold all lines in that task.
+    placed = lines.where(is_low).union(lines.where(~is_low & ~is_high)).union(lines.where(is_high & ~is_low))
+    placed.coalesce(1).select(text.alias("value")).write.text(folder)
     entries, _ = explode_document_files(spark, folder)
     return flatten(entries).select("Symbol", "LastPrice", "BidPrice", "AskPrice", "QuoteTime")
 

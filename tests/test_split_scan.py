@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import json
 import random
+from datetime import datetime
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
-from quoteflow.operators import explode_document_files, explode_documents, rejected_documents
+from quoteflow.operators import explode_document_files, explode_documents, rejected_documents, split_scan
+from quoteflow.plans import registry
 from quoteflow.sources import read_document_files
 
 CASES = [
@@ -64,3 +67,31 @@ def test_random_documents(spark, tmp_path, setting):
     found, rejected = explode_document_files(spark, str(tmp_path))
     assert entries(found) == expected
     assert sorted(r.SnapshotId for r in rejected.collect()) == bad
+
+
+def test_chunks_of_a_block(spark, tmp_path, monkeypatch):
+    """Sums run on over chunks of a few pieces."""
+    monkeypatch.setattr(split_scan, "CHUNK_BITS", 1)
+    for number, text in enumerate(CASES):
+        (tmp_path / f"snapshot-{number}.json").write_text(text)
+    whole = read_document_files(spark, str(tmp_path))
+    found, rejected = explode_document_files(spark, str(tmp_path))
+    assert entries(found) == entries(explode_documents(whole))
+    assert sorted(r.SnapshotId for r in rejected.collect()) == sorted(r.SnapshotId for r in rejected_documents(whole).collect())
+
+
+def test_one_file_is_written_without_a_sort(spark, tmp_path, monkeypatch):
+    """The one task that writes holds no lines; no task sorts more than a chunk for its sums."""
+    plans, text = [], DataFrameWriter.text
+
+    def seen(self, path, *arguments, **options):
+        plans.append(self._df._jdf.queryExecution().executedPlan().toString())
+        return text(self, path, *arguments, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "text", seen)
+    events = [(i, datetime(2024, 1, 1), i % 3, kind, 1.5, '{"k": 6}') for i, kind in ((4, "click"), (2, "error"), (9, "view"), (7, "error"))]
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(events, schema).write.parquet(str(tmp_path / "events.parquet"))
+    found = {row["Symbol"] for row in registry.queries()["quotes_one_file"](spark, str(tmp_path)).collect()}
+    assert found == {"E4", "E2", "E9", "E7", "N2", "L2", "N7", "L7"}
+    assert len(plans) == 1 and "Coalesce 1" in plans[0] and "Sort" not in plans[0]
