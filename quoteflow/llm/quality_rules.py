@@ -10,6 +10,8 @@ from quoteflow.llm.line_dedup import lines_of
 # Space and the controls 9 to 13 part words; these characters count as symbols.
 SPACE = r"\x20\x09-\x0D"
 SYMBOLS = "#*$%&|<>"
+# What parts the entries of a menu.
+SEPARATORS = "|»›>•·"
 # A line of prose ends with one of these, a closing quote or bracket may follow.
 LINE_END = r"[.!?:;…。！？]['\"”’»)\]]*[" + SPACE + r"]*\z"
 # Openings of lines that sites put on every page.
@@ -28,19 +30,28 @@ def _count(text: Column, pattern: str) -> Column:
     return F.regexp_count(text, F.lit(pattern))
 
 
-def line_failures(line: Column, max_symbols: float = 0.2, max_separators: int = 3) -> Column:
+def _symbols(text: Column) -> Column:
+    """How many characters of `SYMBOLS` a text has."""
+    return F.length(F.regexp_replace(text, f"[^{SYMBOLS}]+", ""))
+
+
+def line_failures(line: Column, max_symbols: float = 0.2, max_separators: int = 3, words: Column | None = None) -> Column:
     """The first rule that a line breaks: ``navigation``, ``boilerplate``, ``symbols``, ``capitals`` or
-    ``punctuation``; null if it breaks none. A line without words breaks none."""
-    words = _count(line, f"[^{SPACE}]+")
-    symbols = F.length(line) - F.length(F.translate(line, SYMBOLS, ""))
-    separators = _count(line, f"(^|[{SPACE}])[|»›>•·]([{SPACE}]|\\z)")
+    ``punctuation``; null if it breaks none. A line without words breaks none. ``words`` is their number, if it is known.
+
+    Cheap conditions stand before those that search the line, as Spark works out no more than it needs.
+    """
+    words = _count(line, f"[^{SPACE}]+") if words is None else words
+    separators = _count(line, f"(^|[{SPACE}])[{SEPARATORS}]([{SPACE}]|\\z)")
+    # A line without separators needs no count.
+    separators = F.when(line.rlike(f"[{SEPARATORS}]"), separators).otherwise(0)
     capitals, small = _count(line, r"\p{Lu}"), _count(line, r"\p{Ll}")
     return (
         F.when(words == 0, F.lit(None))
         .when((separators >= max_separators) & (separators * 6 >= words), "navigation")
-        .when(line.rlike(BOILERPLATE) & (words <= 30), "boilerplate")
-        .when(symbols > max_symbols * words, "symbols")
-        .when((capitals >= 20) & (capitals > small * 2), "capitals")
+        .when((words <= 30) & line.rlike(BOILERPLATE), "boilerplate")
+        .when(_symbols(line) > max_symbols * words, "symbols")
+        .when((F.length(line) >= 20) & (capitals >= 20) & (capitals > small * 2), "capitals")
         .when((words >= 4) & ~line.rlike(LINE_END), "punctuation")
     )
 
@@ -71,11 +82,10 @@ def quality_rules(
     names = [name for name in documents.columns if name not in ADDED]
     rows = documents.select(F.struct(*[F.col(f"`{name}`") for name in names]).alias("_row"))
     text = F.coalesce(F.col("_row")[text_column], F.lit(""))
+    # The words of a line are counted once.
+    counted = F.transform(lines_of(text), lambda line: F.struct(line.alias("line"), _count(line, f"[^{SPACE}]+").alias("n")))
     judged = F.transform(
-        lines_of(text),
-        lambda line: F.struct(
-            line.alias("line"), _count(line, f"[^{SPACE}]+").alias("n"), line_failures(line).alias("rule")
-        ),
+        counted, lambda x: F.struct(x["line"].alias("line"), x["n"].alias("n"), line_failures(x["line"], words=x["n"]).alias("rule"))
     )
     base = rows.withColumns({"_words": words_of(text), "_judged": judged})
     base = base.withColumns(
@@ -89,7 +99,7 @@ def quality_rules(
         "_judged",
         F.size("_words").cast("long").alias("n_words"),
         F.length(F.regexp_replace(text, f"[{SPACE}]+", "")).cast("long").alias("word_chars"),
-        (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        _symbols(text).cast("long").alias("n_symbols"),
         (F.size("_worded") - F.size(F.array_distinct("_worded"))).cast("long").alias("n_dup_lines"),
         _covered(F.col("_twice")).alias("n_repeat_words"),
         F.aggregate(

@@ -22,7 +22,7 @@ from quoteflow.llm.jaccard import jaccard_classes
 from quoteflow.llm.line_dedup import line_dedup
 from quoteflow.llm.mixing import mix_sources, source_targets
 from quoteflow.llm.quality_fm import score_quality, train_quality
-from quoteflow.llm.quality_rules import quality_rules
+from quoteflow.llm.quality_rules import line_failures, quality_rules
 from quoteflow.llm.scratch import Scratch
 from quoteflow.llm.secrets import candidates_of, find_candidates, reviewed, score_candidates, train_forest
 from quoteflow.llm.token_counts import count_tokens, write_tokens
@@ -88,6 +88,19 @@ def test_quality_rules(spark, edges, nothing):
     assert quality_rules(nothing).count() == 0
 
 
+def test_line_failures_count_words_once(spark):
+    lines = ["", " \t ", "home | news | sport | about", "a|b|c|d", "| | |", "All rights reserved.", "x " * 31 + "all rights reserved.",
+             "#$ %& a b c d.", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "ÀÉ" * 10, "ABCDEFGHIJKLMNOPQRSTu" + "v" * 10, "no end of a line", "an end of a line.”) ",
+             "one two", "»  › > end", "• • • a b c d e f g h i j k l m n o p q."]
+    rules = [None, None, "navigation", "symbols", "symbols", "boilerplate", None, "symbols", "capitals", "capitals", None, "punctuation", None,
+             None, "symbols", None]
+    found = spark.createDataFrame(list(enumerate(lines)), "at int, line string")
+    words_ = F.size(F.expr(r"regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+', 0)"))
+    found = found.withColumn("n", words_).select("at", line_failures(F.col("line")).alias("rule"), line_failures(F.col("line"), words=F.col("n")).alias("same"))
+    assert [(r.rule, r.same) for r in found.orderBy("at").collect()] == [(rule, rule) for rule in rules]
+    assert r"[^\x20\x09-\x0D]+" not in str(line_failures(F.col("line"), words=F.col("n")))
+
+
 def test_mixing(spark, edges, nothing):
     rows = mix_sources(edges).collect()
     assert len(rows) == len(ROWS)
