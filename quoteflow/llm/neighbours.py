@@ -331,7 +331,7 @@ def build_index(
     kind = members.schema["vector"].dataType.simpleString()
     placed = classes.mapInArrow(_placed(plane, borders), f"class long, vector {kind}, cell long, point array<double>")
     placed = materialize(placed, "placed")
-    tree = max(leaf, tree_bytes // (8 * dimensions))
+    tree = max(1, tree_bytes // (8 * dimensions))
     sizes = placed.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / tree).alias("trees"))
     # No more cells than `SAMPLE` allows.
     dealt = placed.join(F.broadcast(sizes), "cell").withColumn("tree", F.pmod(F.xxhash64("class"), F.col("trees")))
