@@ -10,14 +10,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quoteflow.llm.graph import components
+from quoteflow.llm.presence import among, present
 from quoteflow.llm.scratch import Scratch
 from quoteflow.llm.words import SPACED, find_words, mix, pieces, shingles
 from quoteflow.plans.workspace import materialize
 
 # Fragments of the n-gram order in which overlaps are counted.
 FRAGMENTS = 8
-# 2 to this power is the number of bits by which rows are left out before a shuffle; 8 MB.
-FILTER_BITS = 26
 # A sketch bounds overlaps before they are counted: sizes of so many finer fragments, and bits, in words of 16, of which an
 # n-gram sets one. Sizes tell more about long texts and bits about short ones.
 SIZES, WORDS = 128, 128
@@ -128,13 +127,15 @@ def _keys(sets: list[np.ndarray]) -> pa.Array:
 
 
 def _lists(parts: list[np.ndarray]) -> pa.ListArray:
+    """Lists of hashes as signed numbers of their width."""
     ends = np.cumsum([0] + [len(part) for part in parts])
-    flat = np.concatenate(parts).view(np.int64) if parts else np.zeros(0, np.int64)
+    flat = np.concatenate(parts)
+    flat = flat.view(f"i{flat.itemsize}")
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
 
 
-def _sets(size: int, cuts: Cuts):
-    """Per document the number of shingles, the key of the set and its signatures."""
+def _sets(size: int):
+    """Per document the number of shingles and the key of the set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -146,27 +147,49 @@ def _sets(size: int, cuts: Cuts):
                         batch.column(1).slice(at, len(sets)),
                         pa.array(np.array([len(grams) for grams in sets], np.int64)),
                         _keys(sets),
-                        _lists([signatures(grams, cuts) for grams in sets]),
                     ],
-                    ["id", "text_hash", "n", "key", "signatures"],
+                    ["id", "text_hash", "n", "key"],
                 )
 
     return run
 
 
-def _wanted(batches: Iterator[pa.RecordBatch], wanted: np.ndarray, size: int) -> Iterator[list[np.ndarray]]:
-    """The sets of all rows that are wanted, and perhaps of others."""
+def _signed(size: int, cuts: Cuts, met: np.ndarray | None = None):
+    """The signatures of all sets; with ``met``, those that are in that table, and the key of the set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, data, offsets in pieces(batch.column(0)):
+                sets = [grams for grams in shingles(find_words(data, offsets, SPACED), size) if len(grams)]
+                if not sets:
+                    continue
+                found = [signatures(grams, cuts) for grams in sets]
+                flat = np.concatenate(found).view(np.int64)
+                if met is None:
+                    yield pa.RecordBatch.from_arrays([pa.array(flat)], ["signature"])
+                    continue
+                kept = np.flatnonzero(among(met, flat))
+                owner = np.repeat(np.arange(len(sets)), [len(part) for part in found])[kept]
+                yield pa.RecordBatch.from_arrays([pa.array(flat[kept]), _keys(sets).take(pa.array(owner))], ["signature", "key"])
+
+    return run
+
+
+def _wanted(batches: Iterator[pa.RecordBatch], size: int, *tables: np.ndarray) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
+    """Hashes and sets of all rows whose hash is in one of the tables, and perhaps of others."""
     for batch in batches:
-        batch = batch.filter(pa.array(_among(wanted, batch.column(0).to_numpy(zero_copy_only=False))))
-        for _, data, offsets in pieces(batch.column(1)):
-            yield shingles(find_words(data, offsets, SPACED), size)
+        hashes = batch.column(0).to_numpy(zero_copy_only=False)
+        batch = batch.filter(pa.array(np.logical_or.reduce([among(table, hashes) for table in tables])))
+        for at, data, offsets in pieces(batch.column(1)):
+            sets = shingles(find_words(data, offsets, SPACED), size)
+            yield batch.column(0).slice(at, len(sets)).to_numpy(zero_copy_only=False), sets
 
 
 def _sketches(size: int, wanted: np.ndarray):
     """The size and the sketch of each set that is wanted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for sets in _wanted(batches, wanted, size):
+        for _, sets in _wanted(batches, size, wanted):
             sizes = pa.array(np.array([len(grams) for grams in sets], np.int64))
             ends = np.arange(len(sets) + 1) * SKETCH
             flat = np.concatenate([_sketch(grams) for grams in sets]) if sets else np.zeros(0, np.int16)
@@ -176,18 +199,28 @@ def _sketches(size: int, wanted: np.ndarray):
     return run
 
 
-def _segments(size: int, fragments: int, wanted: np.ndarray):
-    """Per set that is wanted and fragment of the n-gram order the n-grams in it."""
+def _segments(size: int, fragments: int, of_a: np.ndarray, of_b: np.ndarray, coarse: bool):
+    """Per set that is wanted on either side of a pair and fragment of the n-gram order the n-grams in it and their number.
+
+    If ``coarse``, of the n-grams only the last 16 bits, each value once.
+    """
     bits = np.uint64(64 - (fragments - 1).bit_length())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for sets in _wanted(batches, wanted, size):
+        for hashes, sets in _wanted(batches, size, of_a, of_b):
             cut = [np.searchsorted(grams >> bits, np.arange(fragments + 1)) for grams in sets]
-            sizes = pa.array(np.repeat([len(grams) for grams in sets], fragments), pa.int64())
-            numbers = pa.array(np.tile(np.arange(fragments), len(sets)), pa.int32())
             parts = [grams[at[f] : at[f + 1]] for grams, at in zip(sets, cut) for f in range(fragments)]
-            keys = _keys(sets).take(pa.array(np.repeat(np.arange(len(sets)), fragments)))
-            yield pa.RecordBatch.from_arrays([keys, sizes, numbers, _lists(parts)], ["key", "n", "fragment", "segment"])
+            each = pa.array(np.repeat(np.arange(len(sets)), fragments))
+            columns = {
+                "key": _keys(sets).take(each),
+                "n": pa.array(np.array([len(grams) for grams in sets], np.int64)).take(each),
+                "fragment": pa.array(np.tile(np.arange(fragments), len(sets)), pa.int32()),
+                "of_a": pa.array(among(of_a, hashes)).take(each),
+                "of_b": pa.array(among(of_b, hashes)).take(each),
+                "grams": pa.array(np.array([len(part) for part in parts], np.int64)),
+                "segment": _lists([np.unique(part.astype(np.uint16)) for part in parts] if coarse else parts),
+            }
+            yield pa.RecordBatch.from_arrays([*columns.values()], [*columns])
 
     return run
 
@@ -288,13 +321,19 @@ def _remaining(members: DataFrame, sketches: DataFrame, percent: int) -> DataFra
 
 
 def _overlaps(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
-    """Those of ``pairs`` (``a``, ``b``) that link: overlaps counted per fragment, then summed per pair."""
-    of_a = segments.select(F.col("key").alias("a"), "fragment", F.col("n").alias("n_a"), F.col("segment").alias("in_a"))
-    of_b = segments.select(F.col("key").alias("b"), "fragment", F.col("n").alias("n_b"), F.col("segment").alias("in_b"))
+    """Those of ``pairs`` (``a``, ``b``) that link: overlaps counted per fragment, then summed per pair.
+
+    Of coarse segments, those that may link: n-grams whose values differ do, so an overlap is at most the values that both
+    have and, for the smaller surplus, the n-grams that share a value with others of their set.
+    """
+    cut = lambda x: segments.where(f"of_{x}").select(
+        F.col("key").alias(x), "fragment", F.col("n").alias(f"n_{x}"), F.col("grams").alias(f"grams_{x}"), F.col("segment").alias(f"in_{x}")
+    )
     fragments = F.explode(F.array(*[F.lit(f) for f in range(FRAGMENTS)]))
-    parts = pairs.select("a", "b", fragments.alias("fragment")).join(of_a, ["a", "fragment"])
-    parts = parts.join(of_b, ["b", "fragment"]).where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
-    parts = parts.select("a", "b", "n_a", "n_b", F.size(F.array_intersect("in_a", "in_b")).alias("common"))
+    parts = pairs.select("a", "b", fragments.alias("fragment")).join(cut("a"), ["a", "fragment"])
+    parts = parts.join(cut("b"), ["b", "fragment"]).where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
+    surplus = F.least(F.col("grams_a") - F.size("in_a"), F.col("grams_b") - F.size("in_b"))
+    parts = parts.select("a", "b", "n_a", "n_b", (F.size(F.array_intersect("in_a", "in_b")) + surplus).alias("common"))
     # A set may have been cut more than once; then each of its fragments is there equally often.
     total = parts.groupBy("a", "b", "n_a", "n_b").agg(
         (F.sum("common") * FRAGMENTS / F.count(F.lit(1))).cast("long").alias("common")
@@ -302,44 +341,6 @@ def _overlaps(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
     return total.where(F.col("common") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("common")) * percent).select("a", "b")
 
 
-def _present(hashes: DataFrame) -> np.ndarray:
-    """Bits for the places of 64-bit hashes, by which most others can be left out early.
-
-    The table has `FILTER_BITS` places whatever the input. Hashes may share one, so whoever uses it
-    must bear rows too many. The driver gets 64 bits per row.
-    """
-    name = hashes.columns[0]
-    place = f"shiftrightunsigned({name}, {64 - FILTER_BITS})"
-    words = hashes.selectExpr(
-        f"cast(shiftrightunsigned({place}, 6) AS int) AS word", f"shiftleft(1L, cast({place} & 63 AS int)) AS bit"
-    )
-    words = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
-    table = np.zeros(1 << FILTER_BITS - 6, np.uint64)
-    table[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
-    return table
-
-
-def _among(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    place = hashes.view(np.uint64) >> np.uint64(64 - FILTER_BITS)
-    return (table[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
-
-
-def _rows_of(table: np.ndarray):
-    """(signature, key) for signatures that are in the table."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column(1)
-            flat = lists.flatten().to_numpy(zero_copy_only=False)
-            owner = np.repeat(np.arange(len(batch)), lists.value_lengths().to_numpy(zero_copy_only=False))
-            kept = np.flatnonzero(_among(table, flat)) if len(flat) else np.zeros(0, np.int64)
-            if len(kept):
-                keys = batch.column(0).take(pa.array(owner[kept]))
-                yield pa.RecordBatch.from_arrays([pa.array(flat[kept]), keys], ["signature", "key"])
-
-    return run
-
-
 def jaccard_classes(
     documents: DataFrame,
     shingle: int = 3,
@@ -359,7 +360,8 @@ def jaccard_classes(
     members are compared with one of them, a hub, which then leaves it; only members that are still in different
     components meet other hubs, and after such rounds (`HUB_ROUNDS`) each other, in blocks. Of buckets of the same members one stays. Sizes of finer
     fragments bound the overlap of a pair; where the bound allows a link, the overlap is counted in each
-    of `FRAGMENTS` fragments separately and summed per pair.
+    of `FRAGMENTS` fragments separately and summed per pair, first of n-grams cut to 16 bits, which bounds it, and of
+    whole ones where that bound allows a link.
 
     A null text or one without words has no shingles and links with nothing. A null id gets no
     component (null) and takes no part. Classes are known by a 64-bit key of their set, so rows that repeat an id with
@@ -371,8 +373,7 @@ def jaccard_classes(
     text = F.col(text_column).cast("string")
     rows = documents.select(F.col(id_column).alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
-    schema = f"id {id_type}, text_hash long, n long, key long, signatures array<long>"
-    sets = scratch.table(rows.mapInArrow(_sets(shingle, cuts), schema), "sets")
+    sets = scratch.table(rows.mapInArrow(_sets(shingle), f"id {id_type}, text_hash long, n long, key long"), "sets")
     worded = sets.where("n > 0 AND id IS NOT NULL")
     copies = worded.groupBy("key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("rows"))
     copies = scratch.table(copies.where("rows > 1").drop("rows"), "copies")
@@ -382,10 +383,12 @@ def jaccard_classes(
     named = materialize(named, "classes")
     scratch.release(copies)
 
-    # Signatures that occur more than once, and the classes that have them.
-    met = worded.select(F.explode("signatures").alias("signature")).groupBy("signature").count()
+    # Signatures that occur more than once, and the classes that have them. They take more room than texts, so they are made
+    # twice rather than written.
+    texts = rows.where("id IS NOT NULL").select("text")
+    met = texts.mapInArrow(_signed(shingle, cuts), "signature long").groupBy("signature").count()
     met = scratch.table(met.where("count > 1").select("signature"), "met")
-    signed = worded.select("key", "signatures").mapInArrow(_rows_of(_present(met)), "signature long, key long")
+    signed = texts.mapInArrow(_signed(shingle, cuts, present(met)), "signature long, key long")
     members = scratch.table(signed.join(met, "signature").distinct(), "members")
     scratch.release(met)
 
@@ -409,7 +412,7 @@ def jaccard_classes(
             chosen = first.join(members.select("key").distinct(), "key", "left_semi")
             chosen = scratch.table(chosen.select("key", F.xxhash64("row.id", "row.text_hash").alias("hash")), "chosen")
             scratch.release(sets)
-            sketched = cut.mapInArrow(_sketches(shingle, _present(chosen.select("hash"))), "key long, n long, sketch array<smallint>")
+            sketched = cut.mapInArrow(_sketches(shingle, present(chosen.select("hash"))), "key long, n long, sketch array<smallint>")
             sketches = scratch.table(sketched.dropDuplicates(["key"]), "sketches")
         if last:
             pairs = _remaining(members.select("signature", "key", "component"), sketches, percent)
@@ -425,13 +428,19 @@ def jaccard_classes(
         if pairs.isEmpty():
             scratch.release(pairs)
             continue
-        # Few classes are left in pairs, so their n-grams are cut for each round anew and no others are moved.
-        met = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-        wanted = _present(chosen.join(met, "key", "left_semi").select("hash"))
-        schema = "key long, n long, fragment int, segment array<long>"
-        segments = scratch.table(cut.mapInArrow(_segments(shingle, FRAGMENTS, wanted), schema), "segments")
-        linked = scratch.table(_overlaps(pairs, segments, percent), "linked")
-        scratch.release(pairs, segments)
+        # Few classes are left in pairs, so their n-grams are cut for each round anew and no others are moved: first in
+        # a coarse form, as most pairs that the sketches leave don't link.
+        for coarse in (True, False):
+            ends = [pairs.select(F.col(end).alias("key")).distinct() for end in ("a", "b")]
+            wanted = [present(chosen.join(end, "key", "left_semi").select("hash")) for end in ends]
+            schema = "key long, n long, fragment int, of_a boolean, of_b boolean, grams long, segment array<" + ("smallint>" if coarse else "long>")
+            segments = cut.mapInArrow(_segments(shingle, FRAGMENTS, *wanted, coarse), schema)
+            segments = scratch.table(segments, "coarse-segments" if coarse else "segments")
+            linked = scratch.table(_overlaps(pairs, segments, percent), "linked")
+            scratch.release(pairs, segments)
+            pairs = linked
+            if linked.isEmpty():
+                break
         if linked.isEmpty():
             continue
         links = linked if links is None else scratch.table(links.union(linked), "links")

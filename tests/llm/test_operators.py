@@ -221,6 +221,26 @@ def test_jaccard_moves_few_rows(spark, monkeypatch):
     assert written["unsettled"] == [8, 0] and written["segments"] == [16]
 
 
+def test_jaccard_moves_whole_ngrams_of_links_only(spark, monkeypatch):
+    """Long texts that the sketches don't tell apart are told by coarse n-grams; signatures are never written per document."""
+    text = lambda name, own, k: " ".join([f"{name}{i}" for i in range(4000)] + [f"own{k}-{i}" for i in range(own)])
+    rows = [(k, text("a", 300, k)) for k in (1, 2)] + [(k, text("b", 100, k)) for k in (3, 4)]
+    written, columns, table = {}, {}, Scratch.table
+
+    def counted(self, df, name):
+        found = table(self, df, name)
+        written.setdefault(name, []).append(found.count())
+        columns[name] = found.columns
+        return found
+
+    monkeypatch.setattr(Scratch, "table", counted)
+    found = jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90)
+    # 3998 of 4598 n-grams in common, and 3998 of 4198.
+    assert {row["doc_id"]: row["component_id"] for row in found.collect()} == {1: 1, 2: 2, 3: 3, 4: 3}
+    assert written["segments"] == [16] and written["coarse-segments"][0] == 32
+    assert columns["sets"] == ["id", "text_hash", "n", "key"]
+
+
 def test_shuffle_files_go_with_the_write(spark, setting):
     setting(CLEANUP, "false")
     folders = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs())

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import random
+from pathlib import Path
+
 import corpus_pipeline
 import pytest
 from llm_helpers import A, ROWS, SCHEMA, alphanumeric
-from quoteflow.plans.workspace import materialize
+from quoteflow.plans.workspace import CLEANUP, materialize
 
 
 @pytest.fixture(scope="module")
@@ -98,3 +101,19 @@ def test_near_duplicates_go_by_id_and_text(spark, sf_dir):
         kept = sorted(((r["doc_id"], r["text"], r["n_chars"]) for r in left.collect()), key=str)
         expected = [(1, one, 1), (2, other, 3), (3, "alone", 4), (5, "clean text of its own", 7), (6, None, None), (6, None, None), (None, one, 8)]
         assert kept == sorted(expected, key=str)
+
+
+def test_near_duplicates_move_few_texts(spark, sf_dir, setting):
+    """Only texts that share a group are moved to tell which of them stay."""
+    setting("spark.sql.autoBroadcastJoinThreshold", "-1")
+    setting(CLEANUP, "false")
+    draw = random.Random(5)
+    texts = [" ".join(f"{draw.getrandbits(64):x}" for _ in range(200)) for _ in range(300)]
+    rows = [(k, text, "en", "a", k) for k, text in enumerate([*texts, texts[7]])]
+    left = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, SCHEMA), sf_dir)
+    folders = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs())
+    held = lambda: {p for folder in folders for p in Path(folder.getPath()).rglob("shuffle_*.data")}
+    before = held()
+    assert sorted((r["doc_id"], r["text"]) for r in left.collect()) == list(enumerate(texts))
+    moved = sum(p.stat().st_size for p in held() - before)
+    assert 0 < moved < 0.1 * sum(map(len, texts))
