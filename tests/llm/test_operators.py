@@ -21,6 +21,7 @@ from quoteflow.llm.graph import components
 from quoteflow.llm.jaccard import jaccard_classes
 from quoteflow.llm.line_dedup import line_dedup
 from quoteflow.llm.mixing import mix_sources, source_targets
+from quoteflow.llm.presence import among, may_be_in, present
 from quoteflow.llm.quality_fm import score_quality, train_quality
 from quoteflow.llm.quality_rules import line_failures, quality_rules
 from quoteflow.llm.scratch import Scratch
@@ -241,6 +242,17 @@ def test_jaccard_moves_whole_ngrams_of_links_only(spark, monkeypatch):
     assert columns["sets"] == ["id", "text_hash", "n", "key"]
 
 
+def test_tables_of_hashes_are_as_small_as_their_number_allows(spark):
+    for n in (0, 1, 70, 3000, 60000):
+        hashes = spark.range(n).select(F.xxhash64("id").alias("hash"))
+        table = present(hashes)
+        assert table.nbytes <= max(8, 16 * n) or table.nbytes == 1 << 23
+        others = spark.range(-60000, 0).select(F.xxhash64("id").alias("hash"))
+        told = lambda df: among(table, df.toArrow()["hash"].to_numpy())
+        assert told(hashes).all() and told(others).mean() < 0.05
+        assert others.where(~may_be_in(table, F.col("hash"))).count() == (~told(others)).sum()
+
+
 def test_shuffle_files_go_with_the_write(spark, setting):
     setting(CLEANUP, "false")
     folders = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs())
